@@ -108,7 +108,7 @@ _VIEWS = {
     + " FROM sessions",
     "ratios": "SELECT session_count, "
     + ", ".join(
-        f"((200 * {name} + session_count) // (2 * session_count)) / 100.0 AS {name}_ratio"
+        f"((200 * {name} + session_count) // (2 * nullif(session_count, 0))) / 100.0 AS {name}_ratio"
         for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS
     )
     + " FROM histogram",

@@ -87,6 +87,19 @@ def top10_session(top: DataFrame, task_id: str) -> DataFrame:
     )
 
 
+def _actions_of_both(
+    actions: DataFrame, drawn: DataFrame, busiest: DataFrame, sample_size: int
+) -> DataFrame:
+    """Actions of the drawn and of the busiest sessions, in one pass over the log.
+
+    A session that is in both is reported for each.
+    """
+    keys = drawn.select("session_id").unionByName(busiest.select("session_id").distinct())
+    if sample_size <= sampling.MAX_BROADCAST_SAMPLE:
+        keys = F.broadcast(keys)
+    return actions.join(keys, "session_id")
+
+
 def session_report(
     raw_actions: DataFrame,
     users: DataFrame,
@@ -118,9 +131,7 @@ def session_report(
             sampling.extract_report(actions, drawn, sample_size), task_id
         ),
         "session_detail": session_detail(
-            sampling.keep_actions_of(actions, drawn, sample_size), task_id
-        ).unionByName(
-            session_detail(categories.top_session_detail(actions, busiest), task_id)
+            _actions_of_both(actions, drawn, busiest, sample_size), task_id
         ),
         "top10_category": top10_category(top, task_id),
         "top10_session": top10_session(busiest, task_id),

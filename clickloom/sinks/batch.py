@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from clickloom.schemas import AD_RECORD_NAMES
 from clickloom.sources.jdbc import JdbcTarget
 
 
@@ -18,6 +22,20 @@ def replace_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> None:
     writer.mode("overwrite").save()
 
 
+def jdbc_publisher(target: JdbcTarget) -> Callable[[str, DataFrame, int], None]:
+    """A publisher for the ad streams that appends every changed row with its batch id.
+
+    The rows hold totals, not increments, so the row of the highest batch is the current
+    one and a replayed batch does no harm.
+    """
+
+    def publish(table: str, rows: DataFrame, batch_id: int) -> None:
+        stamped = rows.withColumnsRenamed(AD_RECORD_NAMES).withColumn("batchid", F.lit(batch_id))
+        append_jdbc(stamped, target, table)
+
+    return publish
+
+
 def replace_table(
     df: DataFrame, name: str, partition_by: str | None = None, path: str | None = None
 ) -> None:

@@ -16,7 +16,8 @@ class BatchLog:
 
     A batch writes its own rows only, whatever the table has grown to, and a replayed batch
     overwrites its own folder, so nothing is counted twice. ``compact`` folds the folders
-    up to a batch into one snapshot. The modes:
+    up to a batch into a snapshot; with a ``segment`` column (the date) only the segments
+    those batches touched are written again. The modes:
 
     * ``insert``: a key is stored once;
     * ``sum``: values of a key add up;
@@ -31,13 +32,17 @@ class BatchLog:
         keys: Sequence[str],
         mode: str,
         value: str | None = None,
+        segment: str | None = None,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}")
+        if segment is not None and segment not in keys:
+            raise ValueError("the segment must be one of the keys")
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.mode = mode
         self.value = value
+        self.segment = segment
         self.columns = list(schema.names)
         self._stored = T.StructType(list(schema.fields)).add("batch_id", T.LongType())
 
@@ -51,38 +56,55 @@ class BatchLog:
         """The table as of batch ``upto`` (inclusive); as of the last one when None."""
         return self._merge(self._rows(spark, upto)).select(*self.columns)
 
+    def written(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows one batch stored."""
+        return self._log(spark, [batch_id]).select(*self.columns)
+
+    def changed(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The table's rows, as of a batch, for the keys that batch stored."""
+        keys = self.written(spark, batch_id).select(*self.keys).distinct()
+        return self.within(self.read(spark, batch_id), keys).join(keys, self.keys, "left_semi")
+
+    def within(self, rows: DataFrame, reference: DataFrame) -> DataFrame:
+        """``rows`` of the range of segments found in ``reference``.
+
+        One row with the two ends comes to the driver; as constants they prune the folders
+        and files to read.
+        """
+        if self.segment is None:
+            return rows
+        low, high = reference.agg(F.min(self.segment), F.max(self.segment)).first()
+        return rows.filter(F.col(self.segment).between(low, high))
+
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Write the state as of batch ``upto`` as a snapshot that later reads start from."""
-        merged = self._merge(self._rows(spark, upto))
-        merged.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
+        rows = self._rows(spark, upto)
+        target = f"{self.path}/snapshot/upto={upto}"
+        if self.segment is None:
+            self._merge(rows).write.mode("overwrite").parquet(target)
+            return
+        _, log = self._parts(spark, upto)
+        if not log:
+            return
+        touched = self._log(spark, log).select(self.segment).distinct()
+        merged = self._merge(
+            self.within(rows, touched).join(touched, self.segment, "left_semi")
+        )
+        by_segment = merged.hint("rebalance", self.segment)
+        by_segment.write.mode("overwrite").partitionBy(self.segment).parquet(target)
 
     def vacuum(self, spark: SparkSession, keep_from: int) -> None:
         """Delete what reads as of batch ``keep_from`` or later no longer need."""
-        base = self._snapshot(spark, keep_from)
-        if base is None:
+        bases = [n for n in self._complete(spark, "snapshot") if n <= keep_from]
+        if not bases:
             return
-        for kind, name in (("log", "batch_id"), ("snapshot", "upto")):
-            for number in self._folders(spark, kind):
-                if number < base or (kind == "log" and number == base):
-                    self._fs(spark)[0].delete(self._hadoop_path(spark, kind, name, number), True)
-
-    def _rows(self, spark: SparkSession, upto: int | None) -> DataFrame:
-        base = self._snapshot(spark, upto)
-        parts = []
-        if base is not None:
-            snapshot = spark.read.schema(self._stored)
-            parts.append(snapshot.parquet(f"{self.path}/snapshot/upto={base}"))
-        wanted = [
-            number
-            for number in self._folders(spark, "log")
-            if (base is None or number > base) and (upto is None or number <= upto)
-        ]
-        if wanted:
-            log = spark.read.schema(self._stored).option("basePath", f"{self.path}/log")
-            parts.append(log.parquet(*[f"{self.path}/log/batch_id={n}" for n in wanted]))
-        if not parts:
-            return spark.createDataFrame([], self._stored)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        needed, _ = self._parts(spark, bases[-1])
+        doomed = [f"log/batch_id={n}" for n in self._complete(spark, "log") if n <= bases[-1]]
+        for n in bases:
+            doomed += [p for p in self._snapshot_folders(spark, n).values() if p not in needed]
+        fs, jvm = self._fs(spark)
+        for folder in doomed:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         grouped = rows.groupBy(*self.keys)
@@ -96,22 +118,53 @@ class BatchLog:
             return grouped.agg(newest, last)
         return rows.join(grouped.agg(last), [*self.keys, "batch_id"], "left_semi")
 
-    def _fs(self, spark: SparkSession):
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+    def _rows(self, spark: SparkSession, upto: int | None) -> DataFrame:
+        snapshots, log = self._parts(spark, upto)
+        names = self._stored.names
+        rows = []
+        if snapshots:
+            reader = spark.read.schema(self._stored).option("basePath", f"{self.path}/snapshot")
+            rows.append(reader.parquet(*[f"{self.path}/{p}" for p in snapshots]).select(*names))
+        if log:
+            rows.append(self._log(spark, log))
+        if not rows:
+            return spark.createDataFrame([], self._stored)
+        return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+    def _log(self, spark: SparkSession, numbers: list[int]) -> DataFrame:
+        reader = spark.read.schema(self._stored).option("basePath", f"{self.path}/log")
+        return reader.parquet(*[f"{self.path}/log/batch_id={n}" for n in numbers])
+
+    def _parts(self, spark: SparkSession, upto: int | None) -> tuple[list[str], list[int]]:
+        """Snapshot folders and later batches that make up the table as of ``upto``."""
+        snapshots = [n for n in self._complete(spark, "snapshot") if upto is None or n <= upto]
+        newest: dict[str, str] = {}
+        for number in snapshots:
+            newest.update(self._snapshot_folders(spark, number))
+        base = snapshots[-1] if snapshots else -1
+        log = self._complete(spark, "log")
+        return sorted(newest.values()), [
+            n for n in log if n > base and (upto is None or n <= upto)
+        ]
 
-    def _hadoop_path(self, spark: SparkSession, *parts: str | int):
-        kind, name, number = parts
-        return self._fs(spark)[1].org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{name}={number}")
+    def _snapshot_folders(self, spark: SparkSession, number: int) -> dict[str, str]:
+        """Folder of each segment a snapshot holds."""
+        folder = f"snapshot/upto={number}"
+        if self.segment is None:
+            return {"": folder}
+        fs, jvm = self._fs(spark)
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{self.segment}=*")
+        names = [status.getPath().getName() for status in fs.globStatus(pattern) or []]
+        return {name: f"{folder}/{name}" for name in names}
 
-    def _folders(self, spark: SparkSession, kind: str) -> list[int]:
+    def _complete(self, spark: SparkSession, kind: str) -> list[int]:
         """Numbers of the completely written folders, ascending."""
         fs, jvm = self._fs(spark)
         found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/*/_SUCCESS"))
         names = [status.getPath().getParent().getName() for status in found or []]
         return sorted(int(name.split("=")[1]) for name in names)
 
-    def _snapshot(self, spark: SparkSession, upto: int | None) -> int | None:
-        usable = [n for n in self._folders(spark, "snapshot") if upto is None or n <= upto]
-        return usable[-1] if usable else None
+    def _fs(self, spark: SparkSession):
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,7 @@ from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sinks.batch_log import BatchLog
 
-# Called after each table's batch is stored: table name, the rows written, batch id.
+# Called after a batch is stored in a table: table name, the rows it changed, batch id.
 Publisher = Callable[[str, DataFrame, int], None]
 
 
@@ -46,6 +46,7 @@ class AdStore:
             ["date", "user_id", "ad_id"],
             "latest",
             "click_count",
+            segment="date",
         )
         self.totals = BatchLog(
             f"{path}/ad_stat",
@@ -53,12 +54,14 @@ class AdStore:
             ["date", "province", "city", "ad_id"],
             "sum",
             "click_count",
+            segment="date",
         )
         self.province_top = BatchLog(
             f"{path}/ad_province_top3",
             schemas.AD_PROVINCE_TOP3,
             ["date", "province"],
             "replace_group",
+            segment="date",
         )
         self.trend = BatchLog(
             f"{path}/ad_click_trend",
@@ -66,6 +69,7 @@ class AdStore:
             ["date", "hour", "minute", "ad_id"],
             "latest",
             "click_count",
+            segment="date",
         )
 
 
@@ -111,6 +115,22 @@ def clicks_with_running_counts(lines: DataFrame, settings: AdSettings) -> DataFr
     return clicks.drop("ts").unionByName(counts, allowMissingColumns=True)
 
 
+def _save(
+    name: str, log: BatchLog, rows: DataFrame, batch_id: int, publish: Publisher | None
+) -> None:
+    log.write(rows, batch_id)
+    if publish is not None:
+        publish(name, log.changed(rows.sparkSession, batch_id), batch_id)
+
+
+def _fold(logs: Sequence[BatchLog], spark: SparkSession, batch_id: int, settings: AdSettings) -> None:
+    """Compact now and then. A replay of this batch still finds the state before it."""
+    if (batch_id + 1) % settings.compact_every == 0:
+        for log in logs:
+            log.compact(spark, batch_id)
+            log.vacuum(spark, batch_id - 1)
+
+
 def apply_batch(
     batch: DataFrame,
     batch_id: int,
@@ -136,26 +156,18 @@ def apply_batch(
             banned,
         )
 
-        def save(name: str, log: BatchLog, rows: DataFrame) -> None:
-            log.write(rows, batch_id)
-            if publish is not None:
-                written = spark.read.schema(rows.select(*log.columns).schema)
-                publish(name, written.parquet(f"{log.path}/log/batch_id={batch_id}"), batch_id)
-
-        save("ad_user_click_count", store.user_clicks, counts)
-        save("ad_blacklist", store.blacklist, ads.blacklisted_users(counts, settings.threshold))
-        save("ad_stat", store.totals, ads.sum_totals(kept))
-        touched = (
-            spark.read.schema(schemas.AD_STAT)
-            .parquet(f"{store.totals.path}/log/batch_id={batch_id}")
-            .select("date", "province")
-            .distinct()
+        _save("ad_user_click_count", store.user_clicks, counts, batch_id, publish)
+        crossed = ads.blacklisted_users(counts, settings.threshold)
+        _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
+        _save("ad_stat", store.totals, ads.sum_totals(kept), batch_id, publish)
+        touched = store.totals.written(spark, batch_id).select("date", "province").distinct()
+        totals = store.totals.within(store.totals.read(spark, batch_id), touched)
+        top = ads.top_ads_by_province(
+            totals.join(touched, ["date", "province"], "left_semi"), settings.top
         )
-        totals = store.totals.read(spark, batch_id).join(touched, ["date", "province"], "left_semi")
-        save("ad_province_top3", store.province_top, ads.top_ads_by_province(totals, settings.top))
-        if (batch_id + 1) % settings.compact_every == 0:
-            for log in (store.blacklist, store.user_clicks, store.totals, store.province_top):
-                log.compact(spark, batch_id)
+        _save("ad_province_top3", store.province_top, top, batch_id, publish)
+        logs = (store.blacklist, store.user_clicks, store.totals, store.province_top)
+        _fold(logs, spark, batch_id, settings)
     finally:
         batch.unpersist()
 
@@ -195,14 +207,8 @@ def start_click_trend(
     trend = ads.click_trend(ads.parse_clicks(source), settings.trend_lateness)
 
     def save(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        store.trend.write(rows, batch_id)
-        if publish is not None:
-            written = spark.read.schema(schemas.AD_CLICK_TREND)
-            folder = f"{store.trend.path}/log/batch_id={batch_id}"
-            publish("ad_click_trend", written.parquet(folder), batch_id)
-        if (batch_id + 1) % settings.compact_every == 0:
-            store.trend.compact(spark, batch_id)
+        _save("ad_click_trend", store.trend, rows, batch_id, publish)
+        _fold([store.trend], rows.sparkSession, batch_id, settings)
 
     writer = (
         trend.writeStream.outputMode("update")

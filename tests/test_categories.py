@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+from clickloom.operators import categories
+from clickloom.sources.tables import actions_in_range
+
+
+def test_counts_equal_brute_force(log, november):
+    rng = random.Random(5)
+    records, want = [], Counter()
+    for i in range(600):
+        # One session holds a third of the log.
+        record = {"session_id": "hot" if i % 3 == 0 else f"s{rng.randrange(40)}"}
+        kind = rng.choice(["click", "order", "pay", "view"])
+        ids = [rng.randrange(25) for _ in range(rng.choice([1, 2, 3]))]
+        if kind == "click":
+            record["click_category_id"] = ids[0]
+            want[ids[0], "click"] += 1
+        elif kind in ("order", "pay"):
+            record[f"{kind}_category_ids"] = ",".join(map(str, ids))
+            for category in ids:
+                want[category, kind] += 1
+        records.append(record)
+    actions = actions_in_range(log(*records), november)
+    per_session = categories.category_session_counts(actions)
+    got = categories.category_counts(per_session).collect()
+    assert {row.category_id for row in got} == {category for category, _ in want}
+    for row in got:
+        for kind in categories.KINDS:
+            assert row[f"{kind}_count"] == want[row.category_id, kind]
+    order = sorted(
+        {c for c, _ in want},
+        key=lambda c: (-want[c, "click"], -want[c, "order"], -want[c, "pay"], c),
+    )
+    top = categories.top_categories(categories.category_counts(per_session)).collect()
+    assert [row.category_id for row in top] == order[:10]
+
+
+def test_absent_category_is_no_category(log, november):
+    actions = actions_in_range(
+        log({}, {"click_category_id": 3}, {"order_category_ids": "4,,x,5"}), november
+    )
+    counts = categories.category_counts(categories.category_session_counts(actions))
+    assert {row.category_id for row in counts.collect()} == {3, 4, 5}
+
+
+def test_sessions_rank_by_number_not_text(spark):
+    counts = spark.createDataFrame(
+        [("nine", 1, 9, 0, 0), ("ten", 1, 10, 0, 0), ("none", 1, 0, 5, 5), ("other", 2, 99, 0, 0)],
+        "session_id string, category_id long, click_count long, order_count long, pay_count long",
+    )
+    top = spark.createDataFrame([(1,)], "category_id long")
+    assert [r.session_id for r in categories.top_sessions(counts, top, 1).collect()] == ["ten"]
+    found = categories.top_sessions(counts, top, 10).collect()
+    assert {r.session_id for r in found} == {"nine", "ten"}
+
+
+def test_detail_of_a_session_that_leads_two_categories(spark, log, november):
+    actions = actions_in_range(log({"page_id": 1}, {"page_id": 2}), november)
+    top = spark.createDataFrame([(1, "s"), (2, "s")], "category_id long, session_id string")
+    assert categories.top_session_detail(actions, top).count() == 2
+    assert categories.top_session_detail(actions, top, repeat=True).count() == 4

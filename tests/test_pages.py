@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from clickloom.operators import pages, skew
+from clickloom.sources.tables import actions_in_range
+
+
+def _random_log(seed, actions=500):
+    rng = random.Random(seed)
+    records = []
+    for i in range(actions):
+        # One session holds a third of the log; its times collide and span three days.
+        hot = i % 3 == 0
+        day = rng.choice(["2017-11-10", "2017-11-11", "2017-11-12"]) if hot else "2017-11-10"
+        clock = f"{rng.choice([3, 4])}:{rng.randrange(2):02d}:{rng.randrange(6):02d}"
+        records.append(
+            {
+                "session_id": "hot" if hot else f"s{rng.randrange(60)}",
+                "date": day,
+                "action_time": f"{day} {clock}",
+                "page_id": rng.randrange(5),
+            }
+        )
+    return records
+
+
+def _brute_force(records):
+    sessions = defaultdict(list)
+    for record in records:
+        sessions[record["session_id"]].append((record["action_time"], record["page_id"]))
+    steps = Counter()
+    for visits in sessions.values():
+        walk = [page for _, page in sorted(visits)]
+        steps.update(zip(walk, walk[1:] + [None]))
+    return steps
+
+
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 50, 1])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_steps_equal_brute_force_on_either_path(log, november, seed, heavy_rows):
+    records = _random_log(seed)
+    steps = pages.page_steps(actions_in_range(log(*records), november), heavy_rows)
+    got = Counter()
+    for row in steps.collect():
+        got[row.page_id, row.next_page_id] += row.steps
+    assert got == _brute_force(records)
+
+
+def test_heavy_keys_are_those_over_both_bounds(spark, monkeypatch):
+    frame = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)], "k string")
+    assert {r.k for r in skew.heavy_keys(frame, "k", 3).collect()} == {"a", "b"}
+    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 2)
+    assert {r.k for r in skew.heavy_keys(frame, "k", 3).collect()} == {"a"}
+
+
+@pytest.fixture(scope="module")
+def rates(spark):
+    def run(steps, flow):
+        frame = spark.createDataFrame(steps, "page_id long, next_page_id long, steps long")
+        return pages.conversion_rates(frame, flow)
+
+    return run
+
+
+def test_rates_chain_and_missing_pairs_are_zero(rates):
+    steps = [(1, 2, 10), (1, None, 30), (2, 3, 4), (2, None, 6), (3, None, 4)]
+    got = rates(steps, [1, 2, 3, 4, 5])
+    assert [(r.pair, r.pv, r.rate) for r in got.orderBy("position").collect()] == [
+        ("1_2", 10, 0.25),
+        ("2_3", 4, 0.4),
+        ("3_4", 0, 0.0),
+        ("4_5", 0, None),
+    ]
+    assert pages.conversion_text(got).first().convert_rate == "1_2=0.25|2_3=0.4|3_4=0.0|4_5=null"
+
+
+def test_no_view_of_the_start_page(rates):
+    assert [r.rate for r in rates([(7, 8, 1)], [1, 2, 3]).collect()] == [None, None]
+
+
+def test_repeated_pair_keeps_its_places(rates):
+    text = pages.conversion_text(rates([(1, 2, 4), (2, 1, 2)], [1, 2, 1, 2])).first().convert_rate
+    assert text == "1_2=1.0|2_1=0.5|1_2=2.0"
+
+
+def test_flow_of_one_page_is_refused(rates):
+    with pytest.raises(ValueError):
+        rates([], [1])

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+from dataclasses import replace
+
+import pytest
+
+from clickloom.operators import sessions
+from clickloom.sources.tables import actions_in_range
+
+
+@pytest.fixture(scope="module")
+def chosen(log, people, november):
+    """Ids of the sessions a task keeps of a log given as dicts."""
+
+    def run(records, **filters):
+        params = replace(november, **filters)
+        actions = actions_in_range(log(*records), params)
+        found = sessions.filtered_sessions(actions, people, params).collect()
+        return {row.session_id for row in found}
+
+    return run
+
+
+def test_rollup(log, people, november):
+    actions = actions_in_range(
+        log(
+            {"action_time": "2017-11-10 3:00:09", "search_keyword": "fish hotpot"},
+            {"action_time": "2017-11-10 3:00:01", "search_keyword": "hotpot", "user_id": -1},
+            {"action_time": "2017-11-10 10:00:00", "click_category_id": 11},
+            {"action_time": "2017-11-10 3:00:02", "click_category_id": 1},
+            {"action_time": "2017-11-10 3:00:03", "click_category_id": 1, "search_keyword": ""},
+            {"session_id": "of nobody", "user_id": 77},
+            {"session_id": "another day", "date": "2017-12-01"},
+        ),
+        november,
+    )
+    (row,) = sessions.filtered_sessions(actions, people, november).collect()
+    # Neither the word inside another word nor the id inside another id is lost.
+    assert row.search_keywords == "fish hotpot,hotpot"
+    assert row.click_category_ids == "1,11"
+    assert (row.start_time, row.visit_length) == ("2017-11-10 03:00:01", 25199)
+    assert (row.step_length, row.user_id, row.age) == (5, 1, 20)
+
+
+def test_impossible_end_date_compares_as_text(chosen):
+    assert chosen([{"date": "2017-11-30"}]) == {"s"}
+    assert chosen([{"date": "2017-12-01"}]) == set()
+
+
+def test_user_filters(chosen):
+    both = [{"session_id": "a", "user_id": 1}, {"session_id": "b", "user_id": 2}]
+    assert chosen(both) == {"a", "b"}
+    assert chosen(both, start_age=20, end_age=49) == {"a"}
+    assert chosen(both, start_age=21, end_age=50) == {"b"}
+    assert chosen(both, start_age=21) == {"a", "b"}
+    assert chosen(both, professionals=("art", "law")) == {"b"}
+    assert chosen(both, sex="male") == {"a"}
+    # A city of exactly -1 never matches.
+    assert chosen(both, cities=("-1", "rome")) == {"a"}
+
+
+def test_interest_filters(chosen):
+    words = [
+        {"session_id": "a", "search_keyword": "hotpot"},
+        {"session_id": "b", "search_keyword": "hot"},
+        {"session_id": "b", "search_keyword": "-1"},
+        {"session_id": "c", "search_keyword": "-1"},
+        {"session_id": "d", "click_category_id": 1},
+        {"session_id": "e", "click_category_id": 11},
+        {"session_id": "e", "click_category_id": 2},
+    ]
+    assert chosen(words, keywords=("hot", "x")) == {"b"}
+    assert chosen(words, keywords=("-1",)) == {"b"}
+    assert chosen(words, category_ids=("1", "2")) == {"d", "e"}
+    assert chosen(words, category_ids=("-1",)) == set()
+    assert chosen(words, keywords=("hot",), category_ids=("1",)) == set()
+
+
+@pytest.mark.parametrize(
+    "source, length, bucket",
+    [
+        ("visit_length", 0, None),
+        ("visit_length", 1, "visit_length_1s_3s"),
+        ("visit_length", 3, "visit_length_1s_3s"),
+        ("visit_length", 4, "visit_length_4s_6s"),
+        ("visit_length", 6, "visit_length_4s_6s"),
+        ("visit_length", 7, "visit_length_7s_9s"),
+        ("visit_length", 9, "visit_length_7s_9s"),
+        ("visit_length", 10, "visit_length_10s_30s"),
+        ("visit_length", 30, "visit_length_10s_30s"),
+        ("visit_length", 31, "visit_length_30s_60s"),
+        ("visit_length", 60, "visit_length_30s_60s"),
+        ("visit_length", 61, "visit_length_1m_3m"),
+        ("visit_length", 180, "visit_length_1m_3m"),
+        ("visit_length", 181, "visit_length_3m_10m"),
+        ("visit_length", 600, "visit_length_3m_10m"),
+        ("visit_length", 601, "visit_length_10m_30m"),
+        ("visit_length", 1800, "visit_length_10m_30m"),
+        ("visit_length", 1801, "visit_length_30m"),
+        ("step_length", 1, "step_length_1_3"),
+        ("step_length", 3, "step_length_1_3"),
+        ("step_length", 4, "step_length_4_6"),
+        ("step_length", 6, "step_length_4_6"),
+        ("step_length", 7, "step_length_7_9"),
+        ("step_length", 9, "step_length_7_9"),
+        ("step_length", 10, "step_length_10_30"),
+        ("step_length", 30, "step_length_10_30"),
+        ("step_length", 31, "step_length_30_60"),
+        ("step_length", 60, "step_length_30_60"),
+        ("step_length", 61, "step_length_60"),
+    ],
+)
+def test_bucket_edges(spark, source, length, bucket):
+    values = {"visit_length": 0, "step_length": 0, source: length}
+    frame = spark.createDataFrame([(values["visit_length"], values["step_length"])], list(values))
+    counts = sessions.length_histogram(frame).first().asDict()
+    assert counts.pop("session_count") == 1
+    assert {name for name, count in counts.items() if count} == ({bucket} - {None})
+
+
+def test_ratios_round_half_up_and_are_null_without_sessions(spark):
+    frame = spark.range(200).selectExpr("IF(id < 29, 2L, 0L) AS visit_length", "1L AS step_length")
+    ratios = sessions.length_ratios(frame).first()
+    assert (ratios.visit_length_1s_3s_ratio, ratios.step_length_1_3_ratio) == (0.15, 1.0)
+    nothing = sessions.length_ratios(frame.filter("false")).first()
+    assert (nothing.session_count, nothing.step_length_60_ratio) == (0, None)
+
+
+def test_detail_keeps_every_action_once(log, people, november):
+    actions = actions_in_range(
+        log({"page_id": 1}, {"page_id": 1}, {"session_id": "x", "user_id": 77}), november
+    )
+    found = sessions.session_detail(
+        actions, sessions.filtered_sessions(actions, people, november)
+    )
+    assert [row.session_id for row in found.collect()] == ["s", "s"]
