@@ -1,12 +1,11 @@
 """Ad clicks: parsing, daily counts, blacklist, running totals, top ads and trend.
 
-Every function but ``blacklisted_users``, ``without_users`` and ``top_ads_by_province``
-works on a batch and on a stream.
+Parsing, counts, totals and trend work on a batch and on a stream; the rest on a batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.datetime import format_date, from_epoch_millis
@@ -15,13 +14,19 @@ BLACKLIST_THRESHOLD = 100
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    parts = F.split("value", " ")
-    return lines.select(
-        from_epoch_millis(F.get(parts, F.lit(0)).try_cast("long")).alias("ts"),
-        F.get(parts, F.lit(1)).alias("province"),
-        F.get(parts, F.lit(2)).alias("city"),
-        F.get(parts, F.lit(3)).try_cast("long").alias("user_id"),
-        F.get(parts, F.lit(4)).try_cast("long").alias("ad_id"),
+    # Exploding the one-element array fixes the split as a column. As a plain expression it
+    # would be copied into each condition of a later filter, which doubles the time.
+    split = F.explode(F.array(F.split("value", " "))).alias("parts")
+
+    def part(i: int) -> Column:
+        return F.get("parts", F.lit(i))
+
+    return lines.select(split).select(
+        from_epoch_millis(part(0).try_cast("long")).alias("ts"),
+        part(1).alias("province"),
+        part(2).alias("city"),
+        part(3).try_cast("long").alias("user_id"),
+        part(4).try_cast("long").alias("ad_id"),
     )
 
 
@@ -59,6 +64,16 @@ def without_users(clicks: DataFrame, users: DataFrame) -> DataFrame:
     return clicks.join(users.select("user_id"), "user_id", "left_anti")
 
 
+def counts_without_users(counts: DataFrame, users: DataFrame) -> DataFrame:
+    """``without_users`` for clicks that are already combined; ``users`` are distinct.
+
+    An outer join with a test for no match: Catalyst would move an anti join below the
+    aggregate and shuffle every click of a hot user.
+    """
+    listed = users.select("user_id", F.lit(True).alias("listed"))
+    return counts.join(listed, "user_id", "left").filter(F.col("listed").isNull()).drop("listed")
+
+
 def click_counts(clicks: DataFrame) -> DataFrame:
     """Clicks by every key the totals use, so that a hot user or ad is a few rows afterwards."""
     return clicks.groupBy("date", "user_id", "province", "city", "ad_id").agg(

@@ -36,13 +36,15 @@ def category_session_counts(actions: DataFrame, sessions: DataFrame | None = Non
     """Counts per category and session, for the given sessions (all when None).
 
     The log is combined to (session, category) before any shuffle and only then joined
-    with the sessions, so a session with a third of all actions is a few rows by then.
+    with the sessions, so a session with a third of all actions is a few rows by then. The
+    sessions are distinct, so an inner join keeps what a semi join would; Catalyst would
+    move a semi join below the aggregate and shuffle every action.
     """
     counts = [F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in KINDS]
     grouped = category_events(actions).groupBy("session_id", "category_id").agg(*counts)
     if sessions is None:
         return grouped
-    return grouped.join(sessions.select("session_id"), "session_id", "left_semi")
+    return grouped.join(sessions.select("session_id"), "session_id")
 
 
 def category_counts(per_session: DataFrame) -> DataFrame:

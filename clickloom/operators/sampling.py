@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.datetime import format_time
 from clickloom.operators.sessions import session_summary
 
 # A drawn set up to this size is broadcast to fetch its actions.
@@ -87,13 +88,13 @@ def keep_actions_of(actions: DataFrame, drawn: DataFrame, size: int) -> DataFram
 
 
 def extract_report(actions: DataFrame, drawn: DataFrame, sample_size: int = 100) -> DataFrame:
-    """The drawn sessions with their search words and clicked categories.
+    """The drawn sessions with their start, search words and clicked categories.
 
     The sets are built for the drawn sessions only.
     """
-    sets = session_summary(keep_actions_of(actions, drawn, sample_size)).select(
-        "session_id", "search_keywords", "click_category_ids"
-    )
-    return drawn.join(sets, "session_id").select(
-        "session_id", "start_time", "search_keywords", "click_category_ids"
+    return session_summary(keep_actions_of(actions, drawn, sample_size)).select(
+        "session_id",
+        format_time(F.col("start_ts")).alias("start_time"),
+        "search_keywords",
+        "click_category_ids",
     )

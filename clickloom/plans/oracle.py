@@ -393,6 +393,7 @@ _SELECTS = {
           city_infos AS "cityInfos", click_count AS "clickCount", product_name AS "productName",
           product_status AS "productStatus" FROM area_top""",
 }
+_SELECTS["area_top3_products_sql"] = _SELECTS["area_top3_products"]
 _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
 
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from clickloom import schemas
 from clickloom.functions import datetime as dt
 from clickloom.functions import text
+from clickloom.functions.sql import register_sql_functions
 from clickloom.operators import ads, categories, counters, pages, products, sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.plans import reports
-from clickloom.session import scratch_path
+from clickloom.session import materialize, scratch_path
 from clickloom.sinks import batch as batch_sinks
 from clickloom.sinks import merge
 from clickloom.sources import standins
-from clickloom.sources.tables import actions_in_range, product_clicks
+from clickloom.sources.tables import actions_in_range, default_cities, product_clicks
 from clickloom.streaming.ad_clicks import AdSettings, AdStore, start_ad_stats, start_click_trend
 from clickloom.streaming.sources import file_lines
 
@@ -106,6 +107,42 @@ def area_top3_products(spark: SparkSession, sf: str) -> DataFrame:
     return products.area_top_products(click_product_scan(spark, sf), standins.products(spark, sf))
 
 
+def area_top3_products_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report written as SQL over views."""
+    register_sql_functions(spark)
+    views = {
+        "product_clicks": click_product_scan(spark, sf),
+        "product_info": standins.products(spark, sf),
+        "city_info": F.broadcast(default_cities(spark)),
+    }
+    return spark.sql(
+        """
+        WITH by_city AS (
+          SELECT city_id, product_id, count(*) AS clicks
+          FROM {product_clicks} GROUP BY city_id, product_id),
+        labelled AS (
+          SELECT area, product_id, clicks, concat_long_string(city_id, city_name, ':') AS city
+          FROM by_city JOIN {city_info} USING (city_id)),
+        by_area AS (
+          SELECT area, product_id, sum(clicks) AS click_count,
+            listagg(DISTINCT city, ',') WITHIN GROUP (ORDER BY city) AS city_infos
+          FROM labelled GROUP BY area, product_id),
+        ranked AS (
+          SELECT by_area.*, product_name,
+            if(json_field(extend_info, 'product_status') = '0', 'Self', 'Third Party')
+              AS product_status,
+            row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS place
+          FROM by_area JOIN {product_info} USING (product_id))
+        SELECT area,
+          CASE WHEN area IN ('华北', '华东') THEN 'A Level' WHEN area IN ('华南', '华中') THEN 'B Level'
+               WHEN area IN ('西北', '西南') THEN 'C Level' ELSE 'D Level' END AS area_level,
+          product_id, city_infos, click_count, product_name, product_status
+        FROM ranked WHERE place <= 3
+        """,
+        **views,
+    )
+
+
 # Sessions
 
 def session_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +189,8 @@ def top10_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top10_sessions_per_category(spark: SparkSession, sf: str) -> DataFrame:
-    per_session = _per_session(spark, sf)
+    # Used twice with different columns; stored once, the log is scanned once.
+    per_session = materialize(_per_session(spark, sf), "category-sessions")
     top = categories.top_categories(categories.category_counts(per_session))
     return categories.top_sessions(per_session, top)
 
@@ -240,7 +278,7 @@ def ad_running_stat(spark: SparkSession, sf: str) -> DataFrame:
 
 def ad_running_stat_without_blacklisted(spark: SparkSession, sf: str) -> DataFrame:
     counts = ads.click_counts(_clicks(spark, sf))
-    return ads.sum_totals(ads.without_users(counts, ad_blacklist_users(spark, sf)))
+    return ads.sum_totals(ads.counts_without_users(counts, ad_blacklist_users(spark, sf)))
 
 
 def ad_province_top3(spark: SparkSession, sf: str) -> DataFrame:
@@ -382,7 +420,7 @@ def sink_roundtrip_table(spark: SparkSession, sf: str) -> DataFrame:
     """The action log as a table partitioned by date, read back through its catalog name."""
     path = scratch_path(spark, "action-table")
     name = "t_" + path[-32:]
-    batch_sinks.replace_table(standins.user_visit_actions(spark, sf), name, "date", path)
+    batch_sinks.replace_table(standins.user_visit_actions(spark, sf), name, "date", path=path)
     # Partition values are read back with the type they had: text.
     return spark.table(name).select(*schemas.USER_VISIT_ACTION.names)
 
@@ -451,6 +489,7 @@ QUERIES: dict[str, Query] = {
         product_scan,
         area_product_counts,
         area_top3_products,
+        area_top3_products_sql,
         session_rollup,
         session_filter,
         session_filter_people,

@@ -37,18 +37,31 @@ def jdbc_publisher(target: JdbcTarget) -> Callable[[str, DataFrame, int], None]:
 
 
 def replace_table(
-    df: DataFrame, name: str, partition_by: str | None = None, path: str | None = None
+    df: DataFrame,
+    name: str,
+    partition_by: str | None = None,
+    bucket_by: tuple[str, int] | None = None,
+    path: str | None = None,
 ) -> None:
     """Replace a catalog table.
 
     Partition the action log by ``date``: a task then reads its own days only. Rows are
     first sent to their partition, so a day is not one small file per task; AQE splits a
     large day again.
+
+    ``bucket_by``, for example ``("session_id", 4096)``, stores rows by key instead: rollups,
+    windows and joins on the key then need no shuffle. A key with a large share of the rows
+    makes one large bucket, so leave it out where such keys are expected.
     """
-    if partition_by:
-        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    if bucket_by:
+        column, buckets = bucket_by
+        writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
+    elif partition_by:
+        writer = df.hint("rebalance", partition_by).write
     else:
         writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     if path:
         writer = writer.option("path", path)
     writer.mode("overwrite").saveAsTable(name)

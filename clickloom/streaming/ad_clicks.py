@@ -149,7 +149,7 @@ def apply_batch(
     try:
         banned = store.blacklist.read(spark, batch_id - 1)
         counts = ads.without_users(batch.filter("is_count"), banned)
-        kept = ads.without_users(
+        kept = ads.counts_without_users(
             batch.filter("NOT is_count")
             .groupBy("date", "user_id", "province", "city", "ad_id")
             .agg(F.sum("click_count").alias("click_count")),

@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
         4,
         {
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from clickloom.functions import datetime as dt
 from clickloom.functions import text
 from clickloom.functions.predicates import any_of, equals, number_in
+from clickloom.functions.sql import register_sql_functions
+from clickloom.operators.counters import count_by_key
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +107,19 @@ def test_number_and_text_predicates(evaluate):
     assert not evaluate(number_in(F.lit(51), 20, 50))
     assert evaluate(number_in(F.lit(51), 20, None))
     assert evaluate(equals(F.lit("male"), "")) and not evaluate(equals(F.lit("male"), "female"))
+
+
+def test_sql_functions(spark):
+    register_sql_functions(spark)
+    row = spark.sql(
+        """SELECT concat_long_string(7L, 'x', ':') AS a, json_field('{"k": 1}', 'k') AS b"""
+    ).first()
+    assert tuple(row) == ("7:x", "1")
+
+
+def test_keyed_counter(spark):
+    # 144 keys in a repeating order.
+    keys = ["k1", "k2", "k3"] * 3 + ["k1", "k4", "k3"] * 3
+    frame = spark.createDataFrame([(key,) for key in keys * 8], "k string")
+    got = {row.key: row["count"] for row in count_by_key(frame, "k").collect()}
+    assert got == {"k1": 48, "k2": 24, "k3": 48, "k4": 24}

@@ -76,6 +76,21 @@ def test_sample_fills_the_quota_without_replacement(sessions):
     assert {(r.date, r.hour): r.quota for r in quota if r.quota} == dict(taken)
 
 
+def test_hourly_counts_of_text_dates(spark):
+    # Starts by date and hour, one of them on a day that does not exist.
+    starts = (
+        ["2017-11-31 11"] * 2 + ["2017-11-31 12"] * 3 + ["2017-11-31 13"]
+        + ["2017-12-01 11"] * 3 + ["2017-12-01 14"] * 2 + ["2017-12-01 15"]
+        + ["2017-11-11 11", "2017-11-11 14"] + ["2017-11-11 17"] * 4
+    )
+    frame = spark.createDataFrame(
+        [(f"s{i}", f"{start}:00:00") for i, start in enumerate(starts)],
+        "session_id string, start_time string",
+    )
+    got = sampling.hourly_session_counts(frame).collect()
+    assert {f"{r.date} {r.hour}": r.session_count for r in got} == Counter(starts)
+
+
 def test_sample_depends_on_the_seed_alone(sessions):
     def ids(frame, seed):
         return {r.session_id for r in sampling.sample_sessions(frame, 100, seed).collect()}
