@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from clickloom.functions.datetime import format_date, from_epoch_millis
 
 BLACKLIST_THRESHOLD = 100
+# Milliseconds of the years 1 to 9999; a number outside is no time but a malformed line.
+_FIRST_MILLIS, _LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _fields(lines: DataFrame) -> DataFrame:
@@ -21,8 +23,10 @@ def _fields(lines: DataFrame) -> DataFrame:
     def part(i: int) -> Column:
         return F.get("parts", F.lit(i))
 
+    millis = part(0).try_cast("long")
+    in_range = millis.between(_FIRST_MILLIS, _LAST_MILLIS)
     return lines.select(split).select(
-        from_epoch_millis(part(0).try_cast("long")).alias("ts"),
+        F.when(in_range, from_epoch_millis(millis)).alias("ts"),
         part(1).alias("province"),
         part(2).alias("city"),
         part(3).try_cast("long").alias("user_id"),

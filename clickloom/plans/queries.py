@@ -315,7 +315,7 @@ def _run_stream(spark: SparkSession, sf: str, start) -> AdStore:
             file_lines(spark, f"{folder}/in"),
             store,
             f"{folder}/checkpoint",
-            AdSettings(threshold=THRESHOLD, compact_every=2, trend_lateness=None),
+            AdSettings(threshold=THRESHOLD, trend_lateness=None),
             available_now=True,
         ).awaitTermination()
     return store

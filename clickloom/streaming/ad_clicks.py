@@ -29,7 +29,8 @@ class AdSettings:
     retain_days: int | None = None
     # How late a click may reach the trend; None accepts any.
     trend_lateness: str | None = "60 minutes"
-    # Spread the source over this many partitions; None leaves it as it is.
+    # Spread the source over this many partitions; None leaves it as it is. Clicks and
+    # counts are two branches over the source: spread, they share one read of it.
     source_partitions: int | None = None
 
 

@@ -30,6 +30,8 @@ def test_parse(spark, clicks):
         "x 7 8 9 10",
         "1 7 8 x 10",
         "1 7 8 9 x",
+        f"{2**63 - 1} 7 8 9 10",
+        f"{2**63} 7 8 9 10",
         "",
     ]
     got = clicks(*lines).collect()
@@ -37,7 +39,7 @@ def test_parse(spark, clicks):
     assert (got[0].date, got[0].province, got[0].city) == ("2017-11-10", "7", "8")
     assert (got[0].user_id, got[0].ad_id) == (9, 10)
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
-    assert tuple(ads.line_quality(frame).first()) == (7, 5)
+    assert tuple(ads.line_quality(frame).first()) == (9, 7)
 
 
 def test_blacklist_needs_one_ad_on_one_day(clicks):

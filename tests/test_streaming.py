@@ -195,6 +195,14 @@ def test_old_days_leave_the_state(spark):
     assert ("2017-11-10", "1", "1", 5, 3) in _table(feed.store.totals, spark)
 
 
+@pytest.mark.parametrize("partitions, reads", [(None, 2), (3, 1)])
+def test_spread_source_is_read_once(spark, partitions, reads):
+    feed = Feed(spark, start_ad_stats, source_partitions=partitions)
+    feed.arrive([_line(10, 1, 1, user, 5) for user in range(10)])
+    assert feed.run().recentProgress[0]["numInputRows"] == 10 * reads
+    assert _table(feed.store.totals, spark) == {("2017-11-10", "1", "1", 5, 10)}
+
+
 def test_streaming_totals_in_complete_mode(spark):
     folder = scratch_path(spark, "complete")
     spark.createDataFrame([(_line(10, 1, 1, 5, 5),)] * 3, "value string").write.text(folder)
