@@ -37,21 +37,31 @@ def _fields(lines: DataFrame) -> DataFrame:
 _WELL_FORMED = "ts IS NOT NULL AND user_id IS NOT NULL AND ad_id IS NOT NULL"
 
 
-def parse_clicks(lines: DataFrame) -> DataFrame:
-    """``timestamp province city userid adid`` lines to columns; malformed lines are left out."""
-    return (
-        _fields(lines)
-        .filter(_WELL_FORMED)
-        .select(format_date(F.col("ts")).alias("date"), "ts", "province", "city", "user_id", "ad_id")
+def _line_measures() -> list[Column]:
+    malformed = ~F.expr(f"coalesce({_WELL_FORMED}, false)")
+    return [
+        F.count(F.lit(1)).alias("line_count"),
+        F.count_if(malformed).alias("malformed_count"),
+    ]
+
+
+def parse_clicks(lines: DataFrame, observed_as: str | None = None) -> DataFrame:
+    """``timestamp province city userid adid`` lines to columns; malformed lines are left out.
+
+    With ``observed_as`` Spark reports the counts of ``line_quality`` under that name, for a
+    stream in the progress of every batch.
+    """
+    fields = _fields(lines)
+    if observed_as is not None:
+        fields = fields.observe(observed_as, *_line_measures())
+    return fields.filter(_WELL_FORMED).select(
+        format_date(F.col("ts")).alias("date"), "ts", "province", "city", "user_id", "ad_id"
     )
 
 
 def line_quality(lines: DataFrame) -> DataFrame:
     """One row: how many lines there are and how many of them are malformed."""
-    return _fields(lines).agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.count_if(~F.expr(f"coalesce({_WELL_FORMED}, false)")).alias("malformed_count"),
-    )
+    return _fields(lines).agg(*_line_measures())
 
 
 def user_daily_clicks(clicks: DataFrame) -> DataFrame:

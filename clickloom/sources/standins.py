@@ -24,8 +24,20 @@ WORDS = [
 ]
 
 
+# Given, so that no job has to look into a file for it.
+_SCHEMAS = {
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, "
+    "props STRING",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "part": "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _props_k() -> Column:

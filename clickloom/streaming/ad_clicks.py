@@ -100,14 +100,10 @@ def clicks_with_running_counts(lines: DataFrame, settings: AdSettings) -> DataFr
     One query yields both, so a batch always sees the counts as of itself. The counts live
     in the state store: a batch touches the keys it brings and no others. They need no
     blacklist filter, because up to the batch in which a user reaches the threshold none of
-    the user's clicks is filtered, and after it the user's counts are not read.
+    the user's clicks is filtered, and after it the user's counts are not read. The numbers
+    of lines and of malformed lines are reported as the observation ``ad_lines``.
     """
-    observed = lines.observe(
-        "ad_lines",
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.size(F.split("value", " ")) < 5).alias("short_lines"),
-    )
-    clicks = ads.parse_clicks(observed).withColumns(
+    clicks = ads.parse_clicks(lines, observed_as="ad_lines").withColumns(
         {"click_count": F.lit(1).cast("long"), "is_count": F.lit(False)}
     )
     counts = _running_user_clicks(ads.parse_clicks(lines), settings.retain_days).withColumn(

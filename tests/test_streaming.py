@@ -84,7 +84,7 @@ def _model(batches, threshold):
     )
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 100])
+@pytest.mark.parametrize("compact_every", [1, 3])
 def test_stream_equals_model_across_restarts(spark, compact_every):
     rng = random.Random(4)
     # User 0 makes a third of the clicks.
@@ -134,7 +134,8 @@ def test_several_batches_in_one_run_count_every_line_once(spark):
     )
     query = feed.run()
     seen = [p.observedMetrics["ad_lines"] for p in query.recentProgress if p.observedMetrics]
-    assert sum(m["lines"] for m in seen) == 110 and sum(m["short_lines"] for m in seen) == 5
+    assert sum(m["line_count"] for m in seen) == 110
+    assert sum(m["malformed_count"] for m in seen) == 10
     assert len({n for _, _, n in feed.published}) > 1
     assert _table(feed.store.totals, spark) == _model([clicks], 10**6)[2]
 
