@@ -26,7 +26,9 @@ def page_steps(actions: DataFrame, heavy_rows: int = MIN_HEAVY_ROWS) -> DataFram
     heavy = F.broadcast(heavy_keys(log, "session_id", heavy_rows))
     by_time = Window.partitionBy("session_id").orderBy("action_ts", "page_id")
     light_steps = log.join(heavy, "session_id", "left_anti").select(
-        "page_id", F.lead("page_id").over(by_time).alias("next_page_id"), F.lit(1).alias("steps")
+        "page_id",
+        F.lead("page_id").over(by_time).alias("next_page_id"),
+        F.lit(1).cast("long").alias("steps"),
     )
     return light_steps.unionByName(_heavy_steps(log.join(heavy, "session_id", "left_semi")))
 
@@ -38,13 +40,13 @@ def _heavy_steps(log: DataFrame) -> DataFrame:
         .withColumn("minute", F.date_trunc("minute", "action_ts"))
     )
     in_minute = Window.partitionBy("session_id", "minute").orderBy("action_ts", "page_id")
-    chained = ticks.withColumn("next_page_id", F.lead("page_id").over(in_minute))
     # n actions of one tick: n - 1 steps to the same page, then one step onward.
-    repeats = chained.filter("n > 1").select(
-        "page_id", F.col("page_id").alias("next_page_id"), (F.col("n") - 1).alias("steps")
-    )
-    onward = chained.filter("next_page_id IS NOT NULL").select(
-        "page_id", "next_page_id", F.lit(1).alias("steps")
+    repeat = F.struct(F.col("page_id").alias("next_page_id"), (F.col("n") - 1).alias("steps"))
+    onward = F.struct("next_page_id", F.lit(1).cast("long").alias("steps"))
+    chained = (
+        ticks.withColumn("next_page_id", F.lead("page_id").over(in_minute))
+        .select("page_id", F.inline(F.array(repeat, onward)))
+        .filter("next_page_id IS NOT NULL AND steps > 0")
     )
     order = F.struct("action_ts", "page_id")
     edges = ticks.groupBy("session_id", "minute").agg(
@@ -52,9 +54,11 @@ def _heavy_steps(log: DataFrame) -> DataFrame:
     )
     over_minutes = Window.partitionBy("session_id").orderBy("minute")
     bridges = edges.select(
-        "page_id", F.lead("first_page").over(over_minutes).alias("next_page_id"), F.lit(1).alias("steps")
+        "page_id",
+        F.lead("first_page").over(over_minutes).alias("next_page_id"),
+        F.lit(1).cast("long").alias("steps"),
     )
-    return repeats.unionByName(onward).unionByName(bridges)
+    return chained.unionByName(bridges)
 
 
 def _matches(pair: tuple[int, int]) -> Column:
