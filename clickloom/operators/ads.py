@@ -110,7 +110,9 @@ def sum_totals(counts: DataFrame) -> DataFrame:
 
 
 def province_totals(totals: DataFrame) -> DataFrame:
-    return totals.groupBy("date", "province", "ad_id").agg(F.sum("click_count").alias("click_count"))
+    return totals.groupBy("date", "province", "ad_id").agg(
+        F.sum("click_count").alias("click_count")
+    )
 
 
 def top_ads_by_province(totals: DataFrame, limit: int = 3) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Batch sinks: JDBC append, managed table, CSV and JSON export."""
+"""Batch sinks: JDBC and file append, managed table, CSV and JSON export."""
 
 from __future__ import annotations
 
@@ -22,6 +22,11 @@ def replace_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> None:
     writer.mode("overwrite").save()
 
 
+def append_files(df: DataFrame, folder: str, table: str) -> None:
+    """Append a result to the parquet table of that name below ``folder``."""
+    df.write.mode("append").parquet(f"{folder.rstrip('/')}/{table}")
+
+
 def jdbc_publisher(target: JdbcTarget) -> Callable[[str, DataFrame, int], None]:
     """A publisher for the ad streams that appends every changed row with its batch id.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickloom import schemas
 from clickloom.functions.datetime import parse_log_time
@@ -25,12 +26,11 @@ CITIES = [
 ]
 
 
-def read_table(spark: SparkSession, name_or_path: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """A catalog table by name, or files of a known schema by path."""
+def read_table(spark: SparkSession, name_or_path: str, schema: StructType) -> DataFrame:
+    """A catalog table by name, or the parquet files below a path."""
     if "/" not in name_or_path:
         return spark.table(name_or_path)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.format(fmt).load(name_or_path)
+    return spark.read.schema(schema).parquet(name_or_path)
 
 
 def user_visit_actions(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -45,6 +45,10 @@ def products(spark: SparkSession, name_or_path: str) -> DataFrame:
     return read_table(spark, name_or_path, schemas.PRODUCT_INFO)
 
 
+def cities(spark: SparkSession, name_or_path: str) -> DataFrame:
+    return read_table(spark, name_or_path, schemas.CITY_INFO)
+
+
 def default_cities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITIES, schemas.CITY_INFO)
 

@@ -120,7 +120,9 @@ def _save(
         publish(name, log.changed(rows.sparkSession, batch_id), batch_id)
 
 
-def _fold(logs: Sequence[BatchLog], spark: SparkSession, batch_id: int, settings: AdSettings) -> None:
+def _fold(
+    logs: Sequence[BatchLog], spark: SparkSession, batch_id: int, settings: AdSettings
+) -> None:
     """Compact now and then. A replay of this batch still finds the state before it."""
     if (batch_id + 1) % settings.compact_every == 0:
         for log in logs:

@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def kafka_lines(
-    spark: SparkSession, brokers: str, topic: str, group_id: str = "commerce-consumer-group"
+    spark: SparkSession, brokers: str, topic: str, group_id: str | None = None
 ) -> DataFrame:
     """Message texts of a topic, from its latest offsets.
 
     Needs Spark's Kafka package on the class path. Offsets are kept in the query's
     checkpoint and are not committed to the group.
     """
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .option("kafka.group.id", group_id)
-        .load()
-        .selectExpr("CAST(value AS STRING) AS value")
     )
+    if group_id is not None:
+        reader = reader.option("kafka.group.id", group_id)
+    return reader.load().selectExpr("CAST(value AS STRING) AS value")
 
 
 def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

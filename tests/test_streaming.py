@@ -257,4 +257,4 @@ def test_unfinished_batch_is_not_read(spark, totals_log):
 
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        kafka_lines(spark, "localhost:9092", "AdRealTimeLog")
+        kafka_lines(spark, "localhost:9092", "ad-clicks")
