@@ -43,9 +43,10 @@ def _any_row(condition: Column) -> Column:
 def session_summary(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
     """One row per session.
 
-    The keyword and category filters of ``params`` become boolean aggregates, so a plan
-    that only filters and counts never builds the two sets: Catalyst drops them and the
-    aggregate stays a hash aggregate over fixed-width buffers.
+    The two sets hold a session's distinct words and categories; they are reduced in the map
+    tasks, so repeated ones never travel. The keyword and category filters of ``params``
+    become boolean aggregates, so a plan that only filters and counts never builds the sets:
+    Catalyst drops them and the aggregate stays a hash aggregate over fixed-width buffers.
     """
     keyword = F.nullif(F.col("search_keyword"), F.lit(""))
     category = F.col("click_category_id")

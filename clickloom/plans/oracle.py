@@ -394,6 +394,7 @@ _SELECTS = {
           product_status AS "productStatus" FROM area_top""",
 }
 _SELECTS["area_top3_products_sql"] = _SELECTS["area_top3_products"]
+_SELECTS["page_step_counts_split"] = _SELECTS["page_step_counts"]
 _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
 
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}

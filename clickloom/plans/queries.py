@@ -235,6 +235,12 @@ def page_step_counts(spark: SparkSession, sf: str) -> DataFrame:
     return steps.agg(F.sum("steps").alias("steps"))
 
 
+def page_step_counts_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with every session of two or more actions on the path of the heavy ones."""
+    steps = pages.page_steps(_actions(spark, sf), heavy_rows=2).groupBy("page_id", "next_page_id")
+    return steps.agg(F.sum("steps").alias("steps"))
+
+
 def page_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
     return pages.page_pair_counts(_steps(spark, sf), TASK.page_pairs)
 
@@ -509,6 +515,7 @@ QUERIES: dict[str, Query] = {
         session_extract,
         session_sample_detail,
         page_step_counts,
+        page_step_counts_split,
         page_pair_counts,
         page_start_pv,
         page_conversion_rates,

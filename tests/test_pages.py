@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
 
@@ -90,3 +91,10 @@ def test_repeated_pair_keeps_its_places(rates):
 def test_flow_of_one_page_is_refused(rates):
     with pytest.raises(ValueError):
         rates([], [1])
+
+
+def test_empty_log(log, november):
+    nothing = replace(november, start_date="2030-01-01", end_date="2030-01-31")
+    steps = pages.page_steps(actions_in_range(log({}), nothing))
+    got = pages.conversion_rates(steps, [1, 2]).collect()
+    assert [(r.pair, r.pv, r.rate) for r in got] == [("1_2", 0, None)]

@@ -98,6 +98,10 @@ def test_sample_depends_on_the_seed_alone(sessions):
     assert ids(sessions, 1) == ids(sessions.repartition(7), 1) != ids(sessions, 2)
 
 
+def test_no_sessions(sessions):
+    assert sampling.sample_sessions(sessions.filter("session_id = 'none'")).count() == 0
+
+
 def test_more_days_than_samples_draws_nothing(sessions):
     assert sampling.sample_sessions(sessions, 3).count() == 0
 
