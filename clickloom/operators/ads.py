@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from clickloom.functions.datetime import format_date, from_epoch_millis
 
 BLACKLIST_THRESHOLD = 100
+# A list of this many ids is some tens of megabytes as a broadcast table.
+MAX_BROADCAST_USERS = 500_000
 # Milliseconds of the years 1 to 9999; a number outside is no time but a malformed line.
 _FIRST_MILLIS, _LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
@@ -109,6 +111,20 @@ def sum_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def totals_without_users(
+    clicks: DataFrame, users: DataFrame, broadcast_limit: int = MAX_BROADCAST_USERS
+) -> DataFrame:
+    """``running_totals`` of the users that are not in ``users``, which are distinct.
+
+    The list is counted first, so it should be stored rows. Up to the limit it is broadcast
+    and the clicks are shuffled once. Beyond it the clicks are combined by user and totals
+    key before they meet the list.
+    """
+    if users.limit(broadcast_limit + 1).count() <= broadcast_limit:
+        return running_totals(without_users(clicks, F.broadcast(users)))
+    return sum_totals(counts_without_users(click_counts(clicks), users))
+
+
 def province_totals(totals: DataFrame) -> DataFrame:
     return totals.groupBy("date", "province", "ad_id").agg(
         F.sum("click_count").alias("click_count")

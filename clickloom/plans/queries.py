@@ -283,8 +283,9 @@ def ad_running_stat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ad_running_stat_without_blacklisted(spark: SparkSession, sf: str) -> DataFrame:
-    counts = ads.click_counts(_clicks(spark, sf))
-    return ads.sum_totals(ads.counts_without_users(counts, ad_blacklist_users(spark, sf)))
+    # The list is counted before it is used; stored, it is computed once.
+    listed = materialize(ad_blacklist_users(spark, sf), "blacklist")
+    return ads.totals_without_users(_clicks(spark, sf), listed)
 
 
 def ad_province_top3(spark: SparkSession, sf: str) -> DataFrame:

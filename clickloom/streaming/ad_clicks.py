@@ -103,9 +103,7 @@ def clicks_with_running_counts(lines: DataFrame, settings: AdSettings) -> DataFr
     the user's clicks is filtered, and after it the user's counts are not read. The numbers
     of lines and of malformed lines are reported as the observation ``ad_lines``.
     """
-    clicks = ads.parse_clicks(lines, observed_as="ad_lines").withColumns(
-        {"click_count": F.lit(1).cast("long"), "is_count": F.lit(False)}
-    )
+    clicks = ads.parse_clicks(lines, observed_as="ad_lines").withColumn("is_count", F.lit(False))
     counts = _running_user_clicks(ads.parse_clicks(lines), settings.retain_days).withColumn(
         "is_count", F.lit(True)
     )
@@ -148,21 +146,15 @@ def apply_batch(
     try:
         banned = store.blacklist.read(spark, batch_id - 1)
         counts = ads.without_users(batch.filter("is_count"), banned)
-        kept = ads.counts_without_users(
-            batch.filter("NOT is_count")
-            .groupBy("date", "user_id", "province", "city", "ad_id")
-            .agg(F.sum("click_count").alias("click_count")),
-            banned,
-        )
-
+        totals = ads.totals_without_users(batch.filter("NOT is_count"), banned)
         _save("ad_user_click_count", store.user_clicks, counts, batch_id, publish)
         crossed = ads.blacklisted_users(counts, settings.threshold)
         _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
-        _save("ad_stat", store.totals, ads.sum_totals(kept), batch_id, publish)
+        _save("ad_stat", store.totals, totals, batch_id, publish)
         touched = store.totals.written(spark, batch_id).select("date", "province").distinct()
-        totals = store.totals.within(store.totals.read(spark, batch_id), touched)
+        known = store.totals.within(store.totals.read(spark, batch_id), touched)
         top = ads.top_ads_by_province(
-            totals.join(touched, ["date", "province"], "left_semi"), settings.top
+            known.join(touched, ["date", "province"], "left_semi"), settings.top
         )
         _save("ad_province_top3", store.province_top, top, batch_id, publish)
         logs = (store.blacklist, store.user_clicks, store.totals, store.province_top)

@@ -81,3 +81,15 @@ def test_sliding_trend_equals_brute_force(clicks):
             end = slot + timedelta(seconds=10 * i)
             want[str(end), f"{moment:%Y-%m-%d %H:%M}", ad] += 1
     assert got == want
+
+
+@pytest.mark.parametrize("broadcast_limit", [0, 1, 2, 10])
+def test_totals_without_users_on_either_path(spark, clicks, broadcast_limit):
+    day = stamp("2017-11-10 03:00:00")
+    lines = [f"{day} 0 {i % 2} {i % 5} 7" for i in range(50)]
+    users = spark.createDataFrame([(0,), (3,)], "user_id long")
+    totals = ads.totals_without_users(clicks(*lines), users, broadcast_limit)
+    assert {tuple(row) for row in totals.collect()} == {
+        ("2017-11-10", "0", "0", 7, 15),
+        ("2017-11-10", "0", "1", 7, 15),
+    }

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from clickloom import schemas
-from clickloom.operators import categories, pages, products, sampling, sessions
+from clickloom.operators import ads, categories, pages, products, sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.session import scratch_path, shared_folder
 from clickloom.sinks.batch import replace_table
@@ -92,7 +92,9 @@ def test_categories_combine_before_the_session_join(shop, params):
 
 
 def test_clicks_combine_before_the_blacklist_join(spark):
-    plan = plan_of(entry_points.queries()["ad_running_stat_without_blacklisted"](spark, FOLDER))
+    lines = spark.range(99).selectExpr("concat('1 0 0 ', id % 7, ' 5') AS value").repartition(3)
+    listed = spark.range(3).withColumnRenamed("id", "user_id")
+    plan = plan_of(ads.totals_without_users(ads.parse_clicks(lines), listed, broadcast_limit=2))
     order = [r"Join \[user_id", r"keys=\[date#\d+, user_id#\d+L, province.*partial_count"]
     assert in_order(plan, order)
 
