@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import sharding
+from clickloom.llm import mixing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -15,9 +15,13 @@ def op3_rendezvous_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded_documents(_table(spark, sf, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed_amounts(_table(spark, sf, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op3_rendezvous_shards,)
+    for f in (op3_rendezvous_shards, op7_source_mix)
 }
 
 LLM_ORACLE: dict[str, str] = {}
