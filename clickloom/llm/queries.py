@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import mixing, sharding
+from clickloom.llm import line_quality, mixing, packing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,9 +19,17 @@ def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed_amounts(_table(spark, sf, "documents"))
 
 
+def op2_line_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return line_quality.quality_verdicts(_table(spark, sf, "documents"))
+
+
+def op9_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(_table(spark, sf, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op3_rendezvous_shards, op7_source_mix)
+    for f in (op2_line_quality, op3_rendezvous_shards, op7_source_mix, op9_length_buckets)
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE = {"op2_line_quality": line_quality.ORACLE_SQL}
