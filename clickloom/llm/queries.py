@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import line_quality, mixing, packing, sharding
+from clickloom.llm import line_quality, mixing, packing, sharding, substrings, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -15,10 +16,25 @@ def op3_rendezvous_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded_documents(_table(spark, sf, "documents"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, sf, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed_amounts(_table(spark, sf, "documents"))
 
 
+#: Names of hosts whose pages make the list of blocked URLs.
+LISTED_HOSTS = ("casino-win", "cheap-pills", "free-bets", "ads-track", "spam-farm")
+
+
+def op1_url_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    named = rf"(^|\.)({'|'.join(LISTED_HOSTS)})\."
+    listed = pages.filter(urls.host_of(F.col("url")).rlike(named))
+    return urls.judged(pages, listed)
+
+
 def op2_line_quality(spark: SparkSession, sf: str) -> DataFrame:
     return line_quality.quality_verdicts(_table(spark, sf, "documents"))
 
@@ -29,7 +45,18 @@ def op9_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op2_line_quality, op3_rendezvous_shards, op7_source_mix, op9_length_buckets)
+    for f in (
+        op1_url_verdicts,
+        op2_line_quality,
+        op3_rendezvous_shards,
+        op4_repeated_passages,
+        op7_source_mix,
+        op9_length_buckets,
+    )
 }
 
-LLM_ORACLE = {"op2_line_quality": line_quality.ORACLE_SQL}
+LLM_ORACLE = {
+    "op1_url_verdicts": urls.oracle_sql(LISTED_HOSTS),
+    "op2_line_quality": line_quality.ORACLE_SQL,
+    "op4_repeated_passages": substrings.ORACLE_SQL,
+}
