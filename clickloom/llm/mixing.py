@@ -21,7 +21,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 #: No source is taken more often than this.
 REPEATS = 2
-BLOCK = 32
+BLOCK = 64
 SHARD_BLOCKS = 4096
 #: Steps of cycle walking; one step fails with probability below 1 / sqrt(n).
 _WALK = 16
@@ -51,12 +51,15 @@ def permuted(index: Column, n: Column, key: Column) -> Column:
     first = F.struct(
         index.cast("long").alias("x"), side.alias("a"), F.ceil(n / side).cast("long").alias("b")
     )
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_WALK)),
-        network(first),
-        lambda state, _: F.when(state["x"] < n, state).otherwise(network(state)),
-    )
-    return walked["x"]
+    def walked(image: Column) -> Column:
+        further = F.aggregate(
+            F.sequence(F.lit(1), F.lit(_WALK)),
+            image,
+            lambda state, _: F.when(state["x"] < n, state).otherwise(network(state)),
+        )
+        return F.when(image["x"] < n, image["x"]).otherwise(further["x"])
+
+    return F.transform(F.array(network(first)), walked)[0]
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, repeats: float = REPEATS) -> DataFrame:
@@ -177,7 +180,8 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame,
     on = F.col("d_source").eqNullSafe(F.col("source")) & (F.col("d_block") == F.col("block"))
     begin = F.greatest(F.col("start"), F.col("block") * block)
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    pieces = per_doc.join(taken, on).select(
+    # Spark takes what a few rows explode to for small; it must not be broadcast.
+    pieces = per_doc.join(taken.hint("merge"), on).select(
         "_row",
         "doc_id",
         "epoch",
