@@ -25,7 +25,7 @@ def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 #: Names of hosts whose pages make the list of blocked URLs.
-LISTED_HOSTS = ("casino-win", "cheap-pills", "free-bets", "ads-track", "spam-farm")
+LISTED_HOSTS = ("casino-win", "cheap-pills", "free-bets", "ads-track", "spam-farm", "adult-x")
 
 
 def op1_url_verdicts(spark: SparkSession, sf: str) -> DataFrame:
