@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import line_quality, mixing, packing, sharding, substrings, urls
+from clickloom.llm import line_quality, mixing, packing, sharding, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.without_repeats(_table(spark, sf, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed_amounts(_table(spark, sf, "documents"))
 
@@ -50,6 +54,7 @@ LLM_QUERIES = {
         op2_line_quality,
         op3_rendezvous_shards,
         op4_repeated_passages,
+        op6_toxicity,
         op7_source_mix,
         op9_length_buckets,
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,12 +14,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 
 #: Labelled rows that the lexicon is learned from, at most: the first by a hash of the id.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 LEXICON_WORDS = 400
 PHRASES = 400
 MIN_ROWS = 3
+# Lengths of the beginnings of words that are candidates.
+_SHORTEST, _LONGEST = 4, 8
+_PLAIN_WORD = re.compile(r"[^\W_]+")
 
 # Characters that look like a Latin letter, and digits and signs that stand for one.
 _LOOKALIKES = {
@@ -68,58 +75,66 @@ def folded(text: str) -> str:
 
 @dataclass
 class Lexicon:
-    """Weights of words, phrases in which a word does not count, and the score's slope."""
+    """Weighted terms, phrases in which they do not count, and a calibration.
+
+    A term that ends with ``$`` is a whole word, any other is the beginning of words. The
+    probability is logistic in log(1 + weight found) and, if any is found, the logarithm
+    of the number of words: a long text needs more.
+    """
 
     weights: dict[str, float]
     exceptions: tuple[str, ...] = ()
-    bias: float = -4.0
-    slope: float = 1.0
+    calibration: tuple[float, float, float] = (-4.0, 2.0, 0.0)
     _matcher: object = field(default=None, repr=False)
 
     def __reduce__(self):
-        return Lexicon, (self.weights, self.exceptions, self.bias, self.slope)
+        return Lexicon, (self.weights, self.exceptions, self.calibration)
 
     def matcher(self):
         if self._matcher is None:
-            self._matcher = ahocorasick.Automaton()
+            terms: dict[str, list[tuple[bool, float | None]]] = {}
             for phrase in self.exceptions:
-                self._matcher.add_word(phrase, (phrase, None))
-            for word, weight in self.weights.items():
-                self._matcher.add_word(word, (word, weight))
-            if len(self._matcher):
+                terms.setdefault(phrase, []).append((True, None))
+            for term, weight in self.weights.items():
+                terms.setdefault(term.removesuffix("$"), []).append((term.endswith("$"), weight))
+            self._matcher = ahocorasick.Automaton()
+            for term, uses in terms.items():
+                self._matcher.add_word(term, (len(term), uses))
+            if terms:
                 self._matcher.make_automaton()
         return self._matcher
 
-    def weight_of(self, text: str) -> float:
-        """Sum of the weights of whole words found, without those inside an exception."""
+    def matches(self, plain: str) -> list[tuple[int, int, float]]:
+        """(begin, end, weight) of the terms in a folded text, without excepted ones."""
         matcher = self.matcher()
         if not len(matcher):
-            return 0.0
-        plain = folded(text)
+            return []
         found, covered = [], []
-        for end, (word, weight) in matcher.iter(plain):
-            begin = end - len(word) + 1
-            if (begin and plain[begin - 1].isalnum()) or plain[end + 1 : end + 2].isalnum():
+        for last, (length, uses) in matcher.iter(plain):
+            begin, end = last - length + 1, last + 1
+            if begin and plain[begin - 1].isalnum():
                 continue
-            if weight is None:
-                covered.append((begin, end))
-            else:
-                found.append((begin, end, weight))
+            ends = not plain[end : end + 1].isalnum()
+            for whole, weight in uses:
+                if ends or not whole:
+                    if weight is None:
+                        covered.append((begin, end))
+                    else:
+                        found.append((begin, end, weight))
         if covered:
-            found = [
-                f for f in found if not any(a <= f[0] and f[1] <= b for a, b in covered)
-            ]
-        return sum(weight for _, _, weight in found)
-
-    def signal(self, text: str, n_words: int) -> float:
-        """The weight found, normalised by the length: log(1 + weight) less half log length."""
-        total = self.weight_of(text)
+            found = [f for f in found if not any(a <= f[0] < b for a, b in covered)]
+        return found
+
+    def features(self, text: str) -> tuple[float, float]:
+        total = sum(weight for _, _, weight in self.matches(folded(text)))
         if total <= 0.0:
-            return 0.0
-        return math.log1p(100.0 * total / math.sqrt(max(n_words, 1)))
+            return 0.0, 0.0
+        return math.log1p(total), math.log1p(len(text.split()))
 
-    def score(self, text: str, n_words: int) -> float:
-        return 1.0 / (1.0 + math.exp(-(self.bias + self.slope * self.signal(text, n_words))))
+    def score(self, text: str) -> float:
+        bias, by_weight, by_length = self.calibration
+        weight, length = self.features(text)
+        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, bias + by_weight * weight + by_length * length))))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -127,96 +142,125 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
-    """Newton's method for a bias and a slope, lightly regularised; the classes weigh alike."""
-    weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    w = np.zeros(2)
-    features = np.stack([np.ones_like(x), x], axis=1)
+def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 40) -> tuple[float, ...]:
+    """Newton's method for a bias and two slopes, lightly regularised."""
+    features = np.column_stack([np.ones(len(x)), x])
+    w = np.zeros(features.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
-        gradient = features.T @ (weight * (p - y)) + 1e-2 * w
-        hessian = (features * (weight * p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(2)
+        gradient = features.T @ (p - y) + 1e-2 * w
+        hessian = (features * (p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(len(w))
         w = w - np.linalg.solve(hessian, gradient)
-    return float(w[0]), float(w[1])
+    return tuple(float(v) for v in w)
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
-    """A lexicon from labelled documents (doc_id, toxic) that are not held out.
+def _counted_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each row the words and word beginnings in it, each counted up to five times."""
+    for batch in batches:
+        for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+            count: Counter[str] = Counter()
+            for word in _PLAIN_WORD.findall(folded(text or "")):
+                count[word + "$"] += 1
+                count.update(word[:k] for k in range(_SHORTEST, min(_LONGEST, len(word)) + 1))
+            yield pa.record_batch(
+                {
+                    "term": pa.array(count.keys(), pa.string()),
+                    "toxic": pa.array([toxic] * len(count), pa.int32()),
+                    "n": pa.array([min(n, 5) for n in count.values()], pa.int32()),
+                }
+            )
+
 
-    A folded word's weight is the logarithm of its rate among toxic documents to its rate
-    among others, by counts of documents; the heaviest words make the lexicon. A pair of
-    words that holds one of them is an exception if it is found in other documents at
-    least as often as in toxic ones. Labels other than 0 and 1 are not used. At most
-    ``sample_rows`` rows are learned from. Without rows of both kinds the lexicon is empty.
+def _chosen_terms(rows: list, bad: int, good: int) -> dict[str, float]:
+    """Of terms with (term, bad, good, score), the best that do not contain each other."""
+    chosen: dict[str, float] = {}
+    for row in sorted(rows, key=lambda r: (-round(r["score"], 6), -len(r["term"]), r["term"])):
+        base = row["term"].removesuffix("$")
+        kept = [term.removesuffix("$") for term in chosen]
+        if len(chosen) < LEXICON_WORDS and not any(
+            base.startswith(other) or other.startswith(base) for other in kept
+        ):
+            chosen[row["term"]] = float(row["weight"])
+    return chosen
+
+
+def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
+    """A lexicon from documents (doc_id, text) with labels (doc_id, toxic), not held out.
+
+    Candidates are folded words and beginnings of words. A term's weight is the logarithm
+    of its rate in toxic documents to its rate in others; it is a candidate if it occurs
+    in enough toxic documents and more often than chance lets it (``score`` is in standard
+    deviations). A term with a neighbouring word is an exception if that pair is found in
+    other documents at least as often as in toxic ones. Labels other than 0 and 1 are not
+    used, and at most ``sample_rows`` rows. Without rows of both kinds no term is learned.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic")
+    known = known.withColumn("toxic", F.col("toxic").cast("int"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    text = materialize(text, "toxic-sample")
+    totals = dict(text.groupBy("toxic").count().collect())
+    bad, good = totals.get(1, 0), totals.get(0, 0)
+    if not bad or not good:
+        return Lexicon({})
+    in_bad, in_good = F.col("toxic") * F.col("n"), (1 - F.col("toxic")) * F.col("n")
+    share = (F.col("bad") + F.col("good")) * F.lit(bad / (bad + good))
+    rated = (
+        text.mapInArrow(_counted_terms, "term string, toxic int, n int")
+        .groupBy("term")
+        .agg(F.sum(in_bad).alias("bad"), F.sum(in_good).alias("good"), F.sum("toxic").alias("rows"))
+        .filter(F.col("rows") >= max(MIN_ROWS, 0.02 * bad))
+        .withColumn("score", (F.col("bad") - share) / F.sqrt(share + 1))
+        .withColumn(
+            "weight", F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good)
+        )
+        .filter((F.col("score") > 6) & (F.col("weight") > 1))
+    )
+    best = rated.orderBy(F.desc("score"), "term").limit(10 * LEXICON_WORDS).collect()
+    plain = Lexicon(_chosen_terms(best, bad, good))
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for toxic, value in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
-                plain = [p for p in ("".join(c if c.isalnum() else " " for c in w).strip() for w in folded(value or "").split()) if p]
-                pairs = {f"{a} {b}" for a, b in zip(plain, plain[1:])}
-                single = set(plain)
+                folded_text = folded(value or "")
+                words = [(m.start(), m.group()) for m in _PLAIN_WORD.finditer(folded_text)]
+                hits = {begin for begin, _, _ in plain.matches(folded_text)}
+                pairs = {
+                    folded_text[a : b + len(second)]
+                    for (a, _), (b, second) in zip(words, words[1:])
+                    if a in hits or b in hits
+                }
                 yield pa.record_batch(
                     {
-                        "term": pa.array([*single, *pairs], pa.string()),
-                        "toxic": pa.array([toxic] * (len(single) + len(pairs)), pa.int32()),
+                        "phrase": pa.array(pairs, pa.string()),
+                        "toxic": pa.array([toxic] * len(pairs), pa.int32()),
                     }
                 )
 
-    counts = (
-        text.withColumn("toxic", F.col("toxic").cast("int"))
-        .mapInArrow(terms, "term string, toxic int")
-        .groupBy("term")
+    harmless = (
+        text.mapInArrow(neighbours, "phrase string, toxic int")
+        .groupBy("phrase")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+        .filter((F.col("good") >= MIN_ROWS) & (F.col("good") * bad >= F.col("bad") * good))
     )
-    totals = dict(chosen.groupBy("toxic").count().collect())
-    bad, good = totals.get(1, 0), totals.get(0, 0)
-    if not bad or not good:
-        return Lexicon({})
-    ratio = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    # A word must be over-represented beyond chance: at least three standard deviations.
-    share = (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
-    excess = (F.col("bad") - share * bad) / F.sqrt(share * bad + 1)
-    rated = counts.filter(F.col("bad") >= MIN_ROWS).withColumn("w", ratio).withColumn("excess", excess)
-    rows = (
-        rated.filter(~F.col("term").contains(" ") & (F.col("excess") > 6) & (F.col("w") > 1.5))
-        .orderBy(F.desc("excess"), "term")
-        .limit(LEXICON_WORDS)
-        .select("term", "w")
-        .collect()
-    )
-    weights = {row["term"]: float(row["w"]) for row in rows}
-    exceptions = ()
-    if weights:
-        word = F.array(*[F.lit(w) for w in weights])
-        pairs = counts.filter(F.col("term").contains(" ")).filter(
-            F.arrays_overlap(F.split("term", " "), word)
-        )
-        rows = (
-            pairs.filter((F.col("good") >= MIN_ROWS) & (F.col("good") * bad >= F.col("bad") * good))
-            .orderBy(F.desc("good"), "term")
-            .limit(PHRASES)
-            .collect()
-        )
-        exceptions = tuple(row["term"] for row in rows)
-    lexicon = Lexicon(weights, exceptions)
+    phrases = harmless.orderBy(F.desc("good"), "phrase").limit(PHRASES).collect()
+    lexicon = Lexicon(plain.weights, tuple(row["phrase"] for row in phrases))
 
-    def signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [t or "" for t in batch.column("text").to_pylist()]
-            signal = [lexicon.signal(t, len(t.split())) for t in values]
+            found = [lexicon.features(t or "") for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
-                {"toxic": batch.column("toxic").cast(pa.int32()), "x": pa.array(signal, pa.float64())}
+                {
+                    "toxic": batch.column("toxic"),
+                    "weight": pa.array([f[0] for f in found], pa.float64()),
+                    "length": pa.array([f[1] for f in found], pa.float64()),
+                }
             )
 
-    points = text.mapInArrow(signals, "toxic int, x double").collect()
-    x = np.array([p["x"] for p in points])
+    points = text.mapInArrow(features, "toxic int, weight double, length double").collect()
+    x = np.array([(p["weight"], p["length"]) for p in points])
     y = np.array([float(p["toxic"]) for p in points])
-    bias, slope = _logistic(x, y)
-    return Lexicon(weights, exceptions, bias, max(slope, 1e-3))
+    return Lexicon(lexicon.weights, lexicon.exceptions, _logistic(x, y))
 
 
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -230,7 +274,7 @@ def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            score = [lexicon.score(t, len(t.split())) for t in texts]
+            score = [lexicon.score(t) for t in texts]
             yield batch.drop_columns(["text"]).append_column("score", pa.array(score, pa.float64()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
