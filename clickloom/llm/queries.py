@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import line_quality, mixing, packing, sharding, substrings, toxicity, urls
+from clickloom.llm import line_quality, mixing, packing, quality, sharding, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op9_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(_table(spark, sf, "documents"))
 
 
+def op10_quality_grades(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_grades(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -57,6 +61,7 @@ LLM_QUERIES = {
         op6_toxicity,
         op7_source_mix,
         op9_length_buckets,
+        op10_quality_grades,
     )
 }
 
