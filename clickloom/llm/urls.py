@@ -137,8 +137,10 @@ def judged(
         pages.schema["page_id"].dataType.simpleString()
     )
     probed = parsed.mapInArrow(passed, schema)
-    # What the filter rejects takes part in the join with a null key, which meets nothing.
-    probe = F.when(F.col("maybe"), F.col("canon"))
+    # What the filter rejects joins under a key of its own that meets nothing; under one
+    # null key these rows, which are most, would share a task.
+    own = F.concat(F.lit("\x00"), F.coalesce(F.col("page_id").cast("string"), F.col("url"), F.lit("")))
+    probe = F.when(F.col("maybe"), F.col("canon")).otherwise(own)
     hits = probed.withColumn("probe", probe).join(
         wanted.select(F.col("url").alias("probe"), F.lit(True).alias("found")), "probe", "left"
     )
