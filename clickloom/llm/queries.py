@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import line_quality, mixing, packing, quality, sharding, substrings, toxicity, urls
+from clickloom.llm import embeddings, line_quality, mixing, packing, quality, sharding, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op2_line_quality(spark: SparkSession, sf: str) -> DataFrame:
     return line_quality.quality_verdicts(_table(spark, sf, "documents"))
 
 
+def op8_embedding_links(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.embedding_links(_table(spark, sf, "embeddings"))
+
+
 def op9_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(_table(spark, sf, "documents"))
 
@@ -60,6 +64,7 @@ LLM_QUERIES = {
         op4_repeated_passages,
         op6_toxicity,
         op7_source_mix,
+        op8_embedding_links,
         op9_length_buckets,
         op10_quality_grades,
     )
@@ -69,4 +74,5 @@ LLM_ORACLE = {
     "op1_url_verdicts": urls.oracle_sql(LISTED_HOSTS),
     "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_repeated_passages": substrings.ORACLE_SQL,
+    "op8_embedding_links": embeddings.ORACLE_SQL,
 }
