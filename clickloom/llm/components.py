@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.session import materialize
 
 
+def spanning_forest(mask: np.ndarray, square: bool) -> list[tuple[int, int]]:
+    """Links (row node, other node) that connect what ``mask`` connects; columns follow rows."""
+    rows, columns = mask.shape
+    shift = 0 if square else rows
+    label = np.arange(rows + columns)
+    big = rows + columns
+    row_some, column_some = mask.any(axis=1), mask.any(axis=0)
+    r, c = np.flatnonzero(row_some), np.flatnonzero(column_some)
+    if not len(r):
+        return []
+    small = mask[np.ix_(r, c)]
+    while True:
+        before = label.copy()
+        label[r] = np.minimum(label[r], np.where(small, label[c + shift][None, :], big).min(axis=1))
+        at = np.minimum(
+            label[c + shift], np.where(small, label[r][:, None], big).min(axis=0)
+        )
+        label[c + shift] = at
+        if (label == before).all():
+            break
+    ends = np.flatnonzero(label != np.arange(rows + columns))
+    return list(zip(ends.tolist(), label[ends].tolist()))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for the ends of ``links`` (a, b): the smallest id that is reachable.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickloom.llm.common import NULL_ID
-from clickloom.llm.components import components
+from clickloom.llm.components import components, spanning_forest
 from clickloom.session import materialize
 
 COSINE = 0.9
@@ -47,30 +47,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(flat.flatten(), dtype=np.float64).reshape(n, -1)
 
 
-def _forest(mask: np.ndarray, square: bool) -> list[tuple[int, int]]:
-    """Links (row node, other node) that connect what ``mask`` connects; columns follow rows."""
-    rows, columns = mask.shape
-    shift = 0 if square else rows
-    label = np.arange(rows + columns)
-    big = rows + columns
-    row_some, column_some = mask.any(axis=1), mask.any(axis=0)
-    r, c = np.flatnonzero(row_some), np.flatnonzero(column_some)
-    if not len(r):
-        return []
-    small = mask[np.ix_(r, c)]
-    while True:
-        before = label.copy()
-        label[r] = np.minimum(label[r], np.where(small, label[c + shift][None, :], big).min(axis=1))
-        at = np.minimum(
-            label[c + shift], np.where(small, label[r][:, None], big).min(axis=0)
-        )
-        label[c + shift] = at
-        if (label == before).all():
-            break
-    ends = np.flatnonzero(label != np.arange(rows + columns))
-    return list(zip(ends.tolist(), label[ends].tolist()))
-
-
 def _join_blocks(cosine: float):
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         none = {"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())}
@@ -107,7 +83,7 @@ def _join_blocks(cosine: float):
                 order = {v: i for i, v in enumerate(ids.tolist())}
                 close = close[:, np.argsort([order[v] for v in b_ids.tolist()])]
                 names = np.concatenate([ids, ids])
-            links = _forest(close, bool(same))
+            links = spanning_forest(close, bool(same))
             if links:
                 x, y = np.array(links).T
                 out_id.append(names[x])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import embeddings, line_quality, mixing, packing, quality, sharding, substrings, toxicity, urls
+from clickloom.llm import embeddings, line_quality, mixing, packing, quality, sharding, shingles, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.without_repeats(_table(spark, sf, "documents"))
 
 
+def op5_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return shingles.near_copies(_table(spark, sf, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -62,6 +66,7 @@ LLM_QUERIES = {
         op2_line_quality,
         op3_rendezvous_shards,
         op4_repeated_passages,
+        op5_near_copies,
         op6_toxicity,
         op7_source_mix,
         op8_embedding_links,
@@ -74,5 +79,6 @@ LLM_ORACLE = {
     "op1_url_verdicts": urls.oracle_sql(LISTED_HOSTS),
     "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_repeated_passages": substrings.ORACLE_SQL,
+    "op5_near_copies": shingles.ORACLE_SQL,
     "op8_embedding_links": embeddings.ORACLE_SQL,
 }
