@@ -222,7 +222,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     numbered = parted(docs, "mix-texts")
     size = word_count(F.col("text")).alias("size")
     _, _, pieces = mix(numbered.select("_row", "_part", "doc_id", "source", size))
-    spans = pieces.groupBy("_row", "epoch").agg(
+    spans = pieces.groupBy("_row", F.col("epoch").alias("_epoch")).agg(
         F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_spans")
     )
     chosen = numbered.drop("_part").join(spans, "_row").withColumn("_words", words(F.col("text")))

@@ -17,7 +17,7 @@ def op3_rendezvous_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
-    return substrings.without_repeats(_table(spark, sf, "documents"))
+    return substrings.digests(_table(spark, sf, "documents"))
 
 
 def op5_near_copies(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from clickloom.llm.common import NULL_ID, groups_of
@@ -154,14 +155,14 @@ def _remove(k: int, columns: list[str], schema: pa.Schema, texts: bool):
             else:
                 digests.append(hashlib.sha256(b" ".join(text.split())).hexdigest())
         out = {
-            "n_words": pa.array(count.astype(np.int64)),
-            "n_removed": pa.array(removed.astype(np.int64)),
+            "_n_words": pa.array(count.astype(np.int64)),
+            "_n_removed": pa.array(removed.astype(np.int64)),
         }
         if texts:
             nulls = group.docs.column("text").is_null().to_numpy()
             out["_kept"] = pa.array(kept_texts, pa.string(), mask=nulls & (removed == 0))
         else:
-            out["kept_sha256"] = pa.array(digests, pa.string())
+            out["_kept"] = pa.array(digests, pa.string())
         kept = {name: group.docs.column(name) for name in columns}
         return pa.table(kept | out).cast(schema)
 
@@ -174,12 +175,11 @@ def without_repeats(
     texts: bool = False,
     columns: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): ``columns``, n_words, n_removed and what is kept.
+    """Per row of ``docs`` (doc_id, text): ``columns``, _n_words, _n_removed and _kept.
 
     A word goes if a window of ``window`` words over it occurs earlier: in a document of
-    smaller doc_id, or in the same one before. What is kept is ``kept_sha256`` of the
-    words joined by one space or, with ``texts``, the text ``_kept``, where the removed
-    passages are cut out. A null doc_id is before all others; rows of one doc_id are
+    smaller doc_id, or in the same one before. ``_kept`` is the SHA-256 of the kept words
+    joined by one space or, with ``texts``, the text from which the passages are cut out. A null doc_id is before all others; rows of one doc_id are
     documents in the order of a text hash, and equal rows are copies of the first. Null
     and short texts have no window and stay as they are. Names of ``docs`` that begin with
     an underscore are not allowed.
@@ -231,26 +231,34 @@ def without_repeats(
     repeated = checked.withColumn("first", first).filter("id > first").select(bucket("id"), "a")
     result = T.StructType(
         [docs.schema[name] for name in columns]
-        + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
-        + [T.StructField("_kept" if texts else "kept_sha256", T.StringType())]
+        + [T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType())]
+        + [T.StructField("_kept", T.StringType())]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     return grouped.cogroup(notes(_REPEATED, repeated, "a").groupBy("bucket")).applyInArrow(
         _remove(window, list(columns), to_arrow_schema(result), texts), result
     )
 
 
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every row of ``docs``."""
+    return without_repeats(docs).select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_kept").alias("kept_sha256"),
+    )
+
+
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated passages cut out, and without rows that lost all their words.
 
     ``n_chars``, where there is one, is counted anew. Rows that had no word stay.
     """
     kept = without_repeats(docs, window, texts=True, columns=tuple(docs.columns))
-    kept = kept.filter("n_removed = 0 OR n_removed < n_words").withColumn("text", F.col("_kept"))
+    kept = kept.filter("_n_removed = 0 OR _n_removed < _n_words").withColumn("text", F.col("_kept"))
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, count).otherwise(F.col("n_chars")))
+        kept = kept.withColumn("n_chars", F.when(F.col("_n_removed") > 0, count).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)
 
 
