@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from clickloom.llm.tokens import Words, hashed_words, mix, windows
+from clickloom.llm.tokens import Words, hashed_words, mix, sliced, windows
 
 #: Labelled rows that the model is fitted on, at most: the first by a hash of the id.
 SAMPLE_ROWS = 8_000
@@ -96,7 +96,7 @@ class OrdinalModel:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         n, buckets, length = token_buckets(batch.column("text"))
         ends = np.cumsum(n)
         rows_b, rows_v = [], []
@@ -194,7 +194,7 @@ def graded_documents(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = OrdinalModel(*shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             score, n = fitted.signals(batch.column("text"))
             tails = np.where((n > 0)[:, None], fitted.tails(score), 0.0)
             tail = tails[:, KEEP_GRADE - 1]

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from clickloom.llm.common import NULL_ID
 from clickloom.llm.components import components, spanning_forest
-from clickloom.llm.tokens import hashed_words, mix, range_hash, starts_of, windows
+from clickloom.llm.tokens import hashed_words, mix, range_hash, sliced, starts_of, windows
 from clickloom.session import materialize
 
 WORDS = 5
@@ -64,7 +64,7 @@ def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _parse(k: int, jaccard: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hashes, owner, _ = _sets(batch.column("text"), k)
             n = np.bincount(owner, minlength=batch.num_rows)
             ends = np.cumsum(n)
@@ -284,7 +284,7 @@ def _exact(jaccard: float):
 
 def _shingle_lists(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hashes, owner, _ = _sets(batch.column("text"), k)
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))

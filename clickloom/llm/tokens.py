@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Space, tab, LF, VT, FF, CR; in UTF-8 these bytes are never part of another character.
 _BLANK = np.zeros(256, dtype=bool)
@@ -103,6 +104,23 @@ def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def sliced(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of about ``size`` bytes of text, whole rows each.
+
+    Numbers beside every word take many times the memory of the text.
+    """
+    for batch in batches:
+        ends = np.cumsum(np.append(0, pc.binary_length(batch.column(column)).fill_null(0)))
+        i = 0
+        while i < batch.num_rows:
+            j = int(np.searchsorted(ends, ends[i] + size, side="right")) - 1
+            j = min(max(j, i + 1), batch.num_rows)
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def hashed_words(column: pa.Array | pa.ChunkedArray) -> Words:
     """All words of a string column with their hashes."""
     data, offsets = text_bytes(column)
