@@ -40,7 +40,11 @@ def _arguments() -> argparse.ArgumentParser:
     ads.add_argument("--topic")
     ads.add_argument("--files", help="folder of log files, instead of Kafka")
     ads.add_argument("--threshold", type=int, default=AdSettings.threshold)
-    ads.add_argument("--source-partitions", type=int)
+    ads.add_argument("--top", type=int, default=AdSettings.top)
+    ads.add_argument("--trigger", default=AdSettings.trigger, help="time between batches")
+    ads.add_argument("--compact-every", type=int, default=AdSettings.compact_every)
+    ads.add_argument("--group-prefix", help="start of the Kafka group names")
+    ads.add_argument("--offsets-per-batch", type=int, help="Kafka messages of a batch at most")
     ads.add_argument("--available-now", action="store_true", help="stop when all is read")
     _add_jdbc(ads)
     return parser
@@ -82,12 +86,12 @@ def main(argv: list[str] | None = None) -> None:
         if args.files:
             lines = file_lines(spark, args.files)
         else:
-            lines = kafka_lines(spark, args.brokers, args.topic)
+            lines = kafka_lines(
+                spark, args.brokers, args.topic, args.group_prefix, args.offsets_per_batch
+            )
         target = _target(args)
         publish = None if target is None else jdbc_publisher(target)
-        settings = AdSettings(
-            threshold=args.threshold, source_partitions=args.source_partitions
-        )
+        settings = AdSettings(args.threshold, args.top, args.trigger, args.compact_every)
         store = AdStore(args.store)
         running = [
             start(lines, store, f"{args.checkpoint}/{name}", settings, publish, args.available_now)

@@ -34,5 +34,11 @@ def any_of(value: Column, wanted: Sequence[str]) -> Column:
     return listed_in(value, wanted) & (value != MISSING)
 
 
+def one_of(value: Column, wanted: Sequence[str]) -> Column:
+    """A single text is in ``wanted``; exactly -1 never is. Reaches the parquet scan."""
+    listed = [w for w in wanted if w != MISSING]
+    return F.lit(True) if not wanted else value.isin(*listed)
+
+
 def equals(value: Column, wanted: str | None) -> Column:
     return F.lit(True) if not wanted else value == wanted

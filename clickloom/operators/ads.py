@@ -153,14 +153,8 @@ def _minute_rows(counts: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def click_trend(clicks: DataFrame, lateness: str | None = None) -> DataFrame:
-    """Clicks per minute and ad.
-
-    On a stream ``lateness`` bounds the state: minutes older than it are final and later
-    clicks on them are dropped. None keeps every minute open.
-    """
-    if lateness is not None:
-        clicks = clicks.withWatermark("ts", lateness)
+def click_trend(clicks: DataFrame) -> DataFrame:
+    """Clicks per minute and ad."""
     counts = (
         clicks.groupBy(F.window("ts", "1 minute").alias("w"), "ad_id")
         .agg(F.count(F.lit(1)).alias("click_count"))

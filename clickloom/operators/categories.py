@@ -24,8 +24,7 @@ def category_events(actions: DataFrame) -> DataFrame:
             | F.col("order_category_ids").isNotNull()
             | F.col("pay_category_ids").isNotNull()
         )
-        .select("session_id", F.inline(by_kind))
-        .filter(F.col("ids").isNotNull())
+        .select("session_id", F.inline(F.filter(by_kind, lambda kind: kind["ids"].isNotNull())))
         .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
         .select("session_id", "kind", F.col("id").try_cast("long").alias("category_id"))
         .filter(F.col("category_id").isNotNull())

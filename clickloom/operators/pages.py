@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +17,20 @@ def page_steps(actions: DataFrame, heavy_rows: int = MIN_HEAVY_ROWS) -> DataFram
     """Weighted steps (page_id, next_page_id, steps) between consecutive actions of a session.
 
     Actions are ordered by time, then page. ``next_page_id`` is NULL after the last action
-    of a session, so the steps of a page sum to its views.
+    of a session, so the steps of a page sum to its views. An action without a session is
+    a session of its own. Pages and times may be NULL; a NULL time is before all others.
 
     An ordinary session is one window. A session with ``heavy_rows`` actions would be one
     task's work, so it takes the second path: its actions are counted by (second, page),
     which combines before the shuffle, chained minute by minute, and the minutes are then
     chained to each other.
     """
-    log = actions.select("session_id", "action_ts", "page_id")
+    every = actions.select("session_id", "action_ts", "page_id")
+    log = every.filter("session_id IS NOT NULL")
+    last = F.lit(None).cast(actions.schema["page_id"].dataType)
+    alone = every.filter("session_id IS NULL").select(
+        "page_id", last.alias("next_page_id"), F.lit(1).cast("long").alias("steps")
+    )
     heavy = F.broadcast(heavy_keys(log, "session_id", heavy_rows))
     by_time = Window.partitionBy("session_id").orderBy("action_ts", "page_id")
     light_steps = log.join(heavy, "session_id", "left_anti").select(
@@ -30,7 +38,8 @@ def page_steps(actions: DataFrame, heavy_rows: int = MIN_HEAVY_ROWS) -> DataFram
         F.lead("page_id").over(by_time).alias("next_page_id"),
         F.lit(1).cast("long").alias("steps"),
     )
-    return light_steps.unionByName(_heavy_steps(log.join(heavy, "session_id", "left_semi")))
+    heavy_steps = _heavy_steps(log.join(heavy, "session_id", "left_semi"))
+    return light_steps.unionByName(heavy_steps).unionByName(alone)
 
 
 def _heavy_steps(log: DataFrame) -> DataFrame:
@@ -42,11 +51,14 @@ def _heavy_steps(log: DataFrame) -> DataFrame:
     in_minute = Window.partitionBy("session_id", "minute").orderBy("action_ts", "page_id")
     # n actions of one tick: n - 1 steps to the same page, then one step onward.
     repeat = F.struct(F.col("page_id").alias("next_page_id"), (F.col("n") - 1).alias("steps"))
-    onward = F.struct("next_page_id", F.lit(1).cast("long").alias("steps"))
-    chained = (
-        ticks.withColumn("next_page_id", F.lead("page_id").over(in_minute))
-        .select("page_id", F.inline(F.array(repeat, onward)))
-        .filter("next_page_id IS NOT NULL AND steps > 0")
+    # The last tick of a minute is told by having no row after it, not by a NULL page.
+    onward = F.when(
+        F.col("after").isNotNull(),
+        F.struct(F.col("after.page_id").alias("next_page_id"), F.lit(1).cast("long").alias("steps")),
+    )
+    steps = F.filter(F.array(repeat, onward), lambda s: s.isNotNull() & (s["steps"] > 0))
+    chained = ticks.withColumn("after", F.lead(F.struct("page_id")).over(in_minute)).select(
+        "page_id", F.inline(steps)
     )
     order = F.struct("action_ts", "page_id")
     edges = ticks.groupBy("session_id", "minute").agg(
@@ -67,13 +79,12 @@ def _matches(pair: tuple[int, int]) -> Column:
 
 def page_pair_counts(steps: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
     """Views of each observed target pair, anywhere in a session."""
-    targets = sorted({f"{a}_{b}" for a, b in pairs})
+    wanted = reduce(or_, [_matches(pair) for pair in sorted(set(pairs))], F.lit(False))
     return (
-        steps.filter(F.col("next_page_id").isNotNull())
-        .select(F.concat_ws("_", "page_id", "next_page_id").alias("pair"), "steps")
-        .filter(F.col("pair").isin(*targets))
-        .groupBy("pair")
+        steps.filter(wanted)
+        .groupBy("page_id", "next_page_id")
         .agg(F.sum("steps").alias("pv"))
+        .select(F.concat_ws("_", "page_id", "next_page_id").alias("pair"), "pv")
     )
 
 

@@ -31,28 +31,56 @@ def hourly_session_counts(sessions: DataFrame) -> DataFrame:
 
 
 def sample_quota(hourly: DataFrame, sample_size: int = 100) -> DataFrame:
-    """How many sessions to draw from each hour.
-
-    The sample is split evenly over the days, then over a day's hours in proportion to
-    their sessions by largest remainder, all in integers. A day's window holds at most 24
-    rows.
+    """How many sessions to draw from each hour; in total ``sample_size``, or all there are.
+
+    The sample is split evenly over the days. A day with fewer sessions than its share
+    gives all it has, and the others share the rest; what does not divide goes to the
+    earliest of them, one each. A day's quota is split over its hours in proportion to their
+    sessions by largest remainder. All numbers are whole. Taken from the smallest day up, a
+    day gives all it has as long as it has at most an even share of what the days before
+    it left. The windows hold one row per day and at most 24 rows of a day.
     """
-    days = hourly.agg(F.count_distinct("date")).scalar()
+    daily = hourly.groupBy("date").agg(F.sum("session_count").alias("day_count"))
+    by_size = Window.orderBy("day_count", "date")
+    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.lit(sample_size) - F.coalesce(F.sum("day_count").over(before), F.lit(0))
+    whole = F.col("day_count") * F.col("days_left") <= F.col("rest")
+    all_by_size = by_size.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    unfilled = F.when(~whole, F.struct("rest", "days_left"))
+    shared = F.col("first.rest") % F.col("first.days_left")
+    per_day = (
+        daily.withColumn("rest", rest)
+        .withColumn("place", F.row_number().over(by_size))
+        .withColumn("days_left", F.count(F.lit(1)).over(all_by_size) - F.col("place") + 1)
+        .withColumn("first", F.first(unfilled, ignorenulls=True).over(all_by_size))
+        .withColumn("whole", F.col("first").isNull() | (F.col("days_left") > F.col("first.days_left")))
+        .withColumn("early", F.row_number().over(Window.partitionBy("whole").orderBy("date")))
+        .select(
+            "date",
+            "day_count",
+            F.when(F.col("whole"), F.col("day_count"))
+            .otherwise(
+                F.expr("first.rest div first.days_left") + (F.col("early") <= shared).cast("long")
+            )
+            .alias("per_day"),
+        )
+    )
     day = Window.partitionBy("date")
     by_remainder = day.orderBy(F.desc("remainder"), "hour")
-    shares = (
-        hourly.withColumn("per_day", F.floor(F.lit(sample_size) / days))
-        .withColumn("day_count", F.sum("session_count").over(day))
+    return (
+        hourly.join(per_day, "date")
         .withColumn("product", F.col("session_count") * F.col("per_day"))
         .withColumn("remainder", F.col("product") % F.col("day_count"))
         .withColumn("base", F.expr("product div day_count"))
         .withColumn("spare", F.col("per_day") - F.sum("base").over(day))
         .withColumn("place", F.row_number().over(by_remainder))
+        .select(
+            "date",
+            "hour",
+            "session_count",
+            (F.col("base") + (F.col("place") <= F.col("spare")).cast("long")).alias("quota"),
+        )
     )
-    quota = F.when(F.col("day_count") <= F.col("per_day"), F.col("session_count")).otherwise(
-        F.col("base") + (F.col("place") <= F.col("spare")).cast("long")
-    )
-    return shares.select("date", "hour", "session_count", quota.alias("quota"))
 
 
 def _draw_order(seed: int) -> Column:

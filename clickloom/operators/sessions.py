@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.datetime import format_time
-from clickloom.functions.predicates import MISSING, any_of, equals, listed_in, number_in
+from clickloom.functions.predicates import MISSING, equals, listed_in, number_in, one_of
 from clickloom.functions.text import round_half_up
 from clickloom.params import TaskParams
+from clickloom.session import materialize
 
 # Bucket name, inclusive lower bound, inclusive upper bound.
 # A visit of 0 seconds belongs to no bucket.
@@ -89,8 +90,8 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
     """
     predicates = [
         number_in(F.col("age"), params.start_age, params.end_age),
-        any_of(F.col("professional"), params.professionals),
-        any_of(F.col("city"), params.cities),
+        one_of(F.col("professional"), params.professionals),
+        one_of(F.col("city"), params.cities),
         equals(F.col("sex"), params.sex),
     ]
     summary = session_summary(actions, params)
@@ -115,8 +116,13 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Every action of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    """Every action of the given sessions.
+
+    The chosen sessions are stored first: both sides of the join are then plain scans, so
+    that AQE can split the partition of a session that holds a large part of the log.
+    """
+    chosen = materialize(sessions.select("session_id"), "chosen-sessions")
+    return actions.join(chosen, "session_id", "left_semi")
 
 
 def _in_bucket(value: Column, low: int, high: int | None) -> Column:

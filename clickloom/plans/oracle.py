@@ -7,6 +7,7 @@ import re
 from clickloom.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
 from clickloom.plans.queries import (
     DAYS,
+    FEW,
     FLOW,
     INTERESTS,
     PART_STARTS,
@@ -15,7 +16,7 @@ from clickloom.plans.queries import (
     TASK_ID,
     THRESHOLD,
 )
-from clickloom.sources.standins import WORDS
+from clickloom.sources.standins import AGES, HOURS, WORDS, YOUNGEST
 from clickloom.sources.tables import CITIES
 
 
@@ -31,10 +32,10 @@ _VIEWS = {
         SELECT strftime(ts, '%Y-%m-%d') AS date, user_id,
           user_id || '_' || strftime(ts, '%Y%m%d') AS session_id,
           k % 10 AS page_id,
-          strftime(ts, '%Y-%m-%d') || ' ' || (user_id % 23) || ':'
+          strftime(ts, '%Y-%m-%d') || ' ' || (user_id * 7 % {HOURS}) || ':'
             || lpad(CAST((event_id * 37 % 3540) // 60 AS VARCHAR), 2, '0') || ':'
             || lpad(CAST((event_id * 37 % 3540) % 60 AS VARCHAR), 2, '0') AS action_time,
-          CASE WHEN event_type = 'view' THEN {_list(WORDS)}[event_id % 10 + 1] END AS search_keyword,
+          CASE WHEN event_type = 'view' THEN {_list(WORDS)}[event_id % {len(WORDS)} + 1] END AS search_keyword,
           CASE WHEN event_type = 'click' THEN (event_id * 7 + k) % 20 ELSE -1 END AS click_category_id,
           CASE WHEN event_type = 'click' THEN k ELSE -1 END AS click_product_id,
           CASE WHEN event_type = 'purchase' THEN (k % 20) || ',' || ((k + 7) % 20) END
@@ -53,9 +54,9 @@ _VIEWS = {
         WHERE date >= '{DAYS["start_date"]}' AND date <= '{DAYS["end_date"]}'""",
     "detail_columns": """
         SELECT * EXCLUDE (action_ts) FROM actions""",
-    "user_info": """
-        SELECT c_custkey AS user_id, 'user' || c_custkey AS username, c_name AS name,
-          CAST(c_custkey % 60 AS INTEGER) AS age, c_mktsegment AS professional, n_name AS city,
+    "user_info": f"""
+        SELECT c_custkey AS user_id, 'shopper-' || c_custkey AS username, c_name AS name,
+          CAST({YOUNGEST} + c_custkey % {AGES} AS INTEGER) AS age, c_mktsegment AS professional, n_name AS city,
           CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "product_info": """
@@ -145,16 +146,25 @@ _VIEWS = {
         FROM sessions""",
     "hourly": """
         SELECT date, hour, count(*) AS session_count FROM stamped GROUP BY date, hour""",
+    "day_rows": """
+        SELECT date, sum(session_count) AS n, row_number() OVER (ORDER BY sum(session_count), date) AS i,
+          count(*) OVER () AS days FROM hourly GROUP BY date""",
+    "day_quota": """
+        SELECT date, n AS day_count, CASE WHEN i < k THEN n
+            ELSE r // (days - k + 1) + CASE WHEN early <= r % (days - k + 1) THEN 1 ELSE 0 END END AS per_day
+        FROM (SELECT a.*, k, r, row_number() OVER (PARTITION BY i < k ORDER BY date) AS early
+              FROM day_rows a, (
+                SELECT coalesce(min(i), max(days) + 1) AS k,
+                  coalesce(min_by(rest, i), 0) AS r, max(days) AS d
+                FROM (SELECT d.*, :sample_size: - coalesce((SELECT sum(n) FROM day_rows e WHERE e.i < d.i), 0) AS rest
+                      FROM day_rows d)
+                WHERE n * (days - i + 1) > rest))""",
     "shares": """
-        SELECT date, hour, session_count, per_day,
-          sum(session_count) OVER (PARTITION BY date) AS day_count,
-          session_count * per_day AS product
-        FROM hourly, (SELECT 100 // count(DISTINCT date) AS per_day FROM hourly)""",
+        SELECT date, hour, session_count, per_day, day_count, session_count * per_day AS product
+        FROM hourly JOIN day_quota USING (date)""",
     "quota": """
         SELECT date, hour, session_count,
-          CAST(CASE WHEN day_count <= per_day THEN session_count
-               ELSE product // day_count + CASE WHEN place <= spare THEN 1 ELSE 0 END END AS BIGINT)
-            AS quota
+          CAST(product // day_count + CASE WHEN place <= spare THEN 1 ELSE 0 END AS BIGINT) AS quota
         FROM (
           SELECT *, per_day - sum(product // day_count) OVER (PARTITION BY date) AS spare,
             row_number() OVER (PARTITION BY date ORDER BY product % day_count DESC, hour) AS place
@@ -219,7 +229,7 @@ _VIEWS = {
 }
 
 
-def _sql(select: str) -> str:
+def _sql(select: str, sample_size: int = 100) -> str:
     """``select`` with the views it mentions, directly or through other views, in front."""
     needed: set[str] = set()
     texts = [select]
@@ -230,7 +240,8 @@ def _sql(select: str) -> str:
                 needed.add(name)
                 texts.append(view)
     views = [f"{name} AS ({view})" for name, view in _VIEWS.items() if name in needed]
-    return f"WITH {', '.join(views)} {select}" if views else select
+    sql = f"WITH {', '.join(views)} {select}" if views else select
+    return sql.replace(":sample_size:", str(sample_size))
 
 
 def _where(sessions: str) -> str:
@@ -356,6 +367,7 @@ _SELECTS = {
         SELECT event_type AS key, count(*) AS "count" FROM events GROUP BY event_type""",
     "sink_roundtrip_csv": "SELECT * FROM user_info",
     "sink_roundtrip_json": "SELECT * FROM raw_actions",
+    "sink_roundtrip_json_limit": "SELECT * FROM user_info ORDER BY user_id LIMIT 100",
     "sink_roundtrip_table": "SELECT * FROM raw_actions",
     "sink_insert_new": """
         SELECT user_id, ad_id, coalesce(min(date) FILTER (WHERE date <= '2024-01-20'), 'new') AS date
@@ -398,3 +410,4 @@ _SELECTS["page_step_counts_split"] = _SELECTS["page_step_counts"]
 _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
 
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}
+ORACLE["session_sample_of_few"] = _sql(_SELECTS["session_sample"], FEW)

@@ -37,8 +37,10 @@ PEOPLE = TaskParams(
     cities=("NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_19"),
     sex="male",
 )
-INTERESTS = TaskParams(**DAYS, keywords=("hot", "sushi"), category_ids=("1", "3", "11"))
+INTERESTS = TaskParams(**DAYS, keywords=("tea", "tent"), category_ids=("1", "3", "11"))
 TASK_ID = "task-1"
+# Fewer sessions than the log has days.
+FEW = 12
 # The stand-in clicks never reach 100 per user, ad and day.
 THRESHOLD = 3
 # Days on which the parts of the ad log start to arrive.
@@ -219,6 +221,10 @@ def session_sample(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.sample_sessions(_sessions(spark, sf))
 
 
+def session_sample_of_few(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_sessions(_sessions(spark, sf), FEW)
+
+
 def session_extract(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.extract_report(_actions(spark, sf), session_sample(spark, sf))
 
@@ -322,7 +328,7 @@ def _run_stream(spark: SparkSession, sf: str, start) -> AdStore:
             file_lines(spark, f"{folder}/in"),
             store,
             f"{folder}/checkpoint",
-            AdSettings(threshold=THRESHOLD, trend_lateness=None),
+            AdSettings(threshold=THRESHOLD),
             available_now=True,
         ).awaitTermination()
     return store
@@ -423,6 +429,13 @@ def sink_roundtrip_json(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schemas.USER_VISIT_ACTION).json(path)
 
 
+def sink_roundtrip_json_limit(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "users-json")
+    first = standins.users(spark, sf).orderBy("user_id")
+    batch_sinks.export_json(first, path, limit=100)
+    return spark.read.schema(schemas.USER_INFO).json(path)
+
+
 def sink_roundtrip_table(spark: SparkSession, sf: str) -> DataFrame:
     """The action log as a table partitioned by date, read back through its catalog name."""
     path = scratch_path(spark, "action-table")
@@ -474,8 +487,7 @@ def _report_query(table: str, build: Callable[[SparkSession, str], dict[str, Dat
 
 def _session_report(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     raw, people = standins.user_visit_actions(spark, sf), standins.users(spark, sf)
-    # One lazy plan per table: nothing is stored on the way.
-    return reports.session_report(raw, people, TASK, TASK_ID, keep=lambda df, name: df)
+    return reports.session_report(raw, people, TASK, TASK_ID)
 
 
 def _page_report(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -513,6 +525,7 @@ QUERIES: dict[str, Query] = {
         hourly_session_counts,
         session_sample_quota,
         session_sample,
+        session_sample_of_few,
         session_extract,
         session_sample_detail,
         page_step_counts,
@@ -541,6 +554,7 @@ QUERIES: dict[str, Query] = {
         keyed_counter,
         sink_roundtrip_csv,
         sink_roundtrip_json,
+        sink_roundtrip_json_limit,
         sink_roundtrip_table,
         sink_insert_new,
         sink_add_counts,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# So many dates are listed as constants.
+MAX_LISTED = 1_000
 MODES = ("insert", "sum", "latest", "replace_group")
 
 
@@ -66,15 +68,18 @@ class BatchLog:
         return self.within(self.read(spark, batch_id), keys).join(keys, self.keys, "left_semi")
 
     def within(self, rows: DataFrame, reference: DataFrame) -> DataFrame:
-        """``rows`` of the range of segments found in ``reference``.
+        """``rows`` of the segments found in ``reference``.
 
-        One row with the two ends comes to the driver; as constants they prune the folders
-        and files to read.
+        Up to MAX_LISTED segments come to the driver; as constants they prune the folders and
+        files to read. More of them are a join, which prunes the folders while it runs.
         """
         if self.segment is None:
             return rows
-        low, high = reference.agg(F.min(self.segment), F.max(self.segment)).first()
-        return rows.filter(F.col(self.segment).between(low, high))
+        segments = reference.select(self.segment).distinct()
+        listed = [row[0] for row in segments.limit(MAX_LISTED + 1).collect()]
+        if len(listed) <= MAX_LISTED:
+            return rows.filter(F.col(self.segment).isin(*listed))
+        return rows.join(segments, self.segment, "left_semi")
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Write the state as of batch ``upto`` as a snapshot that later reads start from."""

@@ -36,13 +36,21 @@ def read_jdbc(
     target: JdbcTarget,
     table: str,
     partition_column: str | None = None,
-    lower: int = 0,
-    upper: int = 0,
+    lower: int | None = None,
+    upper: int | None = None,
 ) -> DataFrame:
-    """The whole table; with ``partition_column`` it is read in ``max_connections`` ranges."""
-    reader = spark.read.format("jdbc").options(**target.options(table))
-    if partition_column is not None:
-        reader = reader.options(
-            partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper)
-        )
-    return reader.load()
+    """The whole table, in one task, or in ``max_connections`` ranges of a column.
+
+    ``lower`` and ``upper`` must be about the least and the greatest value of
+    ``partition_column``; rows outside are read as well.
+    """
+    options = target.options(table) | range_options(partition_column, lower, upper)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def range_options(column: str | None, lower: int | None, upper: int | None) -> dict[str, str]:
+    if column is None:
+        return {}
+    if lower is None or upper is None or lower >= upper:
+        raise ValueError("partition_column needs lower < upper, else one task reads all")
+    return {"partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper)}

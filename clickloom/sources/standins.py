@@ -9,19 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Search words of the stand-in log; hot, hotpot and fish hotpot nest.
+# Search words of the stand-in log. Some lie inside others, so that matching by substring
+# would show.
 WORDS = [
-    "hotpot",
-    "cake",
-    "spicy chicken",
-    "noodles",
-    "hot",
-    "fish hotpot",
-    "mall",
-    "plaza",
-    "sushi",
-    "spa",
+    "tea",
+    "green tea",
+    "iced green tea",
+    "lamp",
+    "desk lamp",
+    "coat",
+    "rain coat",
+    "bicycle",
+    "helmet",
+    "chair",
+    "garden chair",
+    "rope",
+    "tent",
 ]
+HOURS = 24
+YOUNGEST, AGES = 18, 50
 
 
 # Given, so that no job has to look into a file for it.
@@ -53,7 +59,7 @@ def user_visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset = (event * 37) % 3540
     clock = F.concat_ws(
         ":",
-        user % 23,
+        (user * 7) % HOURS,
         F.lpad(F.floor(offset / 60).cast("string"), 2, "0"),
         F.lpad((offset % 60).cast("string"), 2, "0"),
     )
@@ -68,7 +74,7 @@ def user_visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws("_", user, F.date_format("ts", "yyyyMMdd")).alias("session_id"),
             (k % 10).alias("page_id"),
             F.concat_ws(" ", "date", clock).alias("action_time"),
-            _when("view", F.get(words, (event % 10).cast("int"))).alias("search_keyword"),
+            _when("view", F.get(words, (event % len(WORDS)).cast("int"))).alias("search_keyword"),
             F.coalesce(_when("click", (event * 7 + k) % 20), F.lit(-1)).alias("click_category_id"),
             F.coalesce(_when("click", k), F.lit(-1)).alias("click_product_id"),
             _when("purchase", F.concat_ws(",", k % 20, (k + 7) % 20)).alias("order_category_ids"),
@@ -85,9 +91,9 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer")
     return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
         F.col("c_custkey").alias("user_id"),
-        F.concat(F.lit("user"), F.col("c_custkey")).alias("username"),
+        F.concat(F.lit("shopper-"), F.col("c_custkey")).alias("username"),
         F.col("c_name").alias("name"),
-        (F.col("c_custkey") % 60).cast("int").alias("age"),
+        (YOUNGEST + F.col("c_custkey") % AGES).cast("int").alias("age"),
         F.col("c_mktsegment").alias("professional"),
         F.col("n_name").alias("city"),
         F.when(F.col("c_custkey") % 2 == 0, "male").otherwise("female").alias("sex"),

@@ -25,13 +25,6 @@ class AdSettings:
     trigger: str = "5 seconds"
     # Fold the stored batches into a snapshot after this many.
     compact_every: int = 100
-    # Forget per-user counts of days that are this far behind; None keeps them all.
-    retain_days: int | None = None
-    # How late a click may reach the trend; None accepts any.
-    trend_lateness: str | None = "60 minutes"
-    # Spread the source over this many partitions; None leaves it as it is. Clicks and
-    # counts are two branches over the source: spread, they share one read of it.
-    source_partitions: int | None = None
 
 
 class AdStore:
@@ -45,7 +38,7 @@ class AdStore:
             f"{path}/ad_user_click_count",
             schemas.AD_USER_CLICK_COUNT,
             ["date", "user_id", "ad_id"],
-            "latest",
+            "sum",
             "click_count",
             segment="date",
         )
@@ -68,48 +61,12 @@ class AdStore:
             f"{path}/ad_click_trend",
             schemas.AD_CLICK_TREND,
             ["date", "hour", "minute", "ad_id"],
-            "latest",
+            "sum",
             "click_count",
             segment="date",
         )
 
 
-def _spread(lines: DataFrame, partitions: int | None) -> DataFrame:
-    return lines if partitions is None else lines.repartition(partitions)
-
-
-def _running_user_clicks(clicks: DataFrame, retain_days: int | None) -> DataFrame:
-    """Running count per day, user and ad, kept in Spark's streaming state."""
-    if retain_days is None:
-        return ads.user_daily_clicks(clicks)
-    zone = clicks.sparkSession.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "GMT", "Z"):
-        raise ValueError("retain_days needs the session time zone UTC")
-    counted = (
-        clicks.withWatermark("ts", f"{retain_days} days")
-        .groupBy(F.window("ts", "1 day").alias("day"), "user_id", "ad_id")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-    )
-    date = F.date_format("day.start", "yyyy-MM-dd").alias("date")
-    return counted.select(date, "user_id", "ad_id", "click_count")
-
-
-def clicks_with_running_counts(lines: DataFrame, settings: AdSettings) -> DataFrame:
-    """The clicks of each micro-batch together with the running counts they change.
-
-    One query yields both, so a batch always sees the counts as of itself. The counts live
-    in the state store: a batch touches the keys it brings and no others. They need no
-    blacklist filter, because up to the batch in which a user reaches the threshold none of
-    the user's clicks is filtered, and after it the user's counts are not read. The numbers
-    of lines and of malformed lines are reported as the observation ``ad_lines``.
-    """
-    clicks = ads.parse_clicks(lines, observed_as="ad_lines").withColumn("is_count", F.lit(False))
-    counts = _running_user_clicks(ads.parse_clicks(lines), settings.retain_days).withColumn(
-        "is_count", F.lit(True)
-    )
-    return clicks.drop("ts").unionByName(counts, allowMissingColumns=True)
-
-
 def _save(
     name: str, log: BatchLog, rows: DataFrame, batch_id: int, publish: Publisher | None
 ) -> None:
@@ -129,28 +86,33 @@ def _fold(
 
 
 def apply_batch(
-    batch: DataFrame,
+    clicks: DataFrame,
     batch_id: int,
     store: AdStore,
     settings: AdSettings,
     publish: Publisher | None = None,
 ) -> None:
-    """Fold one micro-batch of ``clicks_with_running_counts`` into the stored tables.
+    """Add the clicks of one micro-batch to the stored tables.
 
-    Users already blacklisted before this batch are left out; users who reach the threshold
-    in it are blacklisted from the next one on. Everything read is as of the batch before
-    or as of this batch, so a replay writes the same rows again.
+    The clicks are combined once; all tables are made of these counts. Users already
+    blacklisted before this batch are left out; users who reach the threshold in it are
+    blacklisted from the next one on. Every table adds up over batches, so a click counts
+    however late it comes, and no state is kept beside the tables. Everything read is as of
+    the batch before or as of this batch, so a replay writes the same rows again.
     """
-    spark = batch.sparkSession
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = clicks.sparkSession
+    banned = store.blacklist.read(spark, batch_id - 1)
+    counts = ads.counts_without_users(ads.click_counts(clicks), banned)
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        banned = store.blacklist.read(spark, batch_id - 1)
-        counts = ads.without_users(batch.filter("is_count"), banned)
-        totals = ads.totals_without_users(batch.filter("NOT is_count"), banned)
-        _save("ad_user_click_count", store.user_clicks, counts, batch_id, publish)
-        crossed = ads.blacklisted_users(counts, settings.threshold)
+        by_user = counts.groupBy("date", "user_id", "ad_id").agg(
+            F.sum("click_count").alias("click_count")
+        )
+        _save("ad_user_click_count", store.user_clicks, by_user, batch_id, publish)
+        grown = store.user_clicks.changed(spark, batch_id)
+        crossed = ads.blacklisted_users(grown, settings.threshold)
         _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
-        _save("ad_stat", store.totals, totals, batch_id, publish)
+        _save("ad_stat", store.totals, ads.sum_totals(counts), batch_id, publish)
         touched = store.totals.written(spark, batch_id).select("date", "province").distinct()
         known = store.totals.within(store.totals.read(spark, batch_id), touched)
         top = ads.top_ads_by_province(
@@ -160,7 +122,7 @@ def apply_batch(
         logs = (store.blacklist, store.user_clicks, store.totals, store.province_top)
         _fold(logs, spark, batch_id, settings)
     finally:
-        batch.unpersist()
+        counts.unpersist()
 
 
 def start_ad_stats(
@@ -173,13 +135,12 @@ def start_ad_stats(
 ) -> StreamingQuery:
     """Start blacklist, user counts, running totals and top ads as one query.
 
+    The numbers of lines and of malformed lines are reported as the observation ``ad_lines``.
     ``available_now`` works through what has arrived and stops.
     """
-    source = _spread(lines, settings.source_partitions)
     writer = (
-        clicks_with_running_counts(source, settings)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        ads.parse_clicks(lines, observed_as="ad_lines")
+        .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, n: apply_batch(batch, n, store, settings, publish))
     )
     return _trigger(writer, settings, available_now).start()
@@ -193,17 +154,18 @@ def start_click_trend(
     publish: Publisher | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the per-minute trend. It reads every click, also of blacklisted users."""
-    source = _spread(lines, settings.source_partitions)
-    trend = ads.click_trend(ads.parse_clicks(source), settings.trend_lateness)
+    """Start the per-minute trend. It reads every click, also of blacklisted users.
+
+    The minutes of a batch are added to the stored ones, so late clicks count as well.
+    """
 
-    def save(rows: DataFrame, batch_id: int) -> None:
-        _save("ad_click_trend", store.trend, rows, batch_id, publish)
-        _fold([store.trend], rows.sparkSession, batch_id, settings)
+    def save(clicks: DataFrame, batch_id: int) -> None:
+        _save("ad_click_trend", store.trend, ads.click_trend(clicks), batch_id, publish)
+        _fold([store.trend], clicks.sparkSession, batch_id, settings)
 
     writer = (
-        trend.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        ads.parse_clicks(lines)
+        .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(save)
     )
     return _trigger(writer, settings, available_now).start()

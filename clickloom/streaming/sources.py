@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def kafka_options(group_prefix: str | None, offsets_per_batch: int | None) -> dict[str, str]:
+    given = {"groupIdPrefix": group_prefix, "maxOffsetsPerTrigger": offsets_per_batch}
+    return {name: str(value) for name, value in given.items() if value is not None}
+
+
 def kafka_lines(
-    spark: SparkSession, brokers: str, topic: str, group_id: str | None = None
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    group_prefix: str | None = None,
+    offsets_per_batch: int | None = None,
 ) -> DataFrame:
     """Message texts of a topic, from its latest offsets.
 
     Needs Spark's Kafka package on the class path. Offsets are kept in the query's
-    checkpoint and are not committed to the group.
+    checkpoint and are not committed to a group. Every query gets a group of its own, whose
+    name begins with ``group_prefix``. ``offsets_per_batch`` bounds a micro-batch, so that a
+    backlog is worked off in several.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -19,8 +30,8 @@ def kafka_lines(
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
     )
-    if group_id is not None:
-        reader = reader.option("kafka.group.id", group_id)
+    for option, value in kafka_options(group_prefix, offsets_per_batch).items():
+        reader = reader.option(option, value)
     return reader.load().selectExpr("CAST(value AS STRING) AS value")
 
 

@@ -67,7 +67,7 @@ def test_ads_job(spark, shop):
     main(
         ["ads", "--files", f"{shop}/ads", "--store", f"{shop}/store", "--available-now"]
         + ["--checkpoint", f"{shop}/checkpoint", "--threshold", str(THRESHOLD)]
-        + ["--source-partitions", "4"]
+        + ["--compact-every", "4"]
     )
     store = AdStore(f"{shop}/store")
     for log, query in (

@@ -51,6 +51,44 @@ def test_steps_equal_brute_force_on_either_path(log, november, seed, heavy_rows)
     assert got == _brute_force(records)
 
 
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 1])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_null_pages_times_and_sessions(spark, seed, heavy_rows):
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice([None, "a", "a", "b", "c"]),
+            rng.choice([None, *range(0, 200, 7)]),
+            rng.choice([None, None, 0, 1, 2]),
+        )
+        for _ in range(200)
+    ]
+    frame = spark.createDataFrame(rows, "session_id string, t long, page_id long")
+    frame = frame.selectExpr("session_id", "timestamp_seconds(t) AS action_ts", "page_id")
+    want, sessions = Counter(), defaultdict(list)
+    for session, t, page in rows:
+        if session is None:
+            want[page, None] += 1
+        else:
+            sessions[session].append((-1 if t is None else t, -1 if page is None else page))
+    for visits in sessions.values():
+        walk = [None if page == -1 else page for _, page in sorted(visits)]
+        want.update(zip(walk, walk[1:] + [None]))
+    got = Counter()
+    for row in pages.page_steps(frame, heavy_rows).collect():
+        got[row.page_id, row.next_page_id] += row.steps
+    assert got == want
+
+
+def test_no_task_holds_the_actions_without_session(spark):
+    frame = spark.range(1000).selectExpr(
+        "CAST(NULL AS STRING) AS session_id", "timestamp_seconds(id) AS action_ts", "id AS page_id"
+    )
+    steps = pages.page_steps(frame)
+    # They are passed on in the scan, before any exchange.
+    assert steps.filter("next_page_id IS NULL").count() == 1000
+
+
 def test_heavy_keys_are_those_over_both_bounds(spark, monkeypatch):
     frame = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)], "k string")
     assert {r.k for r in skew.heavy_keys(frame, "k", 3).collect()} == {"a", "b"}

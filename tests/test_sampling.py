@@ -14,15 +14,17 @@ def _expected_quota(counts, size):
     days = defaultdict(dict)
     for (date, hour), count in counts.items():
         days[date][hour] = count
-    per_day = size // len(days)
+    totals = {date: sum(hours.values()) for date, hours in days.items()}
+    per_day = dict.fromkeys(days, 0)
+    # One session at a time to the day with the fewest so far that has more, then by date.
+    for _ in range(min(size, sum(totals.values()))):
+        open_days = [date for date in days if per_day[date] < totals[date]]
+        per_day[min(open_days, key=lambda date: (per_day[date], date))] += 1
     quota = {}
     for date, hours in days.items():
-        total = sum(hours.values())
-        if total <= per_day:
-            quota.update({(date, hour): count for hour, count in hours.items()})
-            continue
-        share = {hour: divmod(count * per_day, total) for hour, count in hours.items()}
-        spare = per_day - sum(base for base, _ in share.values())
+        total = totals[date]
+        share = {hour: divmod(count * per_day[date], total) for hour, count in hours.items()}
+        spare = per_day[date] - sum(base for base, _ in share.values())
         first = sorted(hours, key=lambda hour: (-share[hour][1], hour))[:spare]
         for hour, (base, _) in share.items():
             quota[date, hour] = base + (hour in first)
@@ -48,13 +50,8 @@ def test_quota(spark, counts, size):
     rows = sampling.sample_quota(hourly, size).collect()
     got = {(r.date, r.hour): r.quota for r in rows}
     assert got == _expected_quota(counts, size)
-    per_day, taken = size // len({date for date, _ in counts}), Counter()
-    for key, quota in got.items():
-        assert 0 <= quota <= counts[key]
-        taken[key[0]] += quota
-    for date, number in taken.items():
-        total = sum(count for (day, _), count in counts.items() if day == date)
-        assert number == min(per_day, total)
+    assert all(0 <= quota <= counts[key] for key, quota in got.items())
+    assert sum(got.values()) == min(size, sum(counts.values()))
 
 
 @pytest.fixture(scope="module")
@@ -102,8 +99,9 @@ def test_no_sessions(sessions):
     assert sampling.sample_sessions(sessions.filter("session_id = 'none'")).count() == 0
 
 
-def test_more_days_than_samples_draws_nothing(sessions):
-    assert sampling.sample_sessions(sessions, 3).count() == 0
+def test_more_days_than_samples(sessions):
+    drawn = sampling.sample_sessions(sessions, 3).collect()
+    assert sorted(r.date for r in drawn) == ["2017-11-10", "2017-11-11", "2017-11-12"]
 
 
 def test_extract_report(spark, log, november):
@@ -111,8 +109,8 @@ def test_extract_report(spark, log, november):
 
     actions = actions_in_range(
         log(
-            {"session_id": "a", "search_keyword": "spa", "click_category_id": 4},
-            {"session_id": "a", "search_keyword": "cake"},
+            {"session_id": "a", "search_keyword": "tent", "click_category_id": 4},
+            {"session_id": "a", "search_keyword": "coat"},
             {"session_id": "b"},
             {"session_id": "not drawn"},
         ),
@@ -124,7 +122,7 @@ def test_extract_report(spark, log, november):
     )
     got = {tuple(r) for r in sampling.extract_report(actions, drawn).collect()}
     assert got == {
-        ("a", "2017-11-10 03:00:00", "cake,spa", "4"),
+        ("a", "2017-11-10 03:00:00", "coat,tent", "4"),
         ("b", "2017-11-10 03:00:00", None, None),
     }
     assert sampling.keep_actions_of(actions, drawn, 10**6).count() == 3

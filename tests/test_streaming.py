@@ -13,11 +13,10 @@ from clickloom.streaming.ad_clicks import (
     AdSettings,
     AdStore,
     apply_batch,
-    clicks_with_running_counts,
     start_ad_stats,
     start_click_trend,
 )
-from clickloom.streaming.sources import file_lines, kafka_lines
+from clickloom.streaming.sources import file_lines, kafka_lines, kafka_options
 
 from test_ads import stamp
 
@@ -145,7 +144,7 @@ def test_replaying_a_batch_changes_nothing(spark):
 
     def batch(*clicks):
         lines = spark.createDataFrame([(_line(*click),) for click in clicks], "value string")
-        return clicks_with_running_counts(lines, settings)
+        return ads.parse_clicks(lines)
 
     first = batch((10, 1, 1, 5, 5), (10, 1, 1, 5, 5), (10, 1, 1, 6, 5))
     second = batch((10, 1, 1, 5, 5), (10, 1, 2, 7, 5))
@@ -159,48 +158,49 @@ def test_replaying_a_batch_changes_nothing(spark):
     assert once[2] == {("2017-11-10", "1", "1", 5, 3), ("2017-11-10", "1", "2", 5, 1)}
 
 
-def test_trend_counts_clicks_of_blacklisted_users_and_drops_the_very_late(spark):
-    feed = Feed(spark, start_click_trend, trend_lateness="60 minutes", compact_every=2)
+def test_trend_counts_clicks_of_blacklisted_users_and_late_ones(spark):
+    feed = Feed(spark, start_click_trend, compact_every=2)
 
-    def at(clock, ad=1):
-        return f"{stamp('2017-11-10 ' + clock)} 0 0 1 {ad}"
+    def at(clock, ad=1, day="2017-11-10"):
+        return f"{stamp(day + ' ' + clock)} 0 0 1 {ad}"
 
     feed.arrive([at("10:00:01"), at("10:00:59"), at("10:01:00")])
     feed.run()
     feed.arrive([at("09:30:00"), at("10:00:30"), at("12:00:00", 2)])
     feed.run()
-    feed.arrive([at("10:00:30"), at("12:00:10", 2)])
-    feed.run()
+    # Hours and days late.
+    feed.arrive([at("10:00:30"), at("12:00:10", 2), at("23:59:59", day="2017-11-07")])
+    query = feed.run()
+    assert all(not p["stateOperators"] for p in query.recentProgress)
     assert _table(feed.store.trend, spark) == {
-        ("2017-11-10", "10", "00", 1, 3),
+        ("2017-11-10", "10", "00", 1, 4),
         ("2017-11-10", "10", "01", 1, 1),
         ("2017-11-10", "09", "30", 1, 1),
         ("2017-11-10", "12", "00", 2, 2),
+        ("2017-11-07", "23", "59", 1, 1),
     }
 
 
-def test_old_days_leave_the_state(spark):
-    feed = Feed(spark, start_ad_stats, retain_days=2, threshold=3)
+def test_late_clicks_of_a_user_count_and_blacklist(spark):
+    feed = Feed(spark, start_ad_stats, threshold=3)
     feed.arrive([_line(10, 1, 1, 5, 5)] * 2)
     feed.run()
     feed.arrive([_line(20, 1, 1, 6, 5)])
     feed.run()
     feed.arrive([_line(10, 1, 1, 5, 5), _line(20, 1, 1, 6, 5)])
     query = feed.run()
-    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    assert all(not p["stateOperators"] for p in query.recentProgress)
     assert _table(feed.store.user_clicks, spark) == {
-        ("2017-11-10", 5, 5, 2),
+        ("2017-11-10", 5, 5, 3),
         ("2017-11-20", 6, 5, 2),
     }
-    # The running totals have no such limit.
-    assert ("2017-11-10", "1", "1", 5, 3) in _table(feed.store.totals, spark)
+    assert _table(feed.store.blacklist, spark) == {(5,)}
 
 
-@pytest.mark.parametrize("partitions, reads", [(None, 2), (3, 1)])
-def test_spread_source_is_read_once(spark, partitions, reads):
-    feed = Feed(spark, start_ad_stats, source_partitions=partitions)
+def test_source_is_read_once(spark):
+    feed = Feed(spark, start_ad_stats)
     feed.arrive([_line(10, 1, 1, user, 5) for user in range(10)])
-    assert feed.run().recentProgress[0]["numInputRows"] == 10 * reads
+    assert feed.run().recentProgress[0]["numInputRows"] == 10
     assert _table(feed.store.totals, spark) == {("2017-11-10", "1", "1", 5, 10)}
 
 
@@ -255,6 +255,30 @@ def test_unfinished_batch_is_not_read(spark, totals_log):
     assert _table(totals_log, spark) == {("2017-11-10", 1, 1, 10)}
 
 
+def test_a_stray_date_reads_two_date_folders(spark, totals_log):
+    days = [(f"2017-11-{d}", 1, 1, 1) for d in range(10, 30)] + [("1970-01-01", 1, 1, 1)]
+    totals_log.write(spark.createDataFrame(days, schemas.AD_USER_CLICK_COUNT), 0)
+    totals_log.compact(spark, 0)
+    totals_log.vacuum(spark, 0)
+    touched = [("1970-01-01", 1, 1, 5), ("2017-11-20", 1, 1, 5)]
+    batch = spark.createDataFrame(touched, schemas.AD_USER_CLICK_COUNT)
+    known = totals_log.within(totals_log.read(spark), batch)
+    assert {row[3] for row in known.collect()} == {1}
+    assert len(known.inputFiles()) >= 2
+    plan = known._jdf.queryExecution().executedPlan()
+    assert "1970-01-01" in plan.toString() and "2017-11-20" in plan.toString()
+    assert "PartitionFilters: [date" in plan.toString()
+    totals_log.write(batch, 1)
+    assert {tuple(r) for r in totals_log.changed(spark, 1).collect()} == {
+        ("1970-01-01", 1, 1, 6), ("2017-11-20", 1, 1, 6)
+    }
+
+
+def test_kafka_options():
+    assert kafka_options(None, None) == {}
+    assert kafka_options("ads", 5000) == {"groupIdPrefix": "ads", "maxOffsetsPerTrigger": "5000"}
+
+
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_lines(spark, "localhost:9092", "ad-clicks")
