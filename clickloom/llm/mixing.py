@@ -22,6 +22,8 @@ SHARE = 1.5
 #: No source is taken more often than this.
 REPEATS = 2
 BLOCK = 64
+#: Rows that are ordered together, on average.
+ROWS_PER_PART = 20_000
 SHARD_BLOCKS = 4096
 #: Steps of cycle walking; one step fails with probability below 1 / sqrt(n).
 _WALK = 16
@@ -100,18 +102,31 @@ def source_targets(sizes: DataFrame, share: float = SHARE, repeats: float = REPE
     )
 
 
+def _measures() -> list[Column]:
+    return [
+        word_count(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("text_key"),
+    ]
+
+
 def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The mix of ``rows`` (doc_id, source, size; see ``parted``): documents, sources, pieces.
+    """The mix of ``rows`` (_row, doc_id, source, size, text_key): documents, sources, pieces.
 
     ``documents`` has ``_row`` (one number per input row), doc_id, source, size and first
     word in the source's stream; ``sources`` has targets and slots; ``pieces`` has for
     each (document, block, epoch) that is taken the words [first, first + n) of the
     document, the slot's shard and its place there. A null text is empty and takes no
     slot; repeated rows are documents of their own; null sources form one source.
-    Reruns on the same input agree: all numbers come from row order and hashes.
+    The order of a source's stream is that of a hash of the rows, so reruns agree however
+    the input is split into files and partitions; only rows that are equal in all of
+    doc_id, source, size and text hash may change places.
     """
-    placed = with_running_amount(rows, ["source"], "size", ["_row"], "start")
-    placed = materialize(placed.drop("_part"), "mix-placed")
+    parts = max(1, -(-rows.count() // ROWS_PER_PART))
+    rows = rows.withColumn("_key", F.xxhash64("doc_id", "source", "size", "text_key"))
+    rows = rows.withColumn("_part", F.pmod("_key", F.lit(parts)))
+    placed = with_running_amount(rows, ["source"], "size", ["_key", "doc_id", "_row"], "start")
+    placed = placed.select("_row", "doc_id", "source", "size", "start")
+    placed = materialize(placed, "mix-placed")
     sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = source_targets(sizes)
     blocks = F.ceil(F.col("source_size") / block).cast("long")
@@ -195,7 +210,7 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame,
 
 def mixed_amounts(docs: DataFrame) -> DataFrame:
     """What the mix takes of each document (all rows of ``docs``, empty ones too)."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", *_measures())
     placed, sources, pieces = mix(parted(sized, "mix-rows"))
     taken = pieces.groupBy("_row").agg(F.sum("n").alias("taken"))
     known = sources.select(F.col("source").alias("s"), "source_size", "target")
@@ -220,8 +235,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Documents without words take no slot, so they are not in the mix.
     """
     numbered = parted(docs, "mix-texts")
-    size = word_count(F.col("text")).alias("size")
-    _, _, pieces = mix(numbered.select("_row", "_part", "doc_id", "source", size))
+    _, _, pieces = mix(numbered.select("_row", "doc_id", "source", *_measures()))
     spans = pieces.groupBy("_row", F.col("epoch").alias("_epoch")).agg(
         F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_spans")
     )

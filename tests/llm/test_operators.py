@@ -279,7 +279,9 @@ def test_mix_takes_what_it_says(spark):
         for i in range(150)
     ]
     frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
-    first, again = (sorted(map(tuple, mixing.mixed_amounts(frame).collect())) for _ in range(2))
+    first, again = (
+        sorted(map(tuple, mixing.mixed_amounts(frame.repartition(n)).collect())) for n in (1, 7)
+    )
     assert first == again
     rows = {r[0]: r for r in first}
     taken, target = Counter(), {}
