@@ -38,10 +38,12 @@ SMALL = 64
 MAX_STEPS = 3
 LARGE = 8_192
 SKETCH = 128
-#: Sketches that agree less are not looked at: about eight standard deviations below.
-LEAST_AGREEMENT = 0.5
+#: Sketches are looked at together if they agree at most so many standard deviations less
+#: than sets of the least similarity do on average. Small sets fill few cells, and so get a
+#: lower bound.
+DEVIATIONS = 5.0
 #: Classes that one task compares with each other or with as many others.
-BLOCK = 512
+BLOCK = 1_024
 
 
 def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,10 +110,11 @@ _PARSED = (
 )
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity of sketch rows: equal bytes of those that any of both has."""
-    filled = ((a != 0) | (b != 0)).sum(axis=1)
-    return ((a == b) & (a != 0)).sum(axis=1) / np.maximum(filled, 1)
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sketch rows agree enough, of the cells that any of both has filled."""
+    filled = np.maximum(((a != 0) | (b != 0)).sum(axis=1), 1)
+    agreement = ((a == b) & (a != 0)).sum(axis=1) / filled
+    return agreement >= JACCARD - DEVIATIONS * np.sqrt(JACCARD * (1 - JACCARD) / filled)
 
 
 def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
@@ -125,9 +128,9 @@ def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
     sizes = np.diff(np.append(starts, len(path)))
     pairs = starts[sizes == 2]
     agree = np.concatenate(
-        [_agreement(sketch[p], sketch[p + 1]) for p in np.array_split(pairs, len(pairs) // 10_000 + 1)]
+        [_alike(sketch[p], sketch[p + 1]) for p in np.array_split(pairs, len(pairs) // 10_000 + 1)]
     )
-    pairs = pairs[agree >= LEAST_AGREEMENT]
+    pairs = pairs[agree]
     a, b = ids[pairs].tolist(), ids[pairs + 1].tolist()
     for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
         own = sketch[start : start + size]
@@ -137,7 +140,7 @@ def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
             open_ = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
             if not len(open_):
                 continue
-            near = open_[_agreement(own[i][None, :], own[open_]) >= LEAST_AGREEMENT]
+            near = open_[_alike(own[i][None, :], own[open_])]
             for j in near.tolist():
                 if label[j] != label[i]:
                     a.append(int(ids[start + i]))
