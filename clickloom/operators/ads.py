@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.datetime import format_date, from_epoch_millis
+from clickloom.functions.datetime import format_date, format_time, from_epoch_millis
 
 BLACKLIST_THRESHOLD = 100
 # A list of this many ids is some tens of megabytes as a broadcast table.
@@ -163,29 +163,41 @@ def click_trend(clicks: DataFrame) -> DataFrame:
     return _minute_rows(counts)
 
 
-def sliding_click_trend(
-    clicks: DataFrame,
-    length: str = "60 minutes",
-    slide: str = "10 seconds",
-    slot: str = "10 seconds",
+def slot_counts(clicks: DataFrame, slot: str = "10 seconds") -> DataFrame:
+    """Clicks per slot of time and ad: date, slot (its start as text), ad_id, click_count."""
+    counted = clicks.groupBy(F.window("ts", slot).alias("w"), "ad_id").agg(
+        F.count(F.lit(1)).alias("click_count")
+    )
+    start = F.col("w.start")
+    return counted.select(
+        format_date(start).alias("date"), format_time(start).alias("slot"), "ad_id", "click_count"
+    )
+
+
+def sliding_windows(
+    slots: DataFrame, length: str = "60 minutes", slide: str = "10 seconds"
 ) -> DataFrame:
     """The trend as each sliding window shows it: clicks per window, minute and ad.
 
-    Clicks are counted per slot first; only those counts are copied into the windows. The
-    slot must divide both a minute and the slide.
+    Only the counts of slots are copied into the windows. A slot must divide both a minute
+    and the slide.
     """
-    slots = (
-        clicks.groupBy(F.window("ts", slot).alias("slot"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("slot.start").alias("slot_ts"), "ad_id", "n")
-    )
+    slot_ts = F.to_timestamp("slot", "yyyy-MM-dd HH:mm:ss").alias("slot_ts")
     counts = (
-        slots.groupBy(
+        slots.select(slot_ts, "ad_id", "click_count")
+        .groupBy(
             F.window("slot_ts", length, slide).alias("w"),
             F.date_trunc("minute", "slot_ts").alias("minute_ts"),
             "ad_id",
         )
-        .agg(F.sum("n").alias("click_count"))
+        .agg(F.sum("click_count").alias("click_count"))
         .select(F.col("w.end").alias("window_end"), "minute_ts", "ad_id", "click_count")
     )
     return _minute_rows(counts, "window_end")
+
+
+def sliding_click_trend(
+    clicks: DataFrame, length: str = "60 minutes", slide: str = "10 seconds"
+) -> DataFrame:
+    """``sliding_windows`` of clicks, which are counted per slot first."""
+    return sliding_windows(slot_counts(clicks), length, slide)

@@ -408,6 +408,7 @@ _SELECTS = {
 _SELECTS["area_top3_products_sql"] = _SELECTS["area_top3_products"]
 _SELECTS["page_step_counts_split"] = _SELECTS["page_step_counts"]
 _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
+_SELECTS["stream_click_trend_sliding"] = _SELECTS["ad_click_trend_sliding"]
 
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}
 ORACLE["session_sample_of_few"] = _sql(_SELECTS["session_sample"], FEW)

@@ -19,7 +19,13 @@ from clickloom.sinks import batch as batch_sinks
 from clickloom.sinks import merge
 from clickloom.sources import standins
 from clickloom.sources.tables import actions_in_range, default_cities, product_clicks
-from clickloom.streaming.ad_clicks import AdSettings, AdStore, start_ad_stats, start_click_trend
+from clickloom.streaming.ad_clicks import (
+    AdSettings,
+    AdStore,
+    sliding_trend,
+    start_ad_stats,
+    start_click_trend,
+)
 from clickloom.streaming.sources import file_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -354,6 +360,12 @@ def stream_click_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _run_stream(spark, sf, start_click_trend).trend.read(spark)
 
 
+def stream_click_trend_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    store = _run_stream(spark, sf, start_click_trend)
+    shown = sliding_trend(spark, store, "60 minutes", "10 minutes")
+    return shown.withColumn("window_end", dt.format_time(F.col("window_end")))
+
+
 # Functions
 
 def datetime_scalars(spark: SparkSession, sf: str) -> DataFrame:
@@ -548,6 +560,7 @@ QUERIES: dict[str, Query] = {
         stream_blacklist,
         stream_province_top3,
         stream_click_trend,
+        stream_click_trend_sliding,
         datetime_scalars,
         string_scalars,
         text_concat_distinct,

@@ -132,4 +132,5 @@ AD_CLICK_TREND = _schema(
     ("ad_id", _LONG),
     ("click_count", _LONG),
 )
+AD_CLICK_SLOT = _schema(("date", _STR), ("slot", _STR), ("ad_id", _LONG), ("click_count", _LONG))
 AD_RECORD_NAMES = {"user_id": "userid", "ad_id": "adid", "click_count": "clickCount"}

@@ -28,7 +28,7 @@ class AdSettings:
 
 
 class AdStore:
-    """The stored result tables below one folder."""
+    """The stored result tables below one folder, and the 10-second slots of the trend."""
 
     def __init__(self, path: str):
         self.blacklist = BatchLog(
@@ -57,6 +57,14 @@ class AdStore:
             "replace_group",
             segment="date",
         )
+        self.slots = BatchLog(
+            f"{path}/ad_click_slot",
+            schemas.AD_CLICK_SLOT,
+            ["date", "slot", "ad_id"],
+            "sum",
+            "click_count",
+            segment="date",
+        )
         self.trend = BatchLog(
             f"{path}/ad_click_trend",
             schemas.AD_CLICK_TREND,
@@ -67,6 +75,13 @@ class AdStore:
         )
 
 
+def sliding_trend(
+    spark: SparkSession, store: AdStore, length: str = "60 minutes", slide: str = "10 seconds"
+) -> DataFrame:
+    """The stored trend as sliding windows show it, made when it is read."""
+    return ads.sliding_windows(store.slots.read(spark), length, slide)
+
+
 def _save(
     name: str, log: BatchLog, rows: DataFrame, batch_id: int, publish: Publisher | None
 ) -> None:
@@ -161,7 +176,8 @@ def start_click_trend(
 
     def save(clicks: DataFrame, batch_id: int) -> None:
         _save("ad_click_trend", store.trend, ads.click_trend(clicks), batch_id, publish)
-        _fold([store.trend], clicks.sparkSession, batch_id, settings)
+        _save("ad_click_slot", store.slots, ads.slot_counts(clicks), batch_id, None)
+        _fold([store.trend, store.slots], clicks.sparkSession, batch_id, settings)
 
     writer = (
         ads.parse_clicks(lines)
