@@ -53,14 +53,6 @@ def offsets(df: DataFrame, keys: list[str], amount: Column) -> DataFrame:
     )
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of all keys."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def with_running_amount(
     df: DataFrame, keys: list[str], amount: str, order: list[str], target: str
 ) -> DataFrame:

@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clickloom.llm.common import NULL_ID
 from clickloom.llm.components import components, spanning_forest
@@ -324,7 +323,10 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     groups = components(candidate_links(classes)).withColumnRenamed("component", "group")
 
     # Blocks of each group, and the tasks that compare each block with itself and others.
-    sized = groups.withColumn("count", F.count("*").over(Window.partitionBy("group")))
+    # Counted apart and stored, so that a very large group is a join that can be split.
+    groups = materialize(groups, "candidate-groups")
+    counted = groups.groupBy("group").agg(F.count("*").alias("count"))
+    sized = groups.join(materialize(counted, "group-sizes"), "group")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     dealt = sized.select(
         "id", "group", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block")
