@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import NULL_ID
 from clickloom.llm.components import components, spanning_forest
 from clickloom.llm.tokens import hashed_words, mix, range_hash, sliced, starts_of, windows
+from clickloom.llm.urls import bloom_block, bloom_filter, possible
 from clickloom.session import materialize
 
 WORDS = 5
@@ -284,13 +285,29 @@ def _exact(jaccard: float):
     return run
 
 
-def _shingle_lists(k: int):
+def _wanted_sets(k: int, table: np.ndarray):
+    """The sets of the rows whose id may be in the Bloom filter ``table``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            hashes, owner, _ = _sets(batch.column("text"), k)
-            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))
-            yield batch.drop_columns(["text"]).append_column("hashes", lists)
+            blocks = batch.column("block").to_numpy()
+            hit = possible(blocks, batch.column("key").to_numpy(), table)
+            rows = batch.filter(pa.array(hit))
+            if not rows.num_rows:
+                continue
+            hashes, owner, _ = _sets(rows.column("text"), k)
+            ends = np.searchsorted(owner, np.arange(rows.num_rows + 1))
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes, dtype=np.uint64)])
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64))
+            )
+            yield pa.record_batch(
+                {
+                    "doc": rows.column("id"),
+                    "id": pa.array((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)),
+                    "hashes": lists,
+                }
+            )
 
     return run
 
@@ -317,8 +334,9 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     )
     # Stored, so that a very large class is a join that can be split.
     firsts = materialize(firsts, "classes")
-    keep_one = parsed.join(firsts, ["key_a", "key_b", "n"]).filter("id = class")
-    classes = keep_one.select("id", "copies", "steps", "runs", "sketch")
+    # From here on a class goes by the hash of its set, ``key_a``.
+    one = parsed.join(firsts, ["key_a", "key_b", "n"]).filter("id = class")
+    classes = one.select(F.col("key_a").alias("id"), "class", "copies", "steps", "runs", "sketch")
     classes = materialize(classes.dropDuplicates(["id"]), "class-shingles")
     groups = components(candidate_links(classes)).withColumnRenamed("component", "group")
 
@@ -331,15 +349,18 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     dealt = sized.select(
         "id", "group", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block")
     )
-    dealt = materialize(dealt.join(classes.select("id", "copies"), "id"), "groups")
+    dealt = materialize(dealt.join(classes.select("id", "class", "copies"), "id"), "groups")
+    # Most documents are in no group. A Bloom filter of bounded size keeps their texts out of
+    # the join; what it lets through by mistake meets no row there.
+    table = bloom_filter(dealt.select(F.xxhash64("class").alias("key")))
+    key = F.xxhash64("id")
+    texts = rows.select("id", "text", key.alias("key"), bloom_block(key, len(table)).alias("block"))
+    found = texts.mapInArrow(_wanted_sets(k, table), "doc long, id long, hashes array<long>")
+    # The same join at every size: by its few ids the other side would seem small.
     sets = (
-        dealt.join(rows.select("id", "text"), "id")
+        found.hint("merge")
+        .join(dealt.withColumnRenamed("class", "doc"), ["id", "doc"])
         .dropDuplicates(["id"])
-        .select("id", "group", "blocks", "block", "copies", "text")
-        .mapInArrow(
-            _shingle_lists(k),
-            "id long, group long, blocks int, block int, copies long, hashes array<long>",
-        )
     )
     against = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
     spread = sets.select("*", against).select(
@@ -352,15 +373,19 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
         _exact(jaccard), "id long, n long, to long"
     )
     linked = materialize(linked, "set-links")
-    counts = linked.groupBy(F.col("id").alias("class")).agg(F.sum("n").alias("links"))
+    counts = linked.groupBy(F.col("id").alias("key_a")).agg(F.sum("n").alias("links"))
     joined = components(linked.filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")))
+    joined = joined.withColumnRenamed("id", "key_a")
+    names = joined.join(firsts.select("key_a", "class"), "key_a").groupBy("component")
+    # Stored, so that a very large component is a join that can be split.
+    names = materialize(names.agg(F.min("class").alias("smallest")), "component-names")
     facts = (
-        firsts.join(counts, "class", "left")
-        .join(joined.withColumnRenamed("id", "class"), "class", "left")
+        firsts.join(counts, "key_a", "left")
+        .join(joined.join(names, "component").select("key_a", "smallest"), "key_a", "left")
         .select(
             "key_a", "key_b", "n", "class",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "class").alias("component"),
+            F.coalesce("smallest", "class").alias("component"),
         )
     )
     facts = materialize(facts, "set-facts")

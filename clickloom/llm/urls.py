@@ -67,6 +67,13 @@ def _blocks(keys: int) -> int:
     return min(MAX_BLOCKS, 1 << (wanted - 1).bit_length())
 
 
+def bloom_block(key: Column, blocks: int) -> Column:
+    """The block of a 64-bit hash; its bits in the block come from the low 48 bits."""
+    if blocks <= 1 << 16:
+        return F.shiftrightunsigned(key, 48).bitwiseAND(blocks - 1)
+    return F.pmod(F.xxhash64(key), F.lit(blocks))
+
+
 def bloom_filter(keys: DataFrame) -> np.ndarray:
     """The blocked Bloom filter (blocks x 8 words) of a column ``key`` of 64-bit hashes.
 
@@ -78,9 +85,7 @@ def bloom_filter(keys: DataFrame) -> np.ndarray:
         F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(key, {6 * i}) & 63))")).alias(f"w{i}")
         for i in range(_WORDS)
     ]
-    rows = keys.groupBy(F.shiftrightunsigned("key", 48).bitwiseAND(blocks - 1).alias("b")) if (
-        blocks <= 1 << 16
-    ) else keys.groupBy(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("b"))
+    rows = keys.groupBy(bloom_block(F.col("key"), blocks).alias("b"))
     table = np.zeros((blocks, _WORDS), dtype=np.int64)
     for row in rows.agg(*bits).collect():
         table[row["b"]] = row[1:]
@@ -119,11 +124,7 @@ def judged(
         canonical(F.col("url")).alias("canon"),
     )
     key = F.xxhash64("canon")
-    block = (
-        F.shiftrightunsigned(key, 48).bitwiseAND(blocks - 1)
-        if blocks <= 1 << 16
-        else F.pmod(F.xxhash64(key), F.lit(blocks))
-    )
+    block = bloom_block(key, blocks)
     parsed = parsed.withColumn("key", key).withColumn("block", block)
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
