@@ -239,16 +239,17 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     spans = pieces.groupBy("_row", F.col("epoch").alias("_epoch")).agg(
         F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_spans")
     )
-    chosen = numbered.drop("_part").join(spans, "_row").withColumn("_words", words(F.col("text")))
-    text = F.array_join(
-        F.flatten(
-            F.transform(
-                "_spans",
-                lambda s: F.slice("_words", (s["first"] + 1).cast("int"), s["n"].cast("int")),
-            )
-        ),
-        " ",
-    )
+    chosen = numbered.drop("_part").join(spans, "_row")
+
+    def pieces_of(own: Column) -> Column:
+        return F.transform(
+            "_spans",
+            lambda s: F.slice(own, (s["first"] + 1).cast("int"), s["n"].cast("int")),
+        )
+
+    # The words as a lambda variable: as a column they would be split anew for every span.
+    taken = F.transform(F.array(words(F.col("text"))), pieces_of)[0]
+    text = F.array_join(F.flatten(taken), " ")
     mixed = chosen.withColumn("text", text)
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
