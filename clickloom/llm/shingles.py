@@ -1,11 +1,12 @@
 """Near duplicates by Jaccard similarity of word shingles: a chosen-path join.
 
-Each distinct set of shingles is a class. A class chooses some of its shingles by a hash
-that all classes share, so that similar sets choose the same ones; a path is a sequence of
-chosen shingles, one of each of several runs. Classes on the same path form a bucket. Small
-buckets are compared as they are, larger ones are split by a further step of the path. A
-pair with the least similarity shares a path of given length in one run with a fixed
-probability, and there are enough runs to reach the recall.
+Each distinct set of shingles is a class. In each of several independent runs a class
+chooses some of its shingles by a hash that all classes share, so that similar sets choose
+the same ones. A path begins with a chosen shingle; each further step is the shingle of the
+least hash, by another hash for each run and step, so that every set has every step. Classes
+on the same path form a bucket. Small buckets are compared as they are, larger ones are split
+by a further step of the path. A pair with the least similarity shares a whole path in one
+run with a fixed probability, and there are enough runs to reach the recall (``runs_for``).
 
 Buckets compare sketches, so the sets themselves are not copied into buckets. Sketches
 only tell which classes to look at together; all pairs of a group found so are then
@@ -14,6 +15,7 @@ compared by their whole sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,8 @@ from clickloom.session import materialize
 
 WORDS = 5
 JACCARD = 0.8
-#: A set chooses about 1 / JACCARD shingles for each run. Two sets at the least similarity
-#: share on average one of them, so they miss each other in all runs with a probability of
-#: about exp(-RUNS) at the first step, and 0.5 ** RUNS and 0.6 ** RUNS at the next two.
-RUNS = 16
+#: The least probability that a pair of the least similarity shares a path of MAX_STEPS.
+RECALL = 0.99999
 #: A bucket with more classes is split, at most to paths of MAX_STEPS.
 SMALL = 64
 MAX_STEPS = 3
@@ -46,6 +46,42 @@ DEVIATIONS = 5.0
 BLOCK = 1_024
 
 
+def runs_for(jaccard: float) -> int:
+    """How many runs reach RECALL at the similarity ``jaccard`` where all buckets are split.
+
+    Two sets at that similarity share on average at least one chosen shingle in a run, so
+    they share a first step with a probability of at least 1 - exp(-1), and each further
+    step with the probability ``jaccard``.
+    """
+    shared = (1 - math.exp(-1)) * jaccard ** (MAX_STEPS - 1)
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - shared))
+
+
+def _paths(hashes: np.ndarray, owner: np.ndarray, n: np.ndarray, jaccard: float):
+    """(numbers of paths by text, the paths of 1 .. MAX_STEPS steps as rows) of sets."""
+    filled = np.flatnonzero(n)
+    starts = (np.cumsum(n) - n)[filled]
+    # Each shingle is chosen with a probability of 1 / (jaccard * n), all if that is over 1.
+    share = np.minimum(1 / (jaccard * np.maximum(n, 1)), 1 - 2.0**-53)
+    limit = (share * 2.0**64).astype(np.uint64)[owner]
+    least = np.zeros(len(n), dtype=np.uint64)
+    owners, paths = [np.zeros(0, np.int64)], [np.zeros((0, MAX_STEPS), np.uint64)]
+    for run in range(runs_for(jaccard) if len(hashes) else 0):
+        value = mix(hashes ^ mix(np.uint64([run * MAX_STEPS + 1])))
+        chosen = np.flatnonzero(value <= limit)
+        own = owner[chosen]
+        path = [value[chosen]]
+        for step in range(1, MAX_STEPS):
+            fresh = mix(hashes ^ mix(np.uint64([run * MAX_STEPS + step + 1])))
+            least[filled] = np.minimum.reduceat(fresh, starts)
+            path.append(mix(path[-1] + np.uint64(step)) ^ least[own])
+        owners.append(own)
+        paths.append(np.stack(path, axis=1))
+    own = np.concatenate(owners)
+    order = np.argsort(own, kind="stable")
+    return np.bincount(own, minlength=len(n)), np.concatenate(paths)[order]
+
+
 def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct shingle hashes by text, their texts, numbers of words); short texts have one."""
     words = hashed_words(column)
@@ -72,14 +108,9 @@ def _parse(k: int, jaccard: float):
             ends = np.cumsum(n)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)]) for h in (hashes, mix(hashes))]
             key_a, key_b = (s[ends] - s[ends - n] for s in sums)
-            # The run of a shingle is the range that its hash falls in; it is chosen if it
-            # lies low enough in that range, which smaller sets allow more often.
-            unit = mix(hashes + np.uint64(7)).astype(np.float64) / 2.0**64 * RUNS
-            chosen = (unit % 1.0) < RUNS / (jaccard * np.maximum(n, 1))[owner]
-            steps = hashes[chosen].view(np.int64)
-            runs = unit[chosen].astype(np.int8)
-            step_count = np.bincount(owner[chosen], minlength=batch.num_rows)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(step_count)]).astype(np.int32))
+            path_count, paths = _paths(hashes, owner, n, jaccard)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(path_count)]).astype(np.int32))
+            steps = [pa.array(np.ascontiguousarray(column).view(np.int64)) for column in paths.T]
             # One permutation: the least hash of each of SKETCH ranges, as a byte; 0 if none.
             sketch = np.zeros((batch.num_rows, SKETCH), dtype=np.uint8)
             if len(hashes):
@@ -96,8 +127,9 @@ def _parse(k: int, jaccard: float):
                     "n": pa.array(n.astype(np.int32)),
                     "key_a": pa.array(key_a.view(np.int64)),
                     "key_b": pa.array(key_b.view(np.int64)),
-                    "steps": pa.ListArray.from_arrays(offsets, pa.array(steps)),
-                    "runs": pa.ListArray.from_arrays(offsets, pa.array(runs)),
+                    "paths": pa.ListArray.from_arrays(
+                        offsets, pa.StructArray.from_arrays(steps, _path_names())
+                    ),
                     "sketch": pa.array([row.tobytes() for row in sketch], pa.binary()),
                 }
             )
@@ -105,19 +137,24 @@ def _parse(k: int, jaccard: float):
     return run
 
 
-_PARSED = (
-    "id long, n int, key_a long, key_b long, steps array<long>, runs array<tinyint>, sketch binary"
-)
+def _path_names() -> list[str]:
+    """The fields of a path: what it is after one step, after two, and so on."""
+    return [f"path{step}" for step in range(1, MAX_STEPS + 1)]
+
+
+def _parsed() -> str:
+    path = ", ".join(f"{name}: bigint" for name in _path_names())
+    return f"id long, n int, key_a long, key_b long, paths array<struct<{path}>>, sketch binary"
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _alike(a: np.ndarray, b: np.ndarray, jaccard: float) -> np.ndarray:
     """Whether sketch rows agree enough, of the cells that any of both has filled."""
     filled = np.maximum(((a != 0) | (b != 0)).sum(axis=1), 1)
     agreement = ((a == b) & (a != 0)).sum(axis=1) / filled
     return agreement >= JACCARD - DEVIATIONS * np.sqrt(JACCARD * (1 - JACCARD) / filled)
 
 
-def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
+def _bucket_links(rows: pa.Table, jaccard: float) -> tuple[list[int], list[int]]:
     """Links of ids that connect what agrees within each bucket; one part of buckets."""
     rows = rows.sort_by([("path", "ascending"), ("id", "ascending")])
     path, ids = rows.column("path").to_numpy(), rows.column("id").to_numpy()
@@ -128,7 +165,10 @@ def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
     sizes = np.diff(np.append(starts, len(path)))
     pairs = starts[sizes == 2]
     agree = np.concatenate(
-        [_alike(sketch[p], sketch[p + 1]) for p in np.array_split(pairs, len(pairs) // 10_000 + 1)]
+        [
+            _alike(sketch[p], sketch[p + 1], jaccard)
+            for p in np.array_split(pairs, len(pairs) // 10_000 + 1)
+        ]
     )
     pairs = pairs[agree]
     a, b = ids[pairs].tolist(), ids[pairs + 1].tolist()
@@ -140,7 +180,7 @@ def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
             open_ = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
             if not len(open_):
                 continue
-            near = open_[_alike(own[i][None, :], own[open_])]
+            near = open_[_alike(own[i][None, :], own[open_], jaccard)]
             for j in near.tolist():
                 if label[j] != label[i]:
                     a.append(int(ids[start + i]))
@@ -149,49 +189,30 @@ def _bucket_links(rows: pa.Table) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def _links_of(key: tuple, rows: pa.Table) -> pa.Table:
-    a, b = _bucket_links(rows) if rows.num_rows else ([], [])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _links_of(jaccard: float):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        a, b = _bucket_links(rows, jaccard) if rows.num_rows else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    return run
 
-def candidate_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all classes (id, steps, runs, sketch) worth comparing."""
-    paths = classes.select(
-        "id",
-        "steps",
-        "runs",
-        F.explode(
-            F.transform(
-                "steps",
-                lambda s, i: F.struct(s.alias("path"), F.get("runs", i).cast("int").alias("run")),
-            )
-        ).alias("p"),
-    ).select("id", "steps", "runs", F.col("p.path").alias("path"), F.col("p.run").alias("run"))
+
+def candidate_links(classes: DataFrame, jaccard: float) -> DataFrame:
+    """Links (a, b) that connect all classes (id, paths, sketch) worth comparing."""
+    names = _path_names()
+    paths = classes.select("id", F.explode("paths").alias("p")).select("id", "p.*")
     small = []
-    for step in range(1, MAX_STEPS + 1):
+    for i, name in enumerate(names):
+        paths = paths.withColumnRenamed(name, "path")
         sizes = paths.groupBy("path").count().filter("count > 1")
         # Stored, so that a path that very many classes share is a join that can be split.
         sizes = materialize(sizes, "bucket-sizes")
-        if step == MAX_STEPS:
-            small.append(paths.join(sizes, "path").select("path", "id", "count"))
-            break
-        small.append(paths.join(sizes.filter(F.col("count") <= SMALL), "path").select("path", "id", "count"))
-        large = paths.join(sizes.filter(F.col("count") > SMALL), "path")
-        further = F.filter(
-            F.transform(
-                "steps",
-                lambda s, i: F.when(
-                    F.get("runs", i).cast("int") == (F.col("run") + 1) % RUNS, s
-                ),
-            ),
-            lambda s: s.isNotNull(),
-        )
-        taken = large.select("id", "steps", "runs", "run", "path", F.explode(further).alias("s"))
-        paths = taken.select(
-            "id", "steps", "runs", ((F.col("run") + 1) % RUNS).alias("run"),
-            F.xxhash64("path", "s").alias("path"),
-        )
-        paths = materialize(paths, "paths")
+        fits = sizes if name == names[-1] else sizes.filter(F.col("count") <= SMALL)
+        small.append(paths.join(fits, "path").select("path", "id", "count"))
+        if name != names[-1]:
+            # Every class of a large bucket has a next step, so none drops out here.
+            large = paths.join(sizes.filter(F.col("count") > SMALL), "path")
+            paths = materialize(large.select("id", *names[i + 1 :]), "paths")
     buckets = small[0]
     for more in small[1:]:
         buckets = buckets.unionByName(more)
@@ -208,7 +229,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
     members = dealt.join(classes.select("id", "sketch"), "id")
     parts = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
     members = members.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(parts)).cast("int"))
-    found = members.groupBy("part").applyInArrow(_links_of, "a long, b long")
+    found = members.groupBy("part").applyInArrow(_links_of(jaccard), "a long, b long")
     return found.distinct()
 
 
@@ -326,7 +347,7 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     rows = docs.select(
         F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text"
     )
-    parsed = materialize(rows.select("id", "text").mapInArrow(_parse(k, jaccard), _PARSED), "shingles")
+    parsed = materialize(rows.select("id", "text").mapInArrow(_parse(k, jaccard), _parsed()), "shingles")
     firsts = (
         parsed.filter("n > 0")
         .groupBy("key_a", "key_b", "n")
@@ -336,9 +357,9 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     firsts = materialize(firsts, "classes")
     # From here on a class goes by the hash of its set, ``key_a``.
     one = parsed.join(firsts, ["key_a", "key_b", "n"]).filter("id = class")
-    classes = one.select(F.col("key_a").alias("id"), "class", "copies", "steps", "runs", "sketch")
+    classes = one.select(F.col("key_a").alias("id"), "class", "copies", "paths", "sketch")
     classes = materialize(classes.dropDuplicates(["id"]), "class-shingles")
-    groups = components(candidate_links(classes)).withColumnRenamed("component", "group")
+    groups = components(candidate_links(classes, jaccard)).withColumnRenamed("component", "group")
 
     # Blocks of each group, and the tasks that compare each block with itself and others.
     # Counted apart and stored, so that a very large group is a join that can be split.

@@ -181,6 +181,44 @@ def test_near_copies_equal_brute_force(spark, monkeypatch):
     assert kept == {i for i, c in component.items() if i == c}
 
 
+def test_large_groups_of_short_near_copies_stay_whole(spark):
+    # More members than SMALL, so that every bucket is split; few shingles to go on by.
+    docs, first = [], {}
+    for group in range(26):
+        length = 13 + group % 13
+        for member in range(70):
+            words = [f"g{group}w{i}" for i in range(length - 1)] + [f"own{len(docs)}"]
+            first[len(docs)] = len(docs) - member
+            docs.append((len(docs), " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = shingles.near_copies(frame).collect()
+    assert {r.doc_id: (r.n_links, r.component_id) for r in found} == {
+        i: (69, smallest) for i, smallest in first.items()
+    }
+
+
+def test_every_set_has_all_steps():
+    n = np.array([1, 0, 4, 300])
+    owner = np.repeat(np.arange(4), n)
+    count, paths = shingles._paths(np.arange(len(owner), dtype=np.uint64) * 7919, owner, n, 0.8)
+    assert count[1] == 0 and (count[[0, 2, 3]] > 0).all()
+    assert paths.shape == (count.sum(), shingles.MAX_STEPS)
+
+
+def test_recall_of_split_paths():
+    # Pairs at the least similarity, 8 of 10 shingles: enough runs for whole paths.
+    pairs = 4_000
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 2**63, (pairs, 10), dtype=np.uint64) * np.uint64(2)
+    sets = np.sort(np.stack([hashes[:, :9], hashes[:, [*range(8), 9]]], axis=1), axis=2)
+    n = np.full(2 * pairs, 9)
+    count, paths = shingles._paths(sets.reshape(-1), np.repeat(np.arange(2 * pairs), 9), n, 0.8)
+    own = np.repeat(np.arange(2 * pairs), count)
+    whole = [set(p.tolist()) for p in np.split(paths[:, -1], np.cumsum(count)[:-1])]
+    assert len(own) == len(paths)
+    assert sum(not (whole[i] & whole[i + 1]) for i in range(0, 2 * pairs, 2)) <= 1
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "pairs", "none"])
 def test_components(spark, shape):
     links = {
