@@ -151,7 +151,7 @@ def _alike(a: np.ndarray, b: np.ndarray, jaccard: float) -> np.ndarray:
     """Whether sketch rows agree enough, of the cells that any of both has filled."""
     filled = np.maximum(((a != 0) | (b != 0)).sum(axis=1), 1)
     agreement = ((a == b) & (a != 0)).sum(axis=1) / filled
-    return agreement >= JACCARD - DEVIATIONS * np.sqrt(JACCARD * (1 - JACCARD) / filled)
+    return agreement >= jaccard - DEVIATIONS * np.sqrt(jaccard * (1 - jaccard) / filled)
 
 
 def _bucket_links(rows: pa.Table, jaccard: float) -> tuple[list[int], list[int]]:

@@ -205,6 +205,14 @@ def test_every_set_has_all_steps():
     assert paths.shape == (count.sum(), shingles.MAX_STEPS)
 
 
+def test_sketches_are_judged_by_the_given_similarity():
+    a = np.ones((1, shingles.SKETCH), dtype=np.uint8)
+    b = a.copy()
+    b[0, 58 * shingles.SKETCH // 100 :] = 2
+    assert shingles._alike(a, b, 0.6).all()
+    assert not shingles._alike(a, b, 0.8).any()
+
+
 def test_recall_of_split_paths():
     # Pairs at the least similarity, 8 of 10 shingles: enough runs for whole paths.
     pairs = 4_000
