@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import words
+from clickloom.llm.common import word_count, words
 from clickloom.session import materialize
 
 #: A line in more distinct texts of one host than this is removed.
@@ -71,19 +71,34 @@ def _line_key(host: Column, line: Column) -> Column:
     return F.xxhash64(host, F.trim(F.regexp_replace(plain, r"[0-9]", "0")))
 
 
-def quality_verdicts(
+def _without(text: Column, places: Column) -> Column:
+    """``text`` without the lines at ``places``, counted from 0."""
+
+    def rest(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return _bound(F.split(text, "\n"), rest)
+
+
+def without_frequent_lines(
     docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
 ) -> DataFrame:
-    """Statistics and verdict of each row of ``docs`` (doc_id, text, source as host).
+    """``docs`` (doc_id, text, source as host) without frequent lines, and ``_verdict``.
 
     Lines with a word are compared normalised (``_line_key``). Documents of one host with
     the same text count once, so that copies do not make each other's lines frequent. The
-    lines above the limit are removed, and a document is depleted if they held more than
-    ``max_lost_percent`` of its words. Null texts have no words and fail; a null host is
-    a host; repeated rows are judged each; columns beside the three are ignored.
+    lines above the limit are cut out of ``text``, and a document is depleted if they held
+    more than ``max_lost_percent`` of its words. Null texts have no words and fail; a null
+    host is a host; repeated rows are judged each. ``_verdict`` has the statistics of the
+    text as it was, n_lost_words and kept. Other columns stay as they are. Names of
+    ``docs`` that begin with an underscore are not allowed.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD_CLASS))
+    placed = F.transform(
+        F.split(text, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("place"))
+    )
+    lines = F.filter(placed, lambda x: x["line"].rlike(_WORD_CLASS))
     w = words(F.col("text"))
     word_facts = _bound(
         w,
@@ -96,35 +111,28 @@ def quality_verdicts(
     line_facts = _bound(
         lines,
         lambda a: F.struct(
-            (F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
+            (F.size(a) - F.size(F.array_distinct(a["line"]))).cast("long").alias("n_dup_lines"),
             F.transform(
                 a,
-                lambda line: F.struct(
-                    _line_key(F.col("source"), line).alias("line"),
-                    F.size(words(line)).alias("n"),
+                lambda x: F.struct(
+                    _line_key(F.col("source"), x["line"]).alias("line"), x["place"].alias("place")
                 ),
             ).alias("lines"),
         ),
     )
     facts = docs.select(
-        "doc_id",
+        *docs.columns,
         F.monotonically_increasing_id().alias("_row"),
-        F.xxhash64("source", text).alias("text_key"),
-        word_facts.alias("w"),
-        line_facts.alias("l"),
-        F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+        F.xxhash64("source", text).alias("_text_key"),
+        word_facts.alias("_w"),
+        line_facts.alias("_l"),
+        F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("_n_symbols"),
     )
-    facts = materialize(
-        facts.select(
-            "doc_id", "_row", "text_key", "w.n_words", "w.word_chars", "n_symbols",
-            "l.n_dup_lines", "w.n_repeat_words", "l.lines",
-        ),
-        "line-facts",
-    )
-    each = facts.select("_row", "text_key", F.explode("lines").alias("x"))
-    each = each.select("_row", "text_key", F.col("x.line").alias("line"), F.col("x.n").alias("n"))
+    facts = materialize(facts, "line-facts")
+    each = facts.select("_row", "_text_key", F.explode("_l.lines").alias("x"))
+    each = each.select("_row", "_text_key", F.col("x.line").alias("line"), F.col("x.place").alias("place"))
     frequent = (
-        each.select("line", "text_key")
+        each.select("line", "_text_key")
         .distinct()
         .groupBy("line")
         .count()
@@ -134,24 +142,61 @@ def quality_verdicts(
     # Stored, so that a line that a third of all documents share is a plain skewed join,
     # which adaptive execution splits.
     frequent = materialize(frequent, "frequent-lines")
-    lost = each.join(frequent, "line").groupBy("_row").agg(F.sum("n").alias("n_lost_words"))
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    lost_words = F.coalesce("n_lost_words", F.lit(0)).cast("long")
-    return (
-        facts.drop("lines", "text_key")
+    lost = each.join(frequent, "line").groupBy("_row").agg(F.collect_list("place").alias("_places"))
+    cut = (
+        facts.withColumn("_dups", F.col("_l.n_dup_lines"))
+        .drop("_l", "_text_key")
         .join(lost, "_row", "left")
-        .withColumn("n_lost_words", lost_words)
-        .withColumn("base_failed", base_failed)
         .withColumn(
-            "kept",
-            ~F.col("base_failed")
-            & (100 * F.col("n_lost_words") <= max_lost_percent * F.col("n_words")),
-        )
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "kept", "n_lost_words",
+            "text",
+            F.when(F.col("_places").isNull(), F.col("text")).otherwise(
+                _without(F.col("text"), F.col("_places"))
+            ),
         )
     )
+    n_words = F.col("_w.n_words")
+    lost_words = F.when(F.col("_places").isNull(), F.lit(0).cast("long")).otherwise(
+        n_words - word_count(F.col("text"))
+    )
+    base_failed = (n_words < 50) | (100 * F.col("_w.n_repeat_words") > 50 * n_words)
+    kept = ~base_failed & (100 * F.col("_lost") <= max_lost_percent * n_words)
+    return cut.withColumn("_lost", lost_words).select(
+        *docs.columns,
+        F.struct(
+            "_w.n_words",
+            "_w.word_chars",
+            F.col("_n_symbols").alias("n_symbols"),
+            F.col("_dups").alias("n_dup_lines"),
+            "_w.n_repeat_words",
+            base_failed.alias("base_failed"),
+            kept.alias("kept"),
+            F.col("_lost").alias("n_lost_words"),
+        ).alias("_verdict"),
+    )
+
+
+def cleaned(
+    docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
+) -> DataFrame:
+    """The kept rows of ``docs`` with frequent lines cut out; ``n_chars`` is counted anew."""
+    kept = without_frequent_lines(docs, max_texts, max_lost_percent).filter("_verdict.kept")
+    if "n_chars" in docs.columns:
+        count = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut = F.col("_verdict.n_lost_words") > 0
+        kept = kept.withColumn("n_chars", F.when(cut, count).otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
+
+
+def quality_verdicts(
+    docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
+) -> DataFrame:
+    """Statistics and verdict of each row of ``docs``, by ``without_frequent_lines``.
+
+    Columns beside doc_id, text and source are ignored.
+    """
+    docs = docs.select("doc_id", "text", "source")
+    judged = without_frequent_lines(docs, max_texts, max_lost_percent)
+    return judged.select("doc_id", "_verdict.*")
 
 
 ORACLE_SQL = rf"""

@@ -18,6 +18,7 @@ from check import compare, connect
 from clickloom.llm import (
     components,
     embeddings,
+    line_quality,
     mixing,
     packing,
     quality,
@@ -116,6 +117,25 @@ def test_repeated_passages_equal_brute_force(spark):
         assert r._n_words - r._n_removed == len(want[r.doc_id])
 
 
+# Frequent lines
+
+
+def test_frequent_lines_are_cut_out(spark):
+    # Digits are equal in a line, so the lines of their own differ in letters.
+    own = [" ".join(f"{letter}w{j}" for j in range(60)) for letter in "abcde"]
+    docs = [(i, f"Page  {i} of 9\n\n{own[i]}\npage 1 OF 9\n", "host", 1) for i in range(5)]
+    docs += [(5, f"page 1 of 9\n{own[0]}", "other", 1), (6, None, "host", 1), (7, "page 1 of 9", "host", 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int")
+    found = {r.doc_id: r for r in line_quality.without_frequent_lines(frame, max_texts=3).collect()}
+    want = {i: f"\n{own[i]}\n" for i in range(5)} | {5: docs[5][1], 6: None, 7: ""}
+    assert {i: r.text for i, r in found.items()} == want
+    assert {i: r._verdict.n_lost_words for i, r in found.items()} == {
+        **{i: 8 for i in range(5)}, 5: 0, 6: 0, 7: 4
+    }
+    kept = {r.doc_id: (r.text, r.n_chars) for r in line_quality.cleaned(frame, max_texts=3).collect()}
+    assert kept == {**{i: (want[i], len(want[i])) for i in range(5)}, 5: (docs[5][1], 1)}
+
+
 # Near copies
 
 
