@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import embeddings, line_quality, mixing, packing, quality, sharding, shingles, substrings, toxicity, urls
+from clickloom.llm import (
+    embeddings,
+    filter_audit,
+    line_quality,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    shingles,
+    spelling,
+    substrings,
+    token_files,
+    toxicity,
+    urls,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,6 +73,21 @@ def op10_quality_grades(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_grades(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf, "documents"))
+
+
+def op13_token_planes(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_digests(spark, _table(spark, sf, "documents"), tokenizer)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +101,9 @@ LLM_QUERIES = {
         op8_embedding_links,
         op9_length_buckets,
         op10_quality_grades,
+        op11_filter_audit,
+        op12_spelling_variants,
+        op13_token_planes,
     )
 }
 
@@ -81,4 +113,6 @@ LLM_ORACLE = {
     "op4_repeated_passages": substrings.ORACLE_SQL,
     "op5_near_copies": shingles.ORACLE_SQL,
     "op8_embedding_links": embeddings.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op12_spelling_variants": spelling.ORACLE_SQL,
 }
