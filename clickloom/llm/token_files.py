@@ -71,7 +71,8 @@ def joined_planes(planes: list[bytes | None], n: int) -> np.ndarray:
             row[:] = np.unpackbits(
                 np.frombuffer(plane, dtype=np.uint8), count=n, bitorder="little"
             )
-    return np.packbits(bits.T, axis=1, bitorder="little").view("<u4").reshape(-1)
+    rows = np.packbits(bits.T, axis=1, bitorder="little")
+    return np.ascontiguousarray(rows).view("<u4").reshape(-1)
 
 
 PLANES = {"byte": byte_planes, "bit": bit_planes}
