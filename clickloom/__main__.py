@@ -43,6 +43,7 @@ def _arguments() -> argparse.ArgumentParser:
     ads.add_argument("--top", type=int, default=AdSettings.top)
     ads.add_argument("--trigger", default=AdSettings.trigger, help="time between batches")
     ads.add_argument("--compact-every", type=int, default=AdSettings.compact_every)
+    ads.add_argument("--source-partitions", type=int, help="deal a batch over so many partitions")
     ads.add_argument("--group-prefix", help="start of the Kafka group names")
     ads.add_argument("--offsets-per-batch", type=int, help="Kafka messages of a batch at most")
     ads.add_argument("--available-now", action="store_true", help="stop when all is read")
@@ -91,7 +92,9 @@ def main(argv: list[str] | None = None) -> None:
             )
         target = _target(args)
         publish = None if target is None else jdbc_publisher(target)
-        settings = AdSettings(args.threshold, args.top, args.trigger, args.compact_every)
+        settings = AdSettings(
+            args.threshold, args.top, args.trigger, args.compact_every, args.source_partitions
+        )
         store = AdStore(args.store)
         running = [
             start(lines, store, f"{args.checkpoint}/{name}", settings, publish, args.available_now)

@@ -13,6 +13,8 @@ from clickloom.functions.datetime import format_date, format_time, from_epoch_mi
 BLACKLIST_THRESHOLD = 100
 # A list of this many ids is some tens of megabytes as a broadcast table.
 MAX_BROADCAST_USERS = 500_000
+# A bitmap takes 4 KB, a listed user some tens of bytes.
+BITMAP_USERS = 100
 # Milliseconds of the years 1 to 9999; a number outside is no time but a malformed line.
 _FIRST_MILLIS, _LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
@@ -142,6 +144,23 @@ def top_ads_by_province(totals: DataFrame, limit: int = 3) -> DataFrame:
     )
 
 
+def merged_top_ads(top: DataFrame, grown: DataFrame, limit: int = 3) -> DataFrame:
+    """The top ads of each province and day from the last ones and the totals that grew.
+
+    ``top`` has the rows of ``top_ads_by_province`` before, ``grown`` all totals of the ads
+    that were clicked since. Clicks are only added, so no other ad can have come up.
+    """
+    now = province_totals(grown)
+    kept = top.join(now.select("date", "province", "ad_id"), ["date", "province", "ad_id"], "left_anti")
+    rank = Window.partitionBy("date", "province").orderBy(F.desc("click_count"), "ad_id")
+    return (
+        kept.unionByName(now)
+        .withColumn("place", F.row_number().over(rank))
+        .filter(F.col("place") <= limit)
+        .select("date", "province", "ad_id", "click_count")
+    )
+
+
 def _minute_rows(counts: DataFrame, *extra: str) -> DataFrame:
     return counts.select(
         *extra,
@@ -174,6 +193,18 @@ def slot_counts(clicks: DataFrame, slot: str = "10 seconds") -> DataFrame:
     )
 
 
+def _slot_ts() -> Column:
+    return F.to_timestamp("slot", "yyyy-MM-dd HH:mm:ss")
+
+
+def minute_counts(slots: DataFrame) -> DataFrame:
+    """``click_trend`` from the counts of slots that divide a minute."""
+    counts = slots.groupBy(F.date_trunc("minute", _slot_ts()).alias("minute_ts"), "ad_id").agg(
+        F.sum("click_count").alias("click_count")
+    )
+    return _minute_rows(counts)
+
+
 def sliding_windows(
     slots: DataFrame, length: str = "60 minutes", slide: str = "10 seconds"
 ) -> DataFrame:
@@ -182,9 +213,8 @@ def sliding_windows(
     Only the counts of slots are copied into the windows. A slot must divide both a minute
     and the slide.
     """
-    slot_ts = F.to_timestamp("slot", "yyyy-MM-dd HH:mm:ss").alias("slot_ts")
     counts = (
-        slots.select(slot_ts, "ad_id", "click_count")
+        slots.select(_slot_ts().alias("slot_ts"), "ad_id", "click_count")
         .groupBy(
             F.window("slot_ts", length, slide).alias("w"),
             F.date_trunc("minute", "slot_ts").alias("minute_ts"),
@@ -201,3 +231,82 @@ def sliding_click_trend(
 ) -> DataFrame:
     """``sliding_windows`` of clicks, which are counted per slot first."""
     return sliding_windows(slot_counts(clicks), length, slide)
+
+
+def window_runs(slots: DataFrame, length: int = 3600, slide: int = 10) -> DataFrame:
+    """The sliding trend as runs of windows in which the clicks of a minute and ad are equal.
+
+    The windows are ``length`` seconds long and end every ``slide`` seconds; both are
+    multiples of the slots, and the length is one of the slide. What a window shows of a minute
+    changes only where one of the minute's slots comes in or goes out. So each slot is two
+    changes instead of a copy for each of its windows, and their prefix sums over the few
+    changes of a minute and ad are the counts. A row stands for the windows that end from
+    ``first_end`` to ``last_end``.
+    """
+    if length % slide:
+        raise ValueError("the length must be a multiple of the slide")
+    second = F.unix_timestamp(_slot_ts())
+    first = second - second % slide + slide
+    changes = slots.select(
+        F.date_trunc("minute", _slot_ts()).alias("minute_ts"),
+        "ad_id",
+        F.inline(
+            F.array(
+                F.struct(first.alias("at"), F.col("click_count").alias("change")),
+                F.struct((first + length).alias("at"), (-F.col("click_count")).alias("change")),
+            )
+        ),
+    )
+    changes = changes.groupBy("minute_ts", "ad_id", "at").agg(F.sum("change").alias("change"))
+    in_order = Window.partitionBy("minute_ts", "ad_id").orderBy("at")
+    runs = changes.filter("change <> 0").select(
+        "minute_ts",
+        "ad_id",
+        F.timestamp_seconds("at").alias("first_end"),
+        F.timestamp_seconds(F.lead("at").over(in_order) - slide).alias("last_end"),
+        F.sum("change").over(in_order).alias("click_count"),
+    )
+    return _minute_rows(runs.filter("click_count > 0"), "first_end", "last_end")
+
+
+def shown_in_window(runs: DataFrame, end: Column) -> DataFrame:
+    """What one window of ``window_runs`` shows: clicks per minute and ad."""
+    inside = end.between(F.col("first_end"), F.col("last_end"))
+    return runs.filter(inside).drop("first_end", "last_end")
+
+
+def user_bitmap(users: DataFrame) -> DataFrame:
+    """``users`` as (bucket, bitmap): a bit for each of the 32,768 ids of a bucket.
+
+    Ids of any sign and size have a bit of their own. Bits are set in the map tasks, and
+    only bitmaps are shuffled. A bucket is 4 KB, whatever number of its ids is listed.
+    """
+    return users.groupBy(F.bitmap_bucket_number("user_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("bitmap")
+    )
+
+
+def without_listed(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """``without_users`` for combined rows and stored distinct ``users``, by the smaller list.
+
+    Where ids are dense the list is ``user_bitmap``; where a bitmap would hold fewer than
+    BITMAP_USERS of them on average it is one row per user.
+    """
+    bucket = F.bitmap_bucket_number("user_id")
+    found = users.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(bucket).alias("buckets")).first()
+    if found.n >= BITMAP_USERS * found.buckets:
+        return without_bitmap(rows, user_bitmap(users))
+    return counts_without_users(rows, users)
+
+
+def without_bitmap(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """Rows whose user has no bit in ``user_bitmap``; a row without user stays.
+
+    An outer join by bucket and a test of the bit: below an aggregate the rows stay combined.
+    """
+    place = F.bitmap_bit_position("user_id")
+    byte = F.substring("bitmap", (place / 8).cast("int") + 1, F.lit(1))
+    listed = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
+    bucket = F.bitmap_bucket_number("user_id").alias("bucket")
+    joined = rows.select("*", bucket).join(bitmap, "bucket", "left")
+    return joined.filter(F.col("bitmap").isNull() | ~listed).select(*rows.columns)

@@ -11,66 +11,85 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.text import round_half_up
 from clickloom.operators.skew import MIN_HEAVY_ROWS, heavy_keys
+from clickloom.session import materialize
 
 
 def page_steps(actions: DataFrame, heavy_rows: int = MIN_HEAVY_ROWS) -> DataFrame:
     """Weighted steps (page_id, next_page_id, steps) between consecutive actions of a session.
 
     Actions are ordered by time, then page. ``next_page_id`` is NULL after the last action
-    of a session, so the steps of a page sum to its views. An action without a session is
-    a session of its own. Pages and times may be NULL; a NULL time is before all others.
+    of a session, so the steps of a page sum to its views. An action without a session
+    belongs to none and leads nowhere. Pages and times may be NULL; a NULL time is before
+    all others.
 
-    An ordinary session is one window. A session with ``heavy_rows`` actions would be one
-    task's work, so it takes the second path: its actions are counted by (second, page),
-    which combines before the shuffle, chained minute by minute, and the minutes are then
-    chained to each other.
+    An ordinary session is one window, and its actions are shuffled once. A session with
+    ``heavy_rows`` actions would be one task's work; its actions are scanned in segments.
     """
     every = actions.select("session_id", "action_ts", "page_id")
-    log = every.filter("session_id IS NOT NULL")
     last = F.lit(None).cast(actions.schema["page_id"].dataType)
-    alone = every.filter("session_id IS NULL").select(
-        "page_id", last.alias("next_page_id"), F.lit(1).cast("long").alias("steps")
-    )
-    heavy = F.broadcast(heavy_keys(log, "session_id", heavy_rows))
+    alone = every.filter("session_id IS NULL").select("page_id", last.alias("next_page_id"))
+    log = every.filter("session_id IS NOT NULL")
+    heavy = heavy_keys(log, "session_id", heavy_rows)
+    if heavy.isEmpty():
+        return _each_once(_session_steps(log).unionByName(alone))
+    heavy = F.broadcast(materialize(heavy, "heavy-sessions"))
+    light = _session_steps(log.join(heavy, "session_id", "left_anti")).unionByName(alone)
+    segments = segmented(log.join(heavy, "session_id", "left_semi"))
+    return _each_once(light).unionByName(segment_steps(segments))
+
+
+def _session_steps(log: DataFrame) -> DataFrame:
     by_time = Window.partitionBy("session_id").orderBy("action_ts", "page_id")
-    light_steps = log.join(heavy, "session_id", "left_anti").select(
-        "page_id",
-        F.lead("page_id").over(by_time).alias("next_page_id"),
-        F.lit(1).cast("long").alias("steps"),
-    )
-    heavy_steps = _heavy_steps(log.join(heavy, "session_id", "left_semi"))
-    return light_steps.unionByName(heavy_steps).unionByName(alone)
+    return log.select("page_id", F.lead("page_id").over(by_time).alias("next_page_id"))
 
 
-def _heavy_steps(log: DataFrame) -> DataFrame:
-    ticks = (
-        log.groupBy("session_id", "action_ts", "page_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("minute", F.date_trunc("minute", "action_ts"))
-    )
-    in_minute = Window.partitionBy("session_id", "minute").orderBy("action_ts", "page_id")
-    # n actions of one tick: n - 1 steps to the same page, then one step onward.
-    repeat = F.struct(F.col("page_id").alias("next_page_id"), (F.col("n") - 1).alias("steps"))
-    # The last tick of a minute is told by having no row after it, not by a NULL page.
-    onward = F.when(
-        F.col("after").isNotNull(),
-        F.struct(F.col("after.page_id").alias("next_page_id"), F.lit(1).cast("long").alias("steps")),
+def _each_once(steps: DataFrame) -> DataFrame:
+    return steps.withColumn("steps", F.lit(1).cast("long"))
+
+
+def segmented(log: DataFrame) -> DataFrame:
+    """``log`` dealt over ranges of (session, time, page), with the range as ``segment``.
+
+    The ranges hold about as many actions each, whatever sessions and seconds they belong
+    to: a number of its own for each action lets a range end between equal ones. The rows
+    are written once, so that both parts of the scan see the same ranges.
+    """
+    number = F.xxhash64(F.monotonically_increasing_id())
+    ordered = log.withColumn("number", number).repartitionByRange(
+        "session_id", "action_ts", "page_id", "number"
     )
-    steps = F.filter(F.array(repeat, onward), lambda s: s.isNotNull() & (s["steps"] > 0))
-    chained = ticks.withColumn("after", F.lead(F.struct("page_id")).over(in_minute)).select(
-        "page_id", F.inline(steps)
+    placed = ordered.drop("number").withColumn("segment", F.spark_partition_id())
+    return materialize(placed, "page-segments")
+
+
+def segment_steps(segments: DataFrame) -> DataFrame:
+    """The steps of ``segmented`` actions: a scan of segments, each with the last row before it.
+
+    Within a segment a step leads from a row to the next one of the session. The last page
+    of a session in one segment leads to the first in the next segment that has the session;
+    what is ordered over all of a session is one row for each segment.
+    """
+    own = Window.partitionBy("session_id", "segment").orderBy("action_ts", "page_id")
+    after = F.lead(F.struct("page_id")).over(own)
+    # The last row is told by having no row after it, not by a NULL page.
+    inside = (
+        segments.select("page_id", after.alias("after"))
+        .filter("after IS NOT NULL")
+        .select("page_id", F.col("after.page_id").alias("next_page_id"))
+        .groupBy("page_id", "next_page_id")
+        .agg(F.count(F.lit(1)).alias("steps"))
     )
     order = F.struct("action_ts", "page_id")
-    edges = ticks.groupBy("session_id", "minute").agg(
+    edges = segments.groupBy("session_id", "segment").agg(
         F.min_by("page_id", order).alias("first_page"), F.max_by("page_id", order).alias("page_id")
     )
-    over_minutes = Window.partitionBy("session_id").orderBy("minute")
-    bridges = edges.select(
+    over_segments = Window.partitionBy("session_id").orderBy("segment")
+    carried = edges.select(
         "page_id",
-        F.lead("first_page").over(over_minutes).alias("next_page_id"),
+        F.lead("first_page").over(over_segments).alias("next_page_id"),
         F.lit(1).cast("long").alias("steps"),
     )
-    return chained.unionByName(bridges)
+    return inside.unionByName(carried)
 
 
 def _matches(pair: tuple[int, int]) -> Column:

@@ -10,6 +10,7 @@ from clickloom.plans.queries import (
     FEW,
     FLOW,
     INTERESTS,
+    NOON,
     PART_STARTS,
     PEOPLE,
     TASK,
@@ -336,6 +337,23 @@ _SELECTS = {
           date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, ad_id,
           count(*) AS click_count
         FROM clicks, range(6) AS t(i) GROUP BY ALL""",
+    # The expanded form, a row for each window, then put together where counts are equal.
+    "ad_click_trend_runs": """
+        SELECT strftime(min(e), '%Y-%m-%d %H:%M:%S') AS first_end,
+          strftime(max(e), '%Y-%m-%d %H:%M:%S') AS last_end,
+          strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute,
+          ad_id, n AS click_count
+        FROM (SELECT *, epoch(e) // 10 - row_number() OVER (PARTITION BY m, ad_id, n ORDER BY e) AS run
+              FROM (SELECT date_trunc('minute', ts) AS m, ad_id,
+                      time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds' * (i + 1) AS e,
+                      count(*) AS n
+                    FROM clicks, range(360) AS t(i) GROUP BY ALL))
+        GROUP BY m, ad_id, n, run""",
+    "ad_click_trend_at_noon": f"""
+        SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,
+          strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count
+        FROM clicks WHERE ts >= TIMESTAMP '{NOON}' - INTERVAL '1 hour' AND ts < TIMESTAMP '{NOON}'
+        GROUP BY ALL""",
     "stream_running_stat": "SELECT * FROM kept_totals",
     "stream_user_clicks": """
         SELECT date, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY ALL""",
@@ -408,6 +426,7 @@ _SELECTS = {
 _SELECTS["area_top3_products_sql"] = _SELECTS["area_top3_products"]
 _SELECTS["page_step_counts_split"] = _SELECTS["page_step_counts"]
 _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
+_SELECTS["stream_click_trend_runs"] = _SELECTS["ad_click_trend_runs"]
 _SELECTS["stream_click_trend_sliding"] = _SELECTS["ad_click_trend_sliding"]
 
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}

@@ -25,6 +25,7 @@ from clickloom.streaming.ad_clicks import (
     sliding_trend,
     start_ad_stats,
     start_click_trend,
+    trend_runs,
 )
 from clickloom.streaming.sources import file_lines
 
@@ -49,6 +50,7 @@ TASK_ID = "task-1"
 FEW = 12
 # The stand-in clicks never reach 100 per user, ad and day.
 THRESHOLD = 3
+NOON = "2024-01-15 12:00:00"
 # Days on which the parts of the ad log start to arrive.
 PART_STARTS = ("", "2024-01-11", "2024-01-21")
 
@@ -286,7 +288,8 @@ def ad_blacklist_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ad_clicks_without_blacklisted(spark: SparkSession, sf: str) -> DataFrame:
-    kept = ads.without_users(_clicks(spark, sf), ad_blacklist_users(spark, sf))
+    banned = ads.user_bitmap(ad_blacklist_users(spark, sf))
+    kept = ads.without_bitmap(_clicks(spark, sf), banned)
     return kept.withColumn("ts", F.unix_millis("ts"))
 
 
@@ -314,6 +317,23 @@ def ad_click_trend_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return shown.withColumn("window_end", dt.format_time(F.col("window_end")))
 
 
+def _with_texts(runs: DataFrame) -> DataFrame:
+    return runs.withColumns(
+        {name: dt.format_time(F.col(name)) for name in ("first_end", "last_end")}
+    )
+
+
+def ad_click_trend_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend in windows of 60 minutes every 10 seconds."""
+    return _with_texts(ads.window_runs(ads.slot_counts(_clicks(spark, sf))))
+
+
+def ad_click_trend_at_noon(spark: SparkSession, sf: str) -> DataFrame:
+    """What the window that ends at noon of a day shows, of the same trend."""
+    runs = ads.window_runs(ads.slot_counts(_clicks(spark, sf)))
+    return ads.shown_in_window(runs, F.lit(NOON).cast("timestamp"))
+
+
 # Ad clicks as a stream
 
 def _run_stream(spark: SparkSession, sf: str, start) -> AdStore:
@@ -366,6 +386,10 @@ def stream_click_trend_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return shown.withColumn("window_end", dt.format_time(F.col("window_end")))
 
 
+def stream_click_trend_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_texts(trend_runs(spark, _run_stream(spark, sf, start_click_trend)))
+
+
 # Functions
 
 def datetime_scalars(spark: SparkSession, sf: str) -> DataFrame:
@@ -555,12 +579,15 @@ QUERIES: dict[str, Query] = {
         ad_province_top3,
         ad_click_trend,
         ad_click_trend_sliding,
+        ad_click_trend_runs,
+        ad_click_trend_at_noon,
         stream_running_stat,
         stream_user_clicks,
         stream_blacklist,
         stream_province_top3,
         stream_click_trend,
         stream_click_trend_sliding,
+        stream_click_trend_runs,
         datetime_scalars,
         string_scalars,
         text_concat_distinct,

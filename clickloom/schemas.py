@@ -115,6 +115,14 @@ AD_BLACKLIST = _schema(("user_id", _LONG))
 AD_USER_CLICK_COUNT = _schema(
     ("date", _STR), ("user_id", _LONG), ("ad_id", _LONG), ("click_count", _LONG)
 )
+AD_BATCH = _schema(
+    ("date", _STR),
+    ("user_id", _LONG),
+    ("province", _STR),
+    ("city", _STR),
+    ("ad_id", _LONG),
+    ("click_count", _LONG),
+)
 AD_STAT = _schema(
     ("date", _STR),
     ("province", _STR),

@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# So many dates are listed as constants.
+# So many values of a column are listed as constants, which prune folders and pages.
 MAX_LISTED = 1_000
+# Partitions for batches; a batch's slot is taken again after this many.
+SLOTS = 256
+# The slot of the rows that ``fold`` put together.
+FOLDED = -1
+# Rows a reader must take up to find one key of a folded partition.
+PAGE_ROWS = 1_000
 MODES = ("insert", "sum", "latest", "replace_group")
 
 
 class BatchLog:
-    """A table written as one parquet folder per micro-batch and merged when read.
+    """A parquet table that micro-batches add to, merged by one aggregate when it is read.
 
-    A batch writes its own rows only, whatever the table has grown to, and a replayed batch
-    overwrites its own folder, so nothing is counted twice. ``compact`` folds the folders
-    up to a batch into a snapshot; with a ``segment`` column (the date) only the segments
-    those batches touched are written again. The modes:
+    It is partitioned by batch slot (the batch number modulo SLOTS) and, above it, by a
+    ``segment`` column (the date). A batch replaces the partitions of its slot by dynamic
+    partition overwrite: it writes its own rows only, whatever the table has grown to, and a
+    replayed batch is stored once. ``fold`` puts the batches of each date that changed
+    into one partition, sorted by ``lookup``, in the same way. Its rows carry the last batch
+    they hold, and older ones in the slots no longer count, so nothing is ever deleted, and
+    a fold that was cut off leaves each date as it was or folded. The modes:
 
     * ``insert``: a key is stored once;
     * ``sum``: values of a key add up;
@@ -35,23 +45,32 @@ class BatchLog:
         mode: str,
         value: str | None = None,
         segment: str | None = None,
+        lookup: str | None = None,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}")
-        if segment is not None and segment not in keys:
-            raise ValueError("the segment must be one of the keys")
+        for name in (segment, lookup):
+            if name is not None and name not in keys:
+                raise ValueError("the segment and the lookup column must be keys")
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.mode = mode
         self.value = value
-        self.segment = segment
+        self.lookup = lookup
+        self.segments = [segment] if segment else []
         self.columns = list(schema.names)
-        self._stored = T.StructType(list(schema.fields)).add("batch_id", T.LongType())
+        stored = T.StructType(list(schema.fields))
+        self._stored = stored.add("batch_id", T.LongType()).add("batch_slot", T.IntegerType())
+        self._order = [*self.segments, "batch_slot", *([lookup] if lookup else [])]
+        # The last batch this process has folded.
+        self.folded_upto: int | None = None
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Store the rows of one batch, in place of an earlier attempt at it."""
-        rows.select(*self.columns).write.mode("overwrite").parquet(
-            f"{self.path}/log/batch_id={batch_id}"
+        self._overwrite(
+            rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn(
+                "batch_slot", F.lit(batch_id % SLOTS)
+            )
         )
 
     def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
@@ -60,56 +79,55 @@ class BatchLog:
 
     def written(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The rows one batch stored."""
-        return self._log(spark, [batch_id]).select(*self.columns)
+        own = (F.col("batch_slot") == batch_id % SLOTS) & (F.col("batch_id") == batch_id)
+        return self._all(spark).filter(own).select(*self.columns)
 
     def changed(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The table's rows, as of a batch, for the keys that batch stored."""
-        keys = self.written(spark, batch_id).select(*self.keys).distinct()
-        return self.within(self.read(spark, batch_id), keys).join(keys, self.keys, "left_semi")
+        return self.matching(spark, batch_id, self.written(spark, batch_id), self.keys)
 
-    def within(self, rows: DataFrame, reference: DataFrame) -> DataFrame:
-        """``rows`` of the segments found in ``reference``.
+    def matching(
+        self, spark: SparkSession, upto: int, reference: DataFrame, columns: Sequence[str]
+    ) -> DataFrame:
+        """The table's rows, as of a batch, whose ``columns`` (keys) occur in ``reference``.
 
-        Up to MAX_LISTED segments come to the driver; as constants they prune the folders and
-        files to read. More of them are a join, which prunes the folders while it runs.
+        Up to MAX_LISTED dates and lookup values come to the driver as constants: dates prune
+        the folders to read, lookup values the pages of folded partitions. The join is exact
+        in any case.
+        """
+        wanted = reference.select(*columns).distinct()
+        rows = self.read(spark, upto)
+        for name in [*self.segments, self.lookup]:
+            if name in columns:
+                rows = _listed(rows, wanted, name)
+        return rows.join(wanted, list(columns), "left_semi").select(*self.columns)
+
+    def fold(self, spark: SparkSession, upto: int) -> None:
+        """Put the rows as of batch ``upto`` of each date that changed since into one partition.
+
+        To be called before the next batch, at least every SLOTS // 2 of them; the table can
+        then no longer be read as of batches before ``upto``. A fold that was cut off may be
+        called again.
         """
-        if self.segment is None:
-            return rows
-        segments = reference.select(self.segment).distinct()
-        listed = [row[0] for row in segments.limit(MAX_LISTED + 1).collect()]
-        if len(listed) <= MAX_LISTED:
-            return rows.filter(F.col(self.segment).isin(*listed))
-        return rows.join(segments, self.segment, "left_semi")
-
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write the state as of batch ``upto`` as a snapshot that later reads start from."""
         rows = self._rows(spark, upto)
-        target = f"{self.path}/snapshot/upto={upto}"
-        if self.segment is None:
-            self._merge(rows).write.mode("overwrite").parquet(target)
-            return
-        _, log = self._parts(spark, upto)
-        if not log:
-            return
-        touched = self._log(spark, log).select(self.segment).distinct()
-        merged = self._merge(
-            self.within(rows, touched).join(touched, self.segment, "left_semi")
-        )
-        by_segment = merged.hint("rebalance", self.segment)
-        by_segment.write.mode("overwrite").partitionBy(self.segment).parquet(target)
-
-    def vacuum(self, spark: SparkSession, keep_from: int) -> None:
-        """Delete what reads as of batch ``keep_from`` or later no longer need."""
-        bases = [n for n in self._complete(spark, "snapshot") if n <= keep_from]
-        if not bases:
-            return
-        needed, _ = self._parts(spark, bases[-1])
-        doomed = [f"log/batch_id={n}" for n in self._complete(spark, "log") if n <= bases[-1]]
-        for n in bases:
-            doomed += [p for p in self._snapshot_folders(spark, n).values() if p not in needed]
-        fs, jvm = self._fs(spark)
-        for folder in doomed:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
+        fresh = rows.filter(F.col("batch_slot") != FOLDED)
+        if not fresh.isEmpty():
+            for name in self.segments:
+                rows = _listed(rows, fresh, name)
+                rows = rows.join(fresh.select(name).distinct(), name, "left_semi")
+            merged = (
+                self._merge(rows)
+                .withColumn("batch_id", F.lit(upto).cast("long"))
+                .withColumn("batch_slot", F.lit(FOLDED))
+            )
+            self._overwrite(merged.repartitionByRange(*self._order))
+        self.folded_upto = upto
+
+    def _overwrite(self, rows: DataFrame) -> None:
+        rows = rows.select(*self._stored.names).sortWithinPartitions(*self._order)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("parquet.page.row.count.limit", PAGE_ROWS)
+        writer.partitionBy(*self.segments, "batch_slot").parquet(self.path)
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         grouped = rows.groupBy(*self.keys)
@@ -123,53 +141,36 @@ class BatchLog:
             return grouped.agg(newest, last)
         return rows.join(grouped.agg(last), [*self.keys, "batch_id"], "left_semi")
 
-    def _rows(self, spark: SparkSession, upto: int | None) -> DataFrame:
-        snapshots, log = self._parts(spark, upto)
-        names = self._stored.names
-        rows = []
-        if snapshots:
-            reader = spark.read.schema(self._stored).option("basePath", f"{self.path}/snapshot")
-            rows.append(reader.parquet(*[f"{self.path}/{p}" for p in snapshots]).select(*names))
-        if log:
-            rows.append(self._log(spark, log))
-        if not rows:
+    def _all(self, spark: SparkSession) -> DataFrame:
+        try:
+            return spark.read.schema(self._stored).parquet(self.path)
+        except AnalysisException as error:  # nothing is stored yet
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return spark.createDataFrame([], self._stored)
-        return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
-
-    def _log(self, spark: SparkSession, numbers: list[int]) -> DataFrame:
-        reader = spark.read.schema(self._stored).option("basePath", f"{self.path}/log")
-        return reader.parquet(*[f"{self.path}/log/batch_id={n}" for n in numbers])
-
-    def _parts(self, spark: SparkSession, upto: int | None) -> tuple[list[str], list[int]]:
-        """Snapshot folders and later batches that make up the table as of ``upto``."""
-        snapshots = [n for n in self._complete(spark, "snapshot") if upto is None or n <= upto]
-        newest: dict[str, str] = {}
-        for number in snapshots:
-            newest.update(self._snapshot_folders(spark, number))
-        base = snapshots[-1] if snapshots else -1
-        log = self._complete(spark, "log")
-        return sorted(newest.values()), [
-            n for n in log if n > base and (upto is None or n <= upto)
-        ]
-
-    def _snapshot_folders(self, spark: SparkSession, number: int) -> dict[str, str]:
-        """Folder of each segment a snapshot holds."""
-        folder = f"snapshot/upto={number}"
-        if self.segment is None:
-            return {"": folder}
-        fs, jvm = self._fs(spark)
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{self.segment}=*")
-        names = [status.getPath().getName() for status in fs.globStatus(pattern) or []]
-        return {name: f"{folder}/{name}" for name in names}
-
-    def _complete(self, spark: SparkSession, kind: str) -> list[int]:
-        """Numbers of the completely written folders, ascending."""
-        fs, jvm = self._fs(spark)
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/*/_SUCCESS"))
-        names = [status.getPath().getParent().getName() for status in found or []]
-        return sorted(int(name.split("=")[1]) for name in names)
-
-    def _fs(self, spark: SparkSession):
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+    def _rows(self, spark: SparkSession, upto: int | None) -> DataFrame:
+        """The stored rows that make up the table as of a batch."""
+        rows = self._all(spark)
+        is_folded = F.col("batch_slot") == FOLDED
+        if upto is not None:
+            rows = rows.filter(F.col("batch_id") <= upto)
+            if self.folded_upto is not None:
+                # Within the job that folds: only the slots taken since have to be looked at.
+                slots = {n % SLOTS for n in range(self.folded_upto + 1, upto + 1)}
+                rows = rows.filter(F.col("batch_slot").isin(FOLDED, *slots))
+                return rows.filter(is_folded | (F.col("batch_id") > self.folded_upto))
+        folded = rows.filter(is_folded)
+        last = F.max("batch_id").alias("folded_upto")
+        if self.segments:
+            rows = rows.join(folded.groupBy(*self.segments).agg(last), self.segments, "left")
+        else:
+            rows = rows.withColumn("folded_upto", folded.agg(last).scalar())
+        newer = F.col("batch_id") > F.coalesce("folded_upto", F.lit(-1))
+        return rows.filter(is_folded | newer).select(*self._stored.names)
+
+
+def _listed(rows: DataFrame, reference: DataFrame, name: str) -> DataFrame:
+    """``rows`` cut to the values of a column in ``reference``, if they are few."""
+    found = reference.select(name).distinct().limit(MAX_LISTED + 1).collect()
+    return rows.filter(F.col(name).isin(*[r[0] for r in found])) if len(found) <= MAX_LISTED else rows

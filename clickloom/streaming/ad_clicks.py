@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom import schemas
 from clickloom.operators import ads
-from clickloom.sinks.batch_log import BatchLog
+from clickloom.sinks.batch_log import SLOTS, BatchLog
 
 # Called after a batch is stored in a table: table name, the rows it changed, batch id.
 Publisher = Callable[[str, DataFrame, int], None]
@@ -23,16 +22,28 @@ class AdSettings:
     threshold: int = ads.BLACKLIST_THRESHOLD
     top: int = 3
     trigger: str = "5 seconds"
-    # Fold the stored batches into a snapshot after this many.
+    # Fold the stored batches after this many.
     compact_every: int = 100
+    # Deal the lines of a batch over so many partitions; None leaves them as the source has them.
+    source_partitions: int | None = None
+
+    def __post_init__(self):
+        if not 1 <= self.compact_every <= SLOTS // 2:
+            raise ValueError(f"compact_every must be from 1 to {SLOTS // 2}")
 
 
 class AdStore:
-    """The stored result tables below one folder, and the 10-second slots of the trend."""
+    """The stored result tables below one folder, and the 10-second slots of the trend.
+
+    ``batches`` holds the combined clicks of the last batches, for the tables made of them.
+    """
 
     def __init__(self, path: str):
+        self.batches = BatchLog(
+            f"{path}/ad_batch", schemas.AD_BATCH, schemas.AD_BATCH.names[:-1], "sum", "click_count"
+        )
         self.blacklist = BatchLog(
-            f"{path}/ad_blacklist", schemas.AD_BLACKLIST, ["user_id"], "insert"
+            f"{path}/ad_blacklist", schemas.AD_BLACKLIST, ["user_id"], "insert", lookup="user_id"
         )
         self.user_clicks = BatchLog(
             f"{path}/ad_user_click_count",
@@ -41,6 +52,7 @@ class AdStore:
             "sum",
             "click_count",
             segment="date",
+            lookup="user_id",
         )
         self.totals = BatchLog(
             f"{path}/ad_stat",
@@ -49,6 +61,7 @@ class AdStore:
             "sum",
             "click_count",
             segment="date",
+            lookup="ad_id",
         )
         self.province_top = BatchLog(
             f"{path}/ad_province_top3",
@@ -56,6 +69,7 @@ class AdStore:
             ["date", "province"],
             "replace_group",
             segment="date",
+            lookup="province",
         )
         self.slots = BatchLog(
             f"{path}/ad_click_slot",
@@ -75,6 +89,13 @@ class AdStore:
         )
 
 
+def trend_runs(
+    spark: SparkSession, store: AdStore, length: int = 3600, slide: int = 10
+) -> DataFrame:
+    """The stored trend as runs of windows; see ``ads.window_runs``. Made when it is read."""
+    return ads.window_runs(store.slots.read(spark), length, slide)
+
+
 def sliding_trend(
     spark: SparkSession, store: AdStore, length: str = "60 minutes", slide: str = "10 seconds"
 ) -> DataFrame:
@@ -93,11 +114,10 @@ def _save(
 def _fold(
     logs: Sequence[BatchLog], spark: SparkSession, batch_id: int, settings: AdSettings
 ) -> None:
-    """Compact now and then. A replay of this batch still finds the state before it."""
-    if (batch_id + 1) % settings.compact_every == 0:
-        for log in logs:
-            log.compact(spark, batch_id)
-            log.vacuum(spark, batch_id - 1)
+    """Fold what was stored before this batch: in the first batch of a run and now and then."""
+    for log in logs:
+        if log.folded_upto is None or batch_id % settings.compact_every == 0:
+            log.fold(spark, batch_id - 1)
 
 
 def apply_batch(
@@ -109,35 +129,35 @@ def apply_batch(
 ) -> None:
     """Add the clicks of one micro-batch to the stored tables.
 
-    The clicks are combined once; all tables are made of these counts. Users already
+    The clicks are combined once and stored; all tables are made of these counts. Users already
     blacklisted before this batch are left out; users who reach the threshold in it are
     blacklisted from the next one on. Every table adds up over batches, so a click counts
     however late it comes, and no state is kept beside the tables. Everything read is as of
     the batch before or as of this batch, so a replay writes the same rows again.
+
+    Counts only grow, so the new top ads of a province are among the old ones and the ads
+    of this batch. Of the totals, only the rows of those ads are looked up.
     """
     spark = clicks.sparkSession
+    logs = (store.blacklist, store.user_clicks, store.totals, store.province_top)
+    _fold(logs, spark, batch_id, settings)
     banned = store.blacklist.read(spark, batch_id - 1)
-    counts = ads.counts_without_users(ads.click_counts(clicks), banned)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        by_user = counts.groupBy("date", "user_id", "ad_id").agg(
-            F.sum("click_count").alias("click_count")
-        )
-        _save("ad_user_click_count", store.user_clicks, by_user, batch_id, publish)
-        grown = store.user_clicks.changed(spark, batch_id)
-        crossed = ads.blacklisted_users(grown, settings.threshold)
-        _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
-        _save("ad_stat", store.totals, ads.sum_totals(counts), batch_id, publish)
-        touched = store.totals.written(spark, batch_id).select("date", "province").distinct()
-        known = store.totals.within(store.totals.read(spark, batch_id), touched)
-        top = ads.top_ads_by_province(
-            known.join(touched, ["date", "province"], "left_semi"), settings.top
-        )
-        _save("ad_province_top3", store.province_top, top, batch_id, publish)
-        logs = (store.blacklist, store.user_clicks, store.totals, store.province_top)
-        _fold(logs, spark, batch_id, settings)
-    finally:
-        counts.unpersist()
+    kept = ads.without_listed(ads.click_counts(clicks), banned)
+    store.batches.write(kept, batch_id)
+    counts = store.batches.written(spark, batch_id)
+    by_user = counts.groupBy("date", "user_id", "ad_id").agg(
+        F.sum("click_count").alias("click_count")
+    )
+    _save("ad_user_click_count", store.user_clicks, by_user, batch_id, publish)
+    grown = store.user_clicks.changed(spark, batch_id)
+    crossed = ads.blacklisted_users(grown, settings.threshold)
+    _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
+    _save("ad_stat", store.totals, ads.sum_totals(counts), batch_id, publish)
+    written = store.totals.written(spark, batch_id)
+    grown = store.totals.matching(spark, batch_id, written, ["date", "province", "ad_id"])
+    before = store.province_top.matching(spark, batch_id - 1, written, ["date", "province"])
+    top = ads.merged_top_ads(before, grown, settings.top)
+    _save("ad_province_top3", store.province_top, top, batch_id, publish)
 
 
 def start_ad_stats(
@@ -154,7 +174,7 @@ def start_ad_stats(
     ``available_now`` works through what has arrived and stops.
     """
     writer = (
-        ads.parse_clicks(lines, observed_as="ad_lines")
+        ads.parse_clicks(_dealt(lines, settings), observed_as="ad_lines")
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, n: apply_batch(batch, n, store, settings, publish))
     )
@@ -171,22 +191,31 @@ def start_click_trend(
 ) -> StreamingQuery:
     """Start the per-minute trend. It reads every click, also of blacklisted users.
 
-    The minutes of a batch are added to the stored ones, so late clicks count as well.
+    The minutes of a batch are added to the stored ones, so late clicks count as well. A
+    batch is read once, for its slots; its minutes are sums of the slots it stored.
     """
 
     def save(clicks: DataFrame, batch_id: int) -> None:
-        _save("ad_click_trend", store.trend, ads.click_trend(clicks), batch_id, publish)
+        spark = clicks.sparkSession
+        _fold([store.trend, store.slots], spark, batch_id, settings)
         _save("ad_click_slot", store.slots, ads.slot_counts(clicks), batch_id, None)
-        _fold([store.trend, store.slots], clicks.sparkSession, batch_id, settings)
+        minutes = ads.minute_counts(store.slots.written(spark, batch_id))
+        _save("ad_click_trend", store.trend, minutes, batch_id, publish)
 
     writer = (
-        ads.parse_clicks(lines)
+        ads.parse_clicks(_dealt(lines, settings))
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(save)
     )
     return _trigger(writer, settings, available_now).start()
 
 
+def _dealt(lines: DataFrame, settings: AdSettings) -> DataFrame:
+    if settings.source_partitions is None:
+        return lines
+    return lines.repartition(settings.source_partitions)
+
+
 def _trigger(writer, settings: AdSettings, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)

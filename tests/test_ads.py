@@ -5,9 +5,14 @@ from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickloom.operators import ads
 
+IDS = st.integers(-(2**63), 2**63 - 1)
+
 
 def stamp(text):
     moment = datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=timezone.utc)
@@ -93,3 +98,62 @@ def test_totals_without_users_on_either_path(spark, clicks, broadcast_limit):
         ("2017-11-10", "0", "0", 7, 15),
         ("2017-11-10", "0", "1", 7, 15),
     }
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    users=st.lists(st.one_of(IDS, st.integers(-40_000, 70_000)), max_size=30),
+    others=st.lists(st.one_of(st.none(), IDS, st.integers(-40_000, 70_000)), max_size=30),
+)
+def test_bitmap_leaves_out_exactly_the_listed(spark, users, others):
+    neighbours = [u + d for u in users for d in (-32_768, -1, 0, 1, 8, 32_768) if abs(u + d) < 2**63]
+    rows = spark.createDataFrame([(u,) for u in users + others + neighbours], "user_id long")
+    bitmap = ads.user_bitmap(spark.createDataFrame([(u,) for u in users], "user_id long"))
+    kept = Counter(r.user_id for r in ads.without_bitmap(rows, bitmap).collect())
+    want = Counter(u for u in users + others + neighbours if u not in set(users))
+    assert kept == want
+    listed = spark.createDataFrame([(u,) for u in set(users)], "user_id long")
+    assert Counter(r.user_id for r in ads.without_listed(rows, listed).collect()) == want
+
+
+def test_bitmap_of_dense_ids_is_small(spark):
+    users = spark.range(1, 300_000).withColumnRenamed("id", "user_id")
+    size = ads.user_bitmap(users).selectExpr("count(*)", "sum(octet_length(bitmap))").first()
+    assert tuple(size) == (10, 40_960)
+    rows = spark.createDataFrame([(5,), (300_000,)], "user_id long")
+    plan = ads.without_listed(rows, users)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    sparse = users.selectExpr("user_id * 1000003 AS user_id")
+    plan = ads.without_listed(rows, sparse)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap" not in plan
+
+
+@pytest.mark.parametrize("length, slide", [(120, 10), (60, 20), (60, 60)])
+def test_window_runs_equal_the_copies(spark, clicks, length, slide):
+    rng = random.Random(length + slide)
+    start = datetime(2017, 11, 10, 23, 58, 0)
+    moments = [(start + timedelta(seconds=rng.randrange(200)), rng.randrange(2)) for _ in range(60)]
+    frame = clicks(*[f"{stamp(str(moment))} 0 0 1 {ad}" for moment, ad in moments])
+    runs = ads.window_runs(ads.slot_counts(frame), length, slide)
+    found, last = {}, {}
+    for r in sorted(runs.collect(), key=lambda r: r.first_end):
+        minute = (r.date, r.hour, r.minute, r.ad_id)
+        # Runs do not overlap, and where two meet the count changes.
+        if minute in last:
+            assert r.first_end > last[minute].last_end
+            if r.first_end - last[minute].last_end == timedelta(seconds=slide):
+                assert r.click_count != last[minute].click_count
+        last[minute] = r
+        end = r.first_end
+        while end <= r.last_end:
+            found[(end, *minute)] = r.click_count
+            end += timedelta(seconds=slide)
+    copies = ads.sliding_click_trend(frame, f"{length} seconds", f"{slide} seconds")
+    assert found == {tuple(r)[:-1]: r.click_count for r in copies.collect()}
+    shown = ads.shown_in_window(runs, F.lit("2017-11-11 00:00:00").cast("timestamp")).collect()
+    assert len(shown) == sum(str(end) == "2017-11-11 00:00:00" for end, *_ in found)
+
+
+def test_window_runs_need_whole_slides(spark, clicks):
+    with pytest.raises(ValueError):
+        ads.window_runs(ads.slot_counts(clicks()), 60, 25)

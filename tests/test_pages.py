@@ -80,13 +80,55 @@ def test_null_pages_times_and_sessions(spark, seed, heavy_rows):
     assert got == want
 
 
-def test_no_task_holds_the_actions_without_session(spark):
+def test_actions_without_session_meet_no_window(spark):
     frame = spark.range(1000).selectExpr(
         "CAST(NULL AS STRING) AS session_id", "timestamp_seconds(id) AS action_ts", "id AS page_id"
     )
-    steps = pages.page_steps(frame)
-    # They are passed on in the scan, before any exchange.
+    steps = pages.page_steps(frame.repartition(4))
     assert steps.filter("next_page_id IS NULL").count() == 1000
+    plan = steps.filter("next_page_id IS NULL")._jdf.queryExecution().optimizedPlan().toString()
+    # Their branch of the union is a filter and a projection of the input.
+    alone = plan.split("isnull(session_id")[0].rsplit("+- ", 2)[-2:]
+    assert not any(node in "".join(alone) for node in ("Window", "Sort", "Aggregate"))
+
+
+def _uncoalesced(conf, function):
+    def run(log):
+        name = "spark.sql.adaptive.coalescePartitions.enabled"
+        conf.set(name, "false")
+        try:
+            return function(log)
+        finally:
+            conf.set(name, "true")
+
+    return run
+
+
+@pytest.mark.parametrize("pages_seen", [4_000, 1])
+def test_a_session_within_one_second_is_spread(spark, pages_seen, monkeypatch):
+    """A third of the log is one session whose actions share a time, and maybe the page."""
+    # Ranges as small as these would be read together.
+    monkeypatch.setattr(pages, "segmented", _uncoalesced(spark.conf, pages.segmented))
+    hot = spark.range(20_000).selectExpr(
+        "'hot' AS session_id", "timestamp_seconds(5) AS action_ts", f"id % {pages_seen} AS page_id"
+    )
+    rest = spark.range(40_000).selectExpr(
+        "concat('s', id % 5000) AS session_id", "timestamp_seconds(id) AS action_ts", "id % 7 AS page_id"
+    )
+    log = hot.unionByName(rest)
+    with_counts = pages.segmented(log.filter("session_id = 'hot'")).groupBy("segment").count()
+    sizes = [row["count"] for row in with_counts.collect()]
+    assert len(sizes) > 1 and max(sizes) < 20_000 * 0.6
+    got = Counter()
+    for row in pages.page_steps(log, heavy_rows=10_000).collect():
+        got[row.page_id, row.next_page_id] += row.steps
+    want = Counter()
+    walks = [[i % pages_seen for i in range(20_000)]]
+    walks[0].sort()
+    walks += [[i % 7 for i in range(s, 40_000, 5000)] for s in range(5000)]
+    for walk in walks:
+        want.update(zip(walk, walk[1:] + [None]))
+    assert got == want
 
 
 def test_heavy_keys_are_those_over_both_bounds(spark, monkeypatch):

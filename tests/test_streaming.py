@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 import random
 from collections import Counter, defaultdict
 
@@ -8,10 +9,11 @@ import pytest
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.session import scratch_path
-from clickloom.sinks.batch_log import BatchLog
+from clickloom.sinks.batch_log import SLOTS, BatchLog
 from clickloom.streaming.ad_clicks import (
     AdSettings,
     AdStore,
+    _dealt,
     apply_batch,
     start_ad_stats,
     start_click_trend,
@@ -197,13 +199,6 @@ def test_late_clicks_of_a_user_count_and_blacklist(spark):
     assert _table(feed.store.blacklist, spark) == {(5,)}
 
 
-def test_source_is_read_once(spark):
-    feed = Feed(spark, start_ad_stats)
-    feed.arrive([_line(10, 1, 1, user, 5) for user in range(10)])
-    assert feed.run().recentProgress[0]["numInputRows"] == 10
-    assert _table(feed.store.totals, spark) == {("2017-11-10", "1", "1", 5, 10)}
-
-
 def test_streaming_totals_in_complete_mode(spark):
     folder = scratch_path(spark, "complete")
     spark.createDataFrame([(_line(10, 1, 1, 5, 5),)] * 3, "value string").write.text(folder)
@@ -225,53 +220,178 @@ def totals_log(spark):
     )
 
 
-def test_compaction_and_vacuum_keep_the_table(spark, totals_log):
+def _partitions(log):
+    return {
+        name[len(log.path) + 1 :].rsplit("/", 1)[0]
+        for name in glob.glob(f"{log.path}/**/*.parquet", recursive=True)
+    }
+
+
+def test_folding_keeps_the_table(spark, totals_log):
     want = Counter()
     for batch_id in range(8):
         data = [(f"2017-11-{10 + batch_id // 3}", user, 1, 1 + batch_id) for user in range(3)]
         for row in data:
             want[row[:3]] += row[3]
-        totals_log.write(spark.createDataFrame(data, schemas.AD_USER_CLICK_COUNT), batch_id)
         if batch_id % 2:
-            totals_log.compact(spark, batch_id)
-            totals_log.vacuum(spark, batch_id - 1)
+            totals_log.fold(spark, batch_id - 1)
+        totals_log.write(spark.createDataFrame(data, schemas.AD_USER_CLICK_COUNT), batch_id)
         assert _table(totals_log, spark) == {(*key, n) for key, n in want.items()}
-    folders = {kind: totals_log._complete(spark, kind) for kind in ("log", "snapshot")}
-    assert folders["log"] == [6, 7]
-    # Each date is kept in the last snapshot that touched it; the others are gone.
-    held = {n: set(totals_log._snapshot_folders(spark, n)) for n in folders["snapshot"]}
-    assert held[1] == set() and held[3] == {"date=2017-11-10"}
-    assert held[7] == {"date=2017-11-12"}
+        # As another process reads it, and as the next batch does.
+        other = BatchLog(
+            totals_log.path, schemas.AD_USER_CLICK_COUNT, totals_log.keys, "sum", "click_count", "date"
+        )
+        assert _table(other, spark) == _table(totals_log, spark)
+        assert {tuple(r) for r in totals_log.read(spark, batch_id).collect()} == _table(other, spark)
+    folded = {p for p in _partitions(totals_log) if p.endswith("=-1")}
+    assert folded == {f"date=2017-11-{d}/batch_slot=-1" for d in (10, 11, 12)}
+
+
+def test_only_dates_that_changed_are_folded_again(spark, totals_log):
+    def write(date, batch_id):
+        row = spark.createDataFrame([(date, 1, 1, 5)], schemas.AD_USER_CLICK_COUNT)
+        totals_log.write(row, batch_id)
+
+    write("2017-11-10", 0)
+    totals_log.fold(spark, 0)
+    old = glob.glob(f"{totals_log.path}/date=2017-11-10/batch_slot=-1/*.parquet")
+    write("2017-11-11", 1)
+    totals_log.fold(spark, 1)
+    totals_log.fold(spark, 2)
+    assert glob.glob(f"{totals_log.path}/date=2017-11-10/batch_slot=-1/*.parquet") == old
+    assert _table(totals_log, spark) == {("2017-11-10", 1, 1, 5), ("2017-11-11", 1, 1, 5)}
+
+
+def test_a_fold_that_was_cut_off_is_harmless(spark, totals_log):
+    """Of two dates, one was folded when the job died; the batch after it is replayed."""
+    days = [("2017-11-10", 1, 1, 5), ("2017-11-11", 1, 1, 6)]
+    for batch_id in range(3):
+        totals_log.write(spark.createDataFrame(days, schemas.AD_USER_CLICK_COUNT), batch_id)
+    late = BatchLog(
+        totals_log.path, schemas.AD_USER_CLICK_COUNT, totals_log.keys, "sum", "click_count", "date"
+    )
+    half = late._merge(late._rows(spark, 2).filter("date = '2017-11-10'"))
+    late._overwrite(half.selectExpr("*", "2L AS b", "-1 AS batch_slot").drop("batch_id").withColumnRenamed("b", "batch_id"))
+    want = {("2017-11-10", 1, 1, 15), ("2017-11-11", 1, 1, 18)}
+    assert _table(late, spark) == want
+    late.fold(spark, 2)
+    assert _table(late, spark) == want
+    late.write(spark.createDataFrame(days, schemas.AD_USER_CLICK_COUNT), 3)
+    assert _table(late, spark) == {("2017-11-10", 1, 1, 20), ("2017-11-11", 1, 1, 24)}
+
+
+@pytest.mark.parametrize("mode, want", [
+    ("insert", {("d", 1, 0), ("d", 2, 0), ("d", 3, 0)}),
+    ("latest", {("d", 1, 11), ("d", 2, 20), ("d", 3, 31)}),
+    ("replace_group", {("d", 1, 11), ("d", 3, 31)}),
+])
+def test_modes_after_folds_and_reused_slots(spark, mode, want, monkeypatch):
+    monkeypatch.setattr("clickloom.sinks.batch_log.SLOTS", 4)
+    keys = ["date", "k"] if mode != "replace_group" else ["date"]
+    schema = "date string, k long, v long" if mode != "insert" else "date string, k long"
+    schema = spark.createDataFrame([], schema).schema
+    log = BatchLog(scratch_path(spark, "log"), schema, keys, mode, "v", segment="date")
+    batches = {0: [("d", 1, 10), ("d", 2, 20)], 5: [("d", 1, 11), ("d", 3, 31)]}
+    for batch_id in range(11):
+        if batch_id % 2 == 0:
+            log.fold(spark, batch_id - 1)
+        rows = [row[: len(schema)] for row in batches.get(batch_id, [])]
+        for _ in range(2):  # a replay
+            log.write(spark.createDataFrame(rows, schema), batch_id)
+    got = {(*r, 0)[:3] for r in _table(log, spark)}
+    assert got == want
 
 
 def test_unfinished_batch_is_not_read(spark, totals_log):
     row = spark.createDataFrame([("2017-11-10", 1, 1, 5)], schemas.AD_USER_CLICK_COUNT)
     totals_log.write(row, 0)
-    # A writer that died leaves no success marker.
-    unmarked = row.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    unmarked.parquet(f"{totals_log.path}/log/batch_id=1")
+    # What a writer that died leaves is in a hidden folder.
+    row.write.parquet(f"{totals_log.path}/.spark-staging-x/date=2017-11-10/batch_slot=1")
     assert _table(totals_log, spark) == {("2017-11-10", 1, 1, 5)}
     totals_log.write(row, 1)
     assert _table(totals_log, spark) == {("2017-11-10", 1, 1, 10)}
 
 
-def test_a_stray_date_reads_two_date_folders(spark, totals_log):
-    days = [(f"2017-11-{d}", 1, 1, 1) for d in range(10, 30)] + [("1970-01-01", 1, 1, 1)]
-    totals_log.write(spark.createDataFrame(days, schemas.AD_USER_CLICK_COUNT), 0)
-    totals_log.compact(spark, 0)
-    totals_log.vacuum(spark, 0)
-    touched = [("1970-01-01", 1, 1, 5), ("2017-11-20", 1, 1, 5)]
-    batch = spark.createDataFrame(touched, schemas.AD_USER_CLICK_COUNT)
-    known = totals_log.within(totals_log.read(spark), batch)
-    assert {row[3] for row in known.collect()} == {1}
-    assert len(known.inputFiles()) >= 2
-    plan = known._jdf.queryExecution().executedPlan()
-    assert "1970-01-01" in plan.toString() and "2017-11-20" in plan.toString()
-    assert "PartitionFilters: [date" in plan.toString()
-    totals_log.write(batch, 1)
-    assert {tuple(r) for r in totals_log.changed(spark, 1).collect()} == {
-        ("1970-01-01", 1, 1, 6), ("2017-11-20", 1, 1, 6)
+def _records_read(spark, action):
+    """How many rows of files the jobs of ``action`` took up."""
+    scala = spark.sparkContext._jsc.sc()
+    gateway = spark.sparkContext._gateway
+
+    def total():
+        scala.listenerBus().waitUntilEmpty()
+        quantiles = gateway.new_array(gateway.jvm.double, 0)
+        stages = scala.statusStore().stageList(
+            None, False, False, quantiles, gateway.jvm.java.util.ArrayList()
+        )
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    action()
+    return total() - before
+
+
+def test_a_batch_looks_up_its_own_dates_and_ads(spark):
+    """Of 120,000 stored totals, a batch of few ads takes up some pages."""
+    store = AdStore(scratch_path(spark, "store"))
+    many = spark.range(40_000).selectExpr(
+        "explode(array('1970-01-01', '2017-11-10', '2017-11-11')) AS date",
+        "CAST(id % 2 AS STRING) AS province", "'0' AS city", "id AS ad_id", "5L AS click_count",
+    )
+    store.totals.write(many, 0)
+    store.totals.fold(spark, 0)
+    touched = [("2017-11-10", "1", "0", 7, 1), ("2017-11-10", "0", "0", 30_000, 1), ("1970-01-01", "1", "9", 7, 1)]
+    store.totals.write(spark.createDataFrame(touched, schemas.AD_STAT), 1)
+    written = store.totals.written(spark, 1)
+    found = []
+    columns = ["date", "province", "ad_id"]
+    read = _records_read(
+        spark, lambda: found.extend(store.totals.matching(spark, 1, written, columns).collect())
+    )
+    assert {tuple(r) for r in found} == {
+        ("2017-11-10", "1", "0", 7, 6), ("2017-11-10", "0", "0", 30_000, 6),
+        ("1970-01-01", "1", "0", 7, 5), ("1970-01-01", "1", "9", 7, 1),
+    }
+    # Two ads of two dates: a page of 1,000 rows each, and the batch itself a few times.
+    assert read <= 4 * 1_000 + 50
+    assert _records_read(spark, lambda: store.totals.read(spark).collect()) >= 120_000
+
+
+def test_top_ads_are_merged_not_counted_again(spark):
+    """The batch after a large one takes up the totals of its ads, not those of the day."""
+    store, settings = AdStore(scratch_path(spark, "store")), AdSettings(compact_every=1)
+    lines = [_line(10, 1, 1, ad % 50, ad) for ad in range(30_000)] + [_line(10, 1, 1, 1, 5)]
+    first = ads.parse_clicks(spark.createDataFrame([(x,) for x in lines], "value string").cache())
+    apply_batch(first, 0, store, settings)
+    few = [_line(10, 1, 1, 60, 29_999)] * 3 + [_line(10, 1, 1, 61, 5)]
+    second = ads.parse_clicks(spark.createDataFrame([(x,) for x in few], "value string"))
+    apply_batch(second, 1, store, settings)
+    once = _table(store.province_top, spark)
+    assert once == {
+        ("2017-11-10", "1", 29_999, 4), ("2017-11-10", "1", 5, 3), ("2017-11-10", "1", 0, 1)
     }
+    # Folding the first batch reads all of it. Its replay folds nothing.
+    read = _records_read(spark, lambda: apply_batch(second, 1, store, settings))
+    assert _table(store.province_top, spark) == once
+    assert read < 15_000
+
+
+@pytest.mark.parametrize("start", [start_ad_stats, start_click_trend])
+def test_each_job_reads_its_source_once(spark, start):
+    feed = Feed(spark, start, source_partitions=3)
+    feed.arrive([_line(10, 1, 1, user, 5) for user in range(10)])
+    assert feed.run().recentProgress[0]["numInputRows"] == 10
+
+
+def test_lines_are_dealt_over_partitions(spark):
+    lines = spark.range(100).selectExpr("CAST(id AS STRING) AS value").coalesce(1)
+    assert _dealt(lines, AdSettings(source_partitions=5)).rdd.getNumPartitions() == 5
+    assert _dealt(lines, AdSettings()) is lines
+
+
+def test_settings_keep_a_fold_before_a_slot_is_taken_again():
+    for batches in (0, SLOTS):
+        with pytest.raises(ValueError):
+            AdSettings(compact_every=batches)
 
 
 def test_kafka_options():
