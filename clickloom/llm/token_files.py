@@ -40,8 +40,7 @@ END_ID = 1
 #: Bytes of text that go to one file.
 FILE_BYTES = 32 << 20
 #: Strings a worker keeps the ids of.
-CACHE = 200_000
-_BLANKS = r"[\x20\x09-\x0D]+"
+CACHE = 800_000
 
 
 def byte_planes(ids: np.ndarray) -> list[bytes]:
@@ -94,7 +93,9 @@ class Encoder:
     The blanks space, tab, LF, VT, FF and CR part a text into strings that the tokenizer
     treats by themselves: its normalizer maps characters or composes them with marks, which
     a blank stops, and its words hold no blank. So every different string of a batch is
-    encoded once, which is what makes it fast; the ids are those of the whole text.
+    encoded once, which is what makes it fast; the ids are those of the whole text. Many
+    strings go into one call, with a special token between them that marks the ends of their
+    ids; strings that hold its text go by themselves.
     """
 
     def __init__(self, path: str):
@@ -102,35 +103,95 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _ids(self, strings: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [s for s in strings if s not in self.known]
-        for i in range(0, len(new), 1024):
-            part = new[i : i + 1024]
-            for s, encoding in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[s] = np.array(encoding.ids, dtype=np.uint32)
-        return [self.known[s] for s in strings]
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        self.mark = next(
+            (
+                (number, token.content)
+                for number, token in added
+                if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
+            ),
+            None,
+        )
+        # A string's number leads to the place of its ids in the pool.
+        self.known: dict[str, int] = {"": 0}
+        self.pool = np.zeros(0, dtype=np.uint32)
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def _alone(self, strings: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _run(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings, how many each has)."""
+        number, text = self.mark
+        ids = np.array(self._alone([text.join(strings)])[0], dtype=np.uint32)
+        marks = ids == number
+        ends = np.append(np.flatnonzero(marks), len(ids))
+        return ids[~marks], np.diff(ends, prepend=-1) - 1
+
+    def _codes(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of each string, pool, ends in the pool) with all strings in the pool."""
+        known = self.known.get
+        codes = np.array([known(s, -1) for s in strings], dtype=np.int64)
+        missing = np.flatnonzero(codes < 0).tolist()
+        odd = [i for i in missing if not self.mark or self.mark[1] in strings[i]]
+        if odd:
+            missing = sorted(set(missing) - set(odd))
+        new = [strings[i] for i in missing]
+        runs = [self._run(new[i : i + 4096]) for i in range(0, len(new), 4096)]
+        for ids in self._alone([strings[i] for i in odd]):
+            runs.append((np.array(ids, dtype=np.uint32), np.array([len(ids)])))
+        if not runs:
+            return codes, self.pool, self.ends
+        first = len(self.ends)
+        pool = np.concatenate([self.pool, *[ids for ids, _ in runs]])
+        sizes = np.concatenate([counts for _, counts in runs])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        codes[missing + odd] = np.arange(first, len(ends))
+        if len(self.known) < CACHE:
+            self.known.update(zip(new + [strings[i] for i in odd], range(first, len(ends))))
+            self.pool, self.ends = pool, ends
+        return codes, pool, ends
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has), END_ID after each text; null is empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        parts = pc.split_pattern_regex(texts, _BLANKS)
+        parts = pc.ascii_split_whitespace(texts)
         words = parts.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist()) + [np.array([END_ID], dtype=np.uint32)]
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        numbers, pool, pool_ends = self._codes(words.dictionary.to_pylist())
         # The end of each text is one more string.
+        pool = np.append(pool, np.uint32(END_ID))
+        pool_ends = np.append(pool_ends, pool_ends[-1] + 1)
         ends = np.cumsum(parts.value_lengths().to_numpy()).astype(np.int64)
-        codes = np.insert(words.indices.to_numpy().astype(np.int64), ends, len(ids) - 1)
-        lengths = sizes[codes]
-        pool, begins = np.concatenate(ids), np.cumsum(sizes) - sizes
-        total = np.cumsum(lengths)
-        places = np.arange(total[-1] if len(total) else 0)
-        places += np.repeat(begins[codes] - (total - lengths), lengths)
-        upto = total[ends + np.arange(len(ends))] if len(ends) else total
-        return pool[places], np.diff(upto, prepend=0)
+        codes = np.insert(numbers[words.indices.to_numpy()], ends, len(pool_ends) - 1)
+        begins = pool_ends[codes - 1] * (codes > 0)
+        lengths = pool_ends[codes] - begins
+        upto = np.cumsum(lengths)[ends + np.arange(len(ends))] if len(ends) else ends
+        out = []
+        for i in range(0, len(codes), 1 << 15):  # small enough to stay in the processor's cache
+            out.append(pool[_ranges(begins[i : i + (1 << 15)], lengths[i : i + (1 << 15)])])
+        return np.concatenate([*out, pool[:0]]), np.diff(upto, prepend=0)
+
+
+def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges (begin, length), one after the other."""
+    some = lengths > 0
+    begins, lengths = begins[some], lengths[some]
+    if not len(begins):
+        return np.zeros(0, dtype=np.int64)
+    steps = np.ones(lengths.sum(), dtype=np.int64)
+    steps[0] = begins[0]
+    steps[np.cumsum(lengths)[:-1]] = begins[1:] - (begins[:-1] + lengths[:-1] - 1)
+    return np.cumsum(steps)
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of this worker process, with what earlier tasks have encoded."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_clickloom_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 class PlaneWriter:
@@ -229,11 +290,11 @@ def _written(folder: str, tokenizer: str, planes: str, block: int):
         # Every attempt writes its own file; the manifest lists those of attempts that ended.
         name = f"part-{number:06d}-{uuid.uuid4().hex}.planes"
         for batch in batches:
-            for part in sliced([batch]):
+            for part in sliced([batch], size=8 << 20):
                 if writer is None:
                     system.create_dir(path, recursive=True)
                     out = system.open_output_stream(f"{path}/{name}")
-                    writer, encoder = PlaneWriter(out, planes, block), Encoder(tokenizer)
+                    writer, encoder = PlaneWriter(out, planes, block), _encoder(tokenizer)
                 writer.add(part.column("doc_id"), *encoder.encoded(part.column("text")))
         if writer is not None:
             writer.close()
