@@ -54,6 +54,16 @@ def json_field(json: Column, field: str) -> Column:
     return F.get_json_object(json, f"$.{field}")
 
 
+def parsed_json(json: Column) -> Column:
+    """A JSON text as a VARIANT, parsed once for all its fields; NULL when malformed."""
+    return F.try_parse_json(json)
+
+
+def variant_field(variant: Column, field: str, type_: str = "string") -> Column:
+    """Top-level field of a VARIANT; NULL when it is absent or not of the type."""
+    return F.try_variant_get(variant, f"$.{field}", type_)
+
+
 def id_with_name(id_: Column, name: Column, separator: str = ":") -> Column:
     """``id:name``; NULL when either is."""
     return F.concat(id_.cast("string"), F.lit(separator), name)

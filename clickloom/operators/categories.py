@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 KINDS = ("click", "order", "pay")
 
 
-def category_events(actions: DataFrame) -> DataFrame:
-    """One row per category an action clicked, ordered or paid for."""
+def category_events(actions: DataFrame, *keep: str) -> DataFrame:
+    """One row per category an action clicked, ordered or paid for; ``keep`` are more columns."""
+    own = ["session_id", *keep]
     sources = {
         "click": F.col("click_category_id").cast("string"),
         "order": F.col("order_category_ids"),
@@ -24,9 +25,9 @@ def category_events(actions: DataFrame) -> DataFrame:
             | F.col("order_category_ids").isNotNull()
             | F.col("pay_category_ids").isNotNull()
         )
-        .select("session_id", F.inline(F.filter(by_kind, lambda kind: kind["ids"].isNotNull())))
-        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
-        .select("session_id", "kind", F.col("id").try_cast("long").alias("category_id"))
+        .select(*own, F.inline(F.filter(by_kind, lambda kind: kind["ids"].isNotNull())))
+        .select(*own, "kind", F.explode(F.split("ids", ",")).alias("id"))
+        .select(*own, "kind", F.col("id").try_cast("long").alias("category_id"))
         .filter(F.col("category_id").isNotNull())
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import concat_distinct, id_with_name, json_field
+from clickloom.functions.text import concat_distinct, id_with_name, parsed_json, variant_field
 from clickloom.sources.tables import default_cities
 
 # Areas of each level, in both spellings; any other area is D Level.
@@ -25,7 +25,7 @@ def area_level(area: Column) -> Column:
 
 
 def product_status(extend_info: Column) -> Column:
-    own = json_field(extend_info, "product_status") == "0"
+    own = variant_field(parsed_json(extend_info), "product_status") == "0"
     return F.when(own, "Self").otherwise("Third Party")
 
 

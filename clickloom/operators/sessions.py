@@ -41,8 +41,21 @@ def _any_row(condition: Column) -> Column:
     return F.coalesce(F.bool_or(condition), F.lit(False))
 
 
+def session_measures() -> list[Column]:
+    """The aggregates of a session's actions."""
+    keyword = F.nullif(F.col("search_keyword"), F.lit(""))
+    return [
+        F.min(F.nullif(F.col("user_id"), F.lit(-1))).alias("user_id"),
+        F.min("action_ts").alias("start_ts"),
+        F.max("action_ts").alias("end_ts"),
+        F.count(F.lit(1)).alias("step_length"),
+        F.array_sort(F.collect_set(keyword)).alias("keywords"),
+        F.array_sort(F.collect_set("click_category_id")).alias("categories"),
+    ]
+
+
 def session_summary(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
-    """One row per session.
+    """One row per session. An action without a session belongs to none.
 
     The two sets hold a session's distinct words and categories; they are reduced in the map
     tasks, so repeated ones never travel. The keyword and category filters of ``params``
@@ -50,23 +63,20 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
     Catalyst drops them and the aggregate stays a hash aggregate over fixed-width buffers.
     """
     keyword = F.nullif(F.col("search_keyword"), F.lit(""))
-    category = F.col("click_category_id")
-    measures = [
-        F.min(F.nullif(F.col("user_id"), F.lit(-1))).alias("user_id"),
-        F.min("action_ts").alias("start_ts"),
-        F.max("action_ts").alias("end_ts"),
-        F.count(F.lit(1)).alias("step_length"),
-        F.array_sort(F.collect_set(keyword)).alias("keywords"),
-        F.array_sort(F.collect_set(category)).alias("categories"),
-    ]
+    measures = session_measures()
     if params is not None and params.keywords:
         # Exactly "-1" as a session's only word never matches.
         hit = _any_row(listed_in(keyword, params.keywords)) & _any_row(keyword != MISSING)
         measures.append(hit.alias("keyword_hit"))
     if params is not None and params.category_ids:
-        wanted = category.cast("string").isin(*params.category_ids)
+        wanted = F.col("click_category_id").cast("string").isin(*params.category_ids)
         measures.append(_any_row(wanted).alias("category_hit"))
-    grouped = actions.groupBy("session_id").agg(*measures)
+    known = actions.filter("session_id IS NOT NULL")
+    return summary_of(known.groupBy("session_id").agg(*measures))
+
+
+def summary_of(grouped: DataFrame) -> DataFrame:
+    """``session_summary`` from the measures of each session."""
     flags = [c for c in ("keyword_hit", "category_hit") if c in grouped.columns]
     return grouped.select(
         "session_id",
@@ -83,7 +93,12 @@ def session_summary(actions: DataFrame, params: TaskParams | None = None) -> Dat
 
 
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
-    """Sessions of known users that pass every filter of the task.
+    """Sessions of known users that pass every filter of the task."""
+    return known_sessions(session_summary(actions, params), users, params)
+
+
+def known_sessions(summary: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """``filtered_sessions`` from the sessions' summary for the same task.
 
     The user filters are pushed to the user scan. The join is left to Catalyst, which
     broadcasts the users only by their size; AQE splits the partition of a hot user.
@@ -94,7 +109,6 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
         one_of(F.col("city"), params.cities),
         equals(F.col("sex"), params.sex),
     ]
-    summary = session_summary(actions, params)
     predicates += [F.col(c) for c in ("keyword_hit", "category_hit") if c in summary.columns]
     return (
         summary.join(users.select("user_id", "age", "professional", "city", "sex"), "user_id")

@@ -429,5 +429,12 @@ _SELECTS["stream_click_trend"] = _SELECTS["ad_click_trend"]
 _SELECTS["stream_click_trend_runs"] = _SELECTS["ad_click_trend_runs"]
 _SELECTS["stream_click_trend_sliding"] = _SELECTS["ad_click_trend_sliding"]
 
+_SELECTS["stream_state_totals"] = _SELECTS["ad_running_stat"]
+_SELECTS["sink_roundtrip_zorder"] = _SELECTS["sink_roundtrip_table"]
+_SELECTS["daily_session_ratios"] = _SELECTS["session_visit_step_ratios"]
+_SELECTS["daily_session_interests"] = _SELECTS["session_filter_interests"]
+_SELECTS["daily_hourly_counts"] = _SELECTS["hourly_session_counts"]
+_SELECTS["daily_category_counts"] = _SELECTS["category_counts"]
+
 ORACLE: dict[str, str] = {name: _sql(select) for name, select in _SELECTS.items()}
 ORACLE["session_sample_of_few"] = _sql(_SELECTS["session_sample"], FEW)

@@ -11,12 +11,12 @@ from clickloom import schemas
 from clickloom.functions import datetime as dt
 from clickloom.functions import text
 from clickloom.functions.sql import register_sql_functions
-from clickloom.operators import ads, categories, counters, pages, products, sampling, sessions
+from clickloom.operators import ads, categories, counters, daily, pages, products, sampling, sessions
 from clickloom.params import TaskParams
 from clickloom.plans import reports
 from clickloom.session import materialize, scratch_path
 from clickloom.sinks import batch as batch_sinks
-from clickloom.sinks import merge
+from clickloom.sinks import merge, zorder
 from clickloom.sources import standins
 from clickloom.sources.tables import actions_in_range, default_cities, product_clicks
 from clickloom.streaming.ad_clicks import (
@@ -25,6 +25,8 @@ from clickloom.streaming.ad_clicks import (
     sliding_trend,
     start_ad_stats,
     start_click_trend,
+    start_running_totals,
+    state_totals,
     trend_runs,
 )
 from clickloom.streaming.sources import file_lines
@@ -46,6 +48,7 @@ PEOPLE = TaskParams(
 )
 INTERESTS = TaskParams(**DAYS, keywords=("tea", "tent"), category_ids=("1", "3", "11"))
 TASK_ID = "task-1"
+LATE_DAY = "2024-01-12"
 # Fewer sessions than the log has days.
 FEW = 12
 # The stand-in clicks never reach 100 per user, ad and day.
@@ -242,6 +245,43 @@ def session_sample_detail(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.keep_actions_of(_actions(spark, sf), drawn, 100).drop("action_ts")
 
 
+# Daily partials
+
+def _daily(spark: SparkSession, sf: str) -> str:
+    """Partials of all days; of one day, most of the log arrives after they were made."""
+    raw = standins.user_visit_actions(spark, sf)
+    folder = scratch_path(spark, "daily")
+    dates = [row[0] for row in raw.select("date").distinct().collect()]
+    daily.refresh(raw.filter((F.col("date") != LATE_DAY) | (F.col("page_id") < 3)), folder, dates)
+    daily.refresh(raw, folder, [LATE_DAY])
+    return folder
+
+
+def _daily_sessions(spark: SparkSession, sf: str, folder: str, params: TaskParams) -> DataFrame:
+    partials = daily.stored_sessions(spark, folder, params)
+    summary = daily.merged_sessions(partials, params)
+    return sessions.known_sessions(summary, standins.users(spark, sf), params)
+
+
+def daily_session_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    return sessions.length_ratios(_daily_sessions(spark, sf, _daily(spark, sf), TASK))
+
+
+def daily_session_interests(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily_sessions(spark, sf, _daily(spark, sf), INTERESTS)
+
+
+def daily_hourly_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.hourly_session_counts(_daily_sessions(spark, sf, _daily(spark, sf), TASK))
+
+
+def daily_category_counts(spark: SparkSession, sf: str) -> DataFrame:
+    folder = _daily(spark, sf)
+    partials = daily.stored_categories(spark, folder, TASK)
+    chosen = _daily_sessions(spark, sf, folder, TASK)
+    return categories.category_counts(daily.merged_categories(partials, chosen))
+
+
 # Page flow
 
 def page_step_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -337,6 +377,10 @@ def ad_click_trend_at_noon(spark: SparkSession, sf: str) -> DataFrame:
 # Ad clicks as a stream
 
 def _run_stream(spark: SparkSession, sf: str, start) -> AdStore:
+    return _run_stream_in(spark, sf, start)[0]
+
+
+def _run_stream_in(spark: SparkSession, sf: str, start) -> tuple[AdStore, str]:
     """Let the ad log arrive in parts and run the stream to its end after each.
 
     Every run resumes from the checkpoint of the one before, and each is one micro-batch.
@@ -357,13 +401,18 @@ def _run_stream(spark: SparkSession, sf: str, start) -> AdStore:
             AdSettings(threshold=THRESHOLD),
             available_now=True,
         ).awaitTermination()
-    return store
+    return store, f"{folder}/checkpoint"
 
 
 def stream_running_stat(spark: SparkSession, sf: str) -> DataFrame:
     return _run_stream(spark, sf, start_ad_stats).totals.read(spark)
 
 
+def stream_state_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """All clicks, as the state store of a stream that was resumed twice holds them."""
+    return state_totals(spark, _run_stream_in(spark, sf, start_running_totals)[1])
+
+
 def stream_user_clicks(spark: SparkSession, sf: str) -> DataFrame:
     return _run_stream(spark, sf, start_ad_stats).user_clicks.read(spark)
 
@@ -481,6 +530,14 @@ def sink_roundtrip_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name).select(*schemas.USER_VISIT_ACTION.names)
 
 
+def sink_roundtrip_zorder(spark: SparkSession, sf: str) -> DataFrame:
+    """The action log in Z-order of date, city and product, read back."""
+    path = scratch_path(spark, "actions-zorder")
+    columns = ["date", "city_id", "click_product_id"]
+    zorder.write_z_ordered(standins.user_visit_actions(spark, sf), path, columns)
+    return spark.read.schema(schemas.USER_VISIT_ACTION).parquet(path)
+
+
 def _two_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """The ad clicks up to the 20th, and those from the 11th on."""
     clicks = _clicks(spark, sf)
@@ -564,6 +621,10 @@ QUERIES: dict[str, Query] = {
         session_sample_of_few,
         session_extract,
         session_sample_detail,
+        daily_session_ratios,
+        daily_session_interests,
+        daily_hourly_counts,
+        daily_category_counts,
         page_step_counts,
         page_step_counts_split,
         page_pair_counts,
@@ -582,6 +643,7 @@ QUERIES: dict[str, Query] = {
         ad_click_trend_runs,
         ad_click_trend_at_noon,
         stream_running_stat,
+        stream_state_totals,
         stream_user_clicks,
         stream_blacklist,
         stream_province_top3,
@@ -596,6 +658,7 @@ QUERIES: dict[str, Query] = {
         sink_roundtrip_json,
         sink_roundtrip_json_limit,
         sink_roundtrip_table,
+        sink_roundtrip_zorder,
         sink_insert_new,
         sink_add_counts,
         sink_overwrite_rows,

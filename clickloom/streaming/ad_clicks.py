@@ -210,6 +210,40 @@ def start_click_trend(
     return _trigger(writer, settings, available_now).start()
 
 
+def start_running_totals(
+    lines: DataFrame,
+    store: AdStore | None,
+    checkpoint: str,
+    settings: AdSettings = AdSettings(),
+    publish: Publisher | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start the running totals of all clicks as state that Spark keeps.
+
+    A batch costs as much as its keys: their totals are looked up in the state store and
+    what changed is published. ``state_totals`` reads the state back. ``store`` is not used.
+    """
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        if publish is not None:
+            publish("ad_stat", rows, batch_id)
+        else:
+            rows.write.format("noop").mode("overwrite").save()
+
+    totals = ads.running_totals(ads.parse_clicks(_dealt(lines, settings)))
+    writer = totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return _trigger(writer.foreachBatch(save), settings, available_now).start()
+
+
+def state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The totals that ``start_running_totals`` holds as of its last batch, to audit results by."""
+    state = spark.read.format("statestore").load(checkpoint)
+    count = state.schema["value"].dataType.names[0]
+    return state.select("key.*", F.col(f"value.{count}").alias("click_count")).toDF(
+        *schemas.AD_STAT.names
+    )
+
+
 def _dealt(lines: DataFrame, settings: AdSettings) -> DataFrame:
     if settings.source_partitions is None:
         return lines

@@ -73,3 +73,21 @@ def people(rows):
 @pytest.fixture(scope="session")
 def november():
     return TaskParams("2017-11-10", "2017-11-31")
+
+
+def records_read(spark, action):
+    """How many rows of files the jobs of ``action`` took up."""
+    scala = spark.sparkContext._jsc.sc()
+    gateway = spark.sparkContext._gateway
+
+    def total():
+        scala.listenerBus().waitUntilEmpty()
+        quantiles = gateway.new_array(gateway.jvm.double, 0)
+        stages = scala.statusStore().stageList(
+            None, False, False, quantiles, gateway.jvm.java.util.ArrayList()
+        )
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    action()
+    return total() - before

@@ -35,6 +35,15 @@ def test_both_parsers(evaluate, time, expected):
     assert evaluate(dt.parse_log_time(column).cast("timestamp_ntz")) == expected
 
 
+def test_today_and_yesterday_are_the_clocks(evaluate):
+    while True:
+        day = datetime.datetime.now(datetime.timezone.utc).date()
+        found = evaluate(dt.today()), evaluate(dt.yesterday())
+        if day == datetime.datetime.now(datetime.timezone.utc).date():  # not over midnight
+            break
+    assert found == (str(day), str(day - datetime.timedelta(days=1)))
+
+
 def test_time_arithmetic(evaluate):
     early, late = F.lit("2017-11-10 9:59:58"), F.lit("2017-11-10 10:00:03")
     assert evaluate(dt.before(early, late)) and not evaluate(dt.before(late, late))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schemas
+from clickloom.functions.text import parsed_json, variant_field
 from clickloom.operators import products
 from clickloom.sources.tables import product_clicks
 
@@ -81,3 +82,37 @@ def test_click_scan_leaves_out_other_actions(log, november):
         {"click_product_id": 6, "date": "2017-12-01"},
     )
     assert [tuple(r) for r in product_clicks(raw, november).collect()] == [(0, 5)]
+
+
+@pytest.mark.parametrize(
+    "json, field, status",
+    [
+        ('{"product_status": 0}', "0", "Self"),
+        ('{"product_status": "0", "a": [1, {"product_status": 1}]}', "0", "Self"),
+        ('{"product_status": 1}', "1", "Third Party"),
+        ('{"a": {"product_status": 0}}', None, "Third Party"),
+        ('{"product_status": null}', None, "Third Party"),
+        ('{"product_status": 0', None, "Third Party"),
+        ("not json", None, "Third Party"),
+        ("[0]", None, "Third Party"),
+        ("", None, "Third Party"),
+        (None, None, "Third Party"),
+    ],
+)
+def test_status_of_any_text(spark, json, field, status):
+    text = F.lit(json).cast("string")
+    row = spark.range(1).select(
+        variant_field(parsed_json(text), "product_status").alias("field"),
+        products.product_status(text).alias("status"),
+    )
+    assert tuple(row.first()) == (field, status)
+
+
+def test_fields_have_types(spark):
+    variant = parsed_json(F.lit('{"n": 5, "s": "x", "d": "2017-11-10"}'))
+    row = spark.range(1).select(
+        variant_field(variant, "n", "long").alias("a"),
+        variant_field(variant, "s", "long").alias("b"),
+        variant_field(variant, "d", "date").cast("string").alias("c"),
+    )
+    assert tuple(row.first()) == (5, None, "2017-11-10")

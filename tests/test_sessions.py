@@ -4,7 +4,7 @@ from dataclasses import replace
 
 import pytest
 
-from clickloom.operators import sessions
+from clickloom.operators import pages, sampling, sessions
 from clickloom.sources.tables import actions_in_range
 
 
@@ -134,3 +134,18 @@ def test_detail_keeps_every_action_once(log, people, november):
         actions, sessions.filtered_sessions(actions, people, november)
     )
     assert [row.session_id for row in found.collect()] == ["s", "s"]
+
+
+def test_actions_without_session_are_in_none(log, people, november):
+    """They make no session, so nothing counts, draws or details one; their views count."""
+    records = [{"session_id": "a", "page_id": 7}] + [{"session_id": None, "page_id": 7}] * 5
+    actions = actions_in_range(log(*records), november)
+    found = sessions.filtered_sessions(actions, people, november)
+    assert [row.session_id for row in found.collect()] == ["a"]
+    assert sessions.length_histogram(found).first().session_count == 1
+    assert sampling.hourly_session_counts(found).first().session_count == 1
+    assert [r.session_id for r in sampling.sample_sessions(found).collect()] == ["a"]
+    assert sessions.session_detail(actions, found).count() == 1
+    assert pages.page_views(actions, 7).first().start_pv == 6
+    steps = pages.page_steps(actions).filter("page_id = 7 AND next_page_id IS NULL")
+    assert steps.agg({"steps": "sum"}).first()[0] == 6

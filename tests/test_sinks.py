@@ -1,14 +1,19 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.plans.reports import session_report, write_report
 from clickloom.session import scratch_path
-from clickloom.sinks import batch, merge
+from clickloom.sinks import batch, merge, zorder
 from clickloom.sources import tables
 from clickloom.sources.jdbc import JdbcTarget
 
+from conftest import records_read
+
 
 @pytest.fixture
 def counts(spark):
@@ -63,6 +68,54 @@ def test_table_is_replaced_and_prunes_by_date(spark, log, november):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.integers(1, 4), st.data())
+def test_interleaved_bits(spark, k, data):
+    values = data.draw(st.lists(st.integers(0, 1023), min_size=k, max_size=k))
+    texts = [f"{v:010b}" for v in values]
+    want = int("".join(t[i] for i in range(10) for t in texts), 2)
+    found = zorder.interleaved([F.lit(v).cast("long") for v in values], 10)
+    assert spark.range(1).select(found.alias("z")).first().z == want
+
+
+def test_z_order_skips_pages_on_every_column(spark, monkeypatch):
+    """Against a layout by date, a filter on any other column takes up far fewer rows."""
+    monkeypatch.setattr(zorder, "PAGE_ROWS", 250)
+    days = "date_format(date_add(DATE'2017-01-01', CAST(id % 60 AS INT)), 'yyyy-MM-dd') AS date"
+    # Every combination of day, city and product in an order of its own.
+    log = spark.range(60 * 30 * 60).selectExpr(
+        "(id * 7919) % 108000 AS id").selectExpr(
+        days, "id DIV 60 % 30 AS city_id", "id DIV 1800 AS product_id", "id")
+    path = scratch_path(spark, "z")
+    with_one_file = log.coalesce(1)
+    zorder.write_z_ordered(with_one_file, f"{path}/z", ["date", "city_id", "product_id"])
+    plain = with_one_file.sort("date").write.option("parquet.page.row.count.limit", zorder.PAGE_ROWS)
+    plain.parquet(f"{path}/plain")
+    back = spark.read.parquet(f"{path}/z")
+    assert back.count() == 108_000 and back.exceptAll(log).isEmpty()
+    for condition in ("date = '2017-01-09'", "city_id = 11", "product_id = 40"):
+        rows = {}
+        for layout in ("z", "plain"):
+            found = []
+            frame = spark.read.schema(log.schema).parquet(f"{path}/{layout}").filter(condition)
+            rows[layout] = records_read(spark, lambda: found.extend(frame.collect()))
+            assert len(found) == log.filter(condition).count()
+        assert rows["z"] < 108_000 / 2
+        if not condition.startswith("date"):
+            assert rows["z"] < rows["plain"] / 2
+
+
+def test_z_order_of_nothing_and_of_nulls(spark):
+    schema = "date string, k long"
+    for rows in ([], [(None, None)] * 3, [("2017-11-31", 5), ("2017-11-10", None), (None, -7)]):
+        frame = spark.createDataFrame(rows, schema)
+        path = scratch_path(spark, "z")
+        zorder.write_z_ordered(frame, path, ["date", "k"])
+        assert sorted(map(tuple, spark.read.schema(frame.schema).parquet(path).collect()), key=repr) == sorted(rows, key=repr)
+    with pytest.raises(ValueError):
+        zorder.interleaved([F.lit(1)] * 7)
+
+
 def test_sources_by_path(spark, rows):
     path = scratch_path(spark, "products")
     rows(schemas.PRODUCT_INFO, {"product_id": 1}).write.parquet(path)

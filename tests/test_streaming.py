@@ -17,9 +17,12 @@ from clickloom.streaming.ad_clicks import (
     apply_batch,
     start_ad_stats,
     start_click_trend,
+    start_running_totals,
+    state_totals,
 )
 from clickloom.streaming.sources import file_lines, kafka_lines, kafka_options
 
+from conftest import records_read
 from test_ads import stamp
 
 
@@ -199,6 +202,21 @@ def test_late_clicks_of_a_user_count_and_blacklist(spark):
     assert _table(feed.store.blacklist, spark) == {(5,)}
 
 
+def test_state_of_a_resumed_stream_is_read_back(spark):
+    feed = Feed(spark, start_running_totals)
+    batches = [[(10, 1, c, u, u % 3) for u in range(6)] for c in (1, 2, 1)]
+    for batch in batches:
+        feed.arrive([_line(*click) for click in batch] + ["junk"])
+        feed.run()
+    want = _model(batches, 10**6)[2]
+    state = state_totals(spark, f"{feed.folder}/checkpoint")
+    assert {tuple(row) for row in state.collect()} == want
+    # What was published last for a key is what the state holds; only changed keys are.
+    last = {tuple(row)[:4]: row.click_count for _, rows, _ in feed.published for row in rows}
+    assert {(*key, n) for key, n in last.items()} == want
+    assert [len(rows) for _, rows, _ in feed.published if rows] == [3, 3, 3]
+
+
 def test_streaming_totals_in_complete_mode(spark):
     folder = scratch_path(spark, "complete")
     spark.createDataFrame([(_line(10, 1, 1, 5, 5),)] * 3, "value string").write.text(folder)
@@ -312,24 +330,6 @@ def test_unfinished_batch_is_not_read(spark, totals_log):
     assert _table(totals_log, spark) == {("2017-11-10", 1, 1, 10)}
 
 
-def _records_read(spark, action):
-    """How many rows of files the jobs of ``action`` took up."""
-    scala = spark.sparkContext._jsc.sc()
-    gateway = spark.sparkContext._gateway
-
-    def total():
-        scala.listenerBus().waitUntilEmpty()
-        quantiles = gateway.new_array(gateway.jvm.double, 0)
-        stages = scala.statusStore().stageList(
-            None, False, False, quantiles, gateway.jvm.java.util.ArrayList()
-        )
-        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
-
-    before = total()
-    action()
-    return total() - before
-
-
 def test_a_batch_looks_up_its_own_dates_and_ads(spark):
     """Of 120,000 stored totals, a batch of few ads takes up some pages."""
     store = AdStore(scratch_path(spark, "store"))
@@ -344,7 +344,7 @@ def test_a_batch_looks_up_its_own_dates_and_ads(spark):
     written = store.totals.written(spark, 1)
     found = []
     columns = ["date", "province", "ad_id"]
-    read = _records_read(
+    read = records_read(
         spark, lambda: found.extend(store.totals.matching(spark, 1, written, columns).collect())
     )
     assert {tuple(r) for r in found} == {
@@ -353,7 +353,7 @@ def test_a_batch_looks_up_its_own_dates_and_ads(spark):
     }
     # Two ads of two dates: a page of 1,000 rows each, and the batch itself a few times.
     assert read <= 4 * 1_000 + 50
-    assert _records_read(spark, lambda: store.totals.read(spark).collect()) >= 120_000
+    assert records_read(spark, lambda: store.totals.read(spark).collect()) >= 120_000
 
 
 def test_top_ads_are_merged_not_counted_again(spark):
@@ -370,7 +370,7 @@ def test_top_ads_are_merged_not_counted_again(spark):
         ("2017-11-10", "1", 29_999, 4), ("2017-11-10", "1", 5, 3), ("2017-11-10", "1", 0, 1)
     }
     # Folding the first batch reads all of it. Its replay folds nothing.
-    read = _records_read(spark, lambda: apply_batch(second, 1, store, settings))
+    read = records_read(spark, lambda: apply_batch(second, 1, store, settings))
     assert _table(store.province_top, spark) == once
     assert read < 15_000
 
