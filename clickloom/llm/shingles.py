@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -100,14 +101,21 @@ def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return hashes[new], owner[new], n
 
 
+def _set_keys(hashes: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each set: sums of two mixes of its members, from one end to the next."""
+    keys = []
+    for salt in (1, 2):
+        sums = np.append(np.uint64(0), np.cumsum(mix(hashes ^ mix(np.uint64([salt]))), dtype=np.uint64))
+        keys.append(sums[ends[1:]] - sums[ends[:-1]])
+    return keys
+
+
 def _parse(k: int, jaccard: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             hashes, owner, _ = _sets(batch.column("text"), k)
             n = np.bincount(owner, minlength=batch.num_rows)
-            ends = np.cumsum(n)
-            sums = [np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)]) for h in (hashes, mix(hashes))]
-            key_a, key_b = (s[ends] - s[ends - n] for s in sums)
+            key_a, key_b = _set_keys(hashes, np.append(0, np.cumsum(n)))
             path_count, paths = _paths(hashes, owner, n, jaccard)
             offsets = pa.array(np.concatenate([[0], np.cumsum(path_count)]).astype(np.int32))
             steps = [pa.array(np.ascontiguousarray(column).view(np.int64)) for column in paths.T]
@@ -197,17 +205,24 @@ def _links_of(jaccard: float):
     return run
 
 
+def _parts(rows: DataFrame, size, bytes_per_part: int = 4 << 20) -> int:
+    """How many parts of about ``bytes_per_part`` the rows make, by the bytes ``size`` of each."""
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    return max(1, -(-int(total) // bytes_per_part))
+
+
 def candidate_links(classes: DataFrame, jaccard: float) -> DataFrame:
     """Links (a, b) that connect all classes (id, paths, sketch) worth comparing."""
     names = _path_names()
     paths = classes.select("id", F.explode("paths").alias("p")).select("id", "p.*")
-    small = []
+    small, compared = [], []
     for i, name in enumerate(names):
         paths = paths.withColumnRenamed(name, "path")
         sizes = paths.groupBy("path").count().filter("count > 1")
         # Stored, so that a path that very many classes share is a join that can be split.
         sizes = materialize(sizes, "bucket-sizes")
         fits = sizes if name == names[-1] else sizes.filter(F.col("count") <= SMALL)
+        compared.append(fits)
         small.append(paths.join(fits, "path").select("path", "id", "count"))
         if name != names[-1]:
             # Every class of a large bucket has a next step, so none drops out here.
@@ -227,7 +242,7 @@ def candidate_links(classes: DataFrame, jaccard: float) -> DataFrame:
         F.xxhash64("path", F.least("block", "o"), F.greatest("block", "o")).alias("path"), "id"
     )
     members = dealt.join(classes.select("id", "sketch"), "id")
-    parts = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
+    parts = _parts(reduce(DataFrame.unionByName, compared), F.col("count") * blocks * 2 * SKETCH)
     members = members.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(parts)).cast("int"))
     found = members.groupBy("part").applyInArrow(_links_of(jaccard), "a long, b long")
     return found.distinct()
@@ -318,14 +333,15 @@ def _wanted_sets(k: int, table: np.ndarray):
                 continue
             hashes, owner, _ = _sets(rows.column("text"), k)
             ends = np.searchsorted(owner, np.arange(rows.num_rows + 1))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes, dtype=np.uint64)])
+            key_a, key_b = _set_keys(hashes, ends)
             lists = pa.ListArray.from_arrays(
                 pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64))
             )
             yield pa.record_batch(
                 {
                     "doc": rows.column("id"),
-                    "id": pa.array((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)),
+                    "key_a": pa.array(key_a.view(np.int64)),
+                    "key_b": pa.array(key_b.view(np.int64)),
                     "hashes": lists,
                 }
             )
@@ -354,10 +370,12 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
         .agg(F.min("id").alias("class"), F.count("*").alias("copies"))
     )
     # Stored, so that a very large class is a join that can be split.
-    firsts = materialize(firsts, "classes")
-    # From here on a class goes by the hash of its set, ``key_a``.
+    # From here on a class goes by its number, fixed in the written table.
+    firsts = materialize(firsts.withColumn("number", F.monotonically_increasing_id()), "classes")
     one = parsed.join(firsts, ["key_a", "key_b", "n"]).filter("id = class")
-    classes = one.select(F.col("key_a").alias("id"), "class", "copies", "paths", "sketch")
+    classes = one.select(
+        F.col("number").alias("id"), "class", "copies", "key_a", "key_b", "n", "paths", "sketch"
+    )
     classes = materialize(classes.dropDuplicates(["id"]), "class-shingles")
     groups = components(candidate_links(classes, jaccard)).withColumnRenamed("component", "group")
 
@@ -370,17 +388,18 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
     dealt = sized.select(
         "id", "group", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block")
     )
-    dealt = materialize(dealt.join(classes.select("id", "class", "copies"), "id"), "groups")
+    own = classes.select("id", "class", "copies", "key_a", "key_b", "n")
+    dealt = materialize(dealt.join(own, "id"), "groups")
     # Most documents are in no group. A Bloom filter of bounded size keeps their texts out of
     # the join; what it lets through by mistake meets no row there.
     table = bloom_filter(dealt.select(F.xxhash64("class").alias("key")))
     key = F.xxhash64("id")
     texts = rows.select("id", "text", key.alias("key"), bloom_block(key, len(table)).alias("block"))
-    found = texts.mapInArrow(_wanted_sets(k, table), "doc long, id long, hashes array<long>")
+    found = texts.mapInArrow(_wanted_sets(k, table), "doc long, key_a long, key_b long, hashes array<long>")
     # The same join at every size: by its few ids the other side would seem small.
     sets = (
         found.hint("merge")
-        .join(dealt.withColumnRenamed("class", "doc"), ["id", "doc"])
+        .join(dealt.withColumnRenamed("class", "doc"), ["key_a", "key_b", "doc"])
         .dropDuplicates(["id"])
     )
     against = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
@@ -388,21 +407,21 @@ def near_copies(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD) -> Da
         "id", "group", "block", "copies", "hashes",
         F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"),
     )
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
+    parts = _parts(dealt, F.col("n") * 8 * F.col("blocks"))
     part = F.pmod(F.xxhash64("group", "x", "y"), F.lit(parts)).cast("int")
     linked = spread.withColumn("part", part).groupBy("part").applyInArrow(
         _exact(jaccard), "id long, n long, to long"
     )
     linked = materialize(linked, "set-links")
-    counts = linked.groupBy(F.col("id").alias("key_a")).agg(F.sum("n").alias("links"))
+    counts = linked.groupBy(F.col("id").alias("number")).agg(F.sum("n").alias("links"))
     joined = components(linked.filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")))
-    joined = joined.withColumnRenamed("id", "key_a")
-    names = joined.join(firsts.select("key_a", "class"), "key_a").groupBy("component")
+    joined = joined.withColumnRenamed("id", "number")
+    names = joined.join(firsts.select("number", "class"), "number").groupBy("component")
     # Stored, so that a very large component is a join that can be split.
     names = materialize(names.agg(F.min("class").alias("smallest")), "component-names")
     facts = (
-        firsts.join(counts, "key_a", "left")
-        .join(joined.join(names, "component").select("key_a", "smallest"), "key_a", "left")
+        firsts.join(counts, "number", "left")
+        .join(joined.join(names, "component").select("number", "smallest"), "number", "left")
         .select(
             "key_a", "key_b", "n", "class",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -4,9 +4,9 @@ Three steps over the same groups of documents, with a shuffle between them:
 
 1. reveal: each group names the high-level interior symbols of its windows of k words
    (see ``recompression``); a symbol that occurs once in the corpus is in no repeat;
-2. verify: windows that hold a shared symbol are compared as wholes, by a 128-bit hash of
-   their words, and the smallest document of each is found;
-3. remove: all windows but the first of each content lose their words.
+2. verify: windows that hold a shared symbol are compared as wholes, by two independent
+   64-bit hashes of their words, and the first document of each is found;
+3. remove: all windows but the first of each content, by the same hashes, lose their words.
 
 Texts that are equal as wholes are found before: all but the first lose everything, and
 only the first takes part in the three steps. So a large group of copies costs little.
@@ -26,12 +26,11 @@ from pyspark.sql.window import Window
 
 from clickloom.llm.common import NULL_ID, groups_of
 from clickloom.llm.recompression import window_symbols
-from clickloom.llm.tokens import Words, hashed_words, mix, starts_of, windows
+from clickloom.llm.tokens import Words, hashed_words, starts_of, windows
 from clickloom.session import materialize
 
 WINDOW = 20
 _COPY, _SHARED, _REPEATED = 0, 1, 2
-_SECOND = np.uint64(0x94D049BB133111EB)
 
 
 class _Group:
@@ -45,7 +44,7 @@ class _Group:
         self.docs = docs.take(pa.array(order))
         ids, keys = ids[order], keys[order]
         kind, note_id = notes.column("kind").to_numpy(), notes.column("id").to_numpy()
-        self.note = notes.column("value").to_numpy()
+        self.note, self.note_id = notes.column("value").to_numpy(), note_id
         self.kind = kind
         copies = set(zip(note_id[kind == _COPY].tolist(), self.note[kind == _COPY].tolist()))
         pairs = list(zip(ids.tolist(), keys.tolist()))
@@ -53,7 +52,7 @@ class _Group:
             [pair in copies or (i > 0 and pairs[i - 1] == pair) for i, pair in enumerate(pairs)],
             dtype=bool,
         )
-        self.ids = ids
+        self.ids, self.keys = ids, keys
         self.words: Words = hashed_words(self.docs.column("text"))
         self.k = k
         starts = starts_of(self.words, k)
@@ -69,8 +68,40 @@ class _Group:
         opens[first[np.diff(self.words.first) > 0]] = True
         return window_symbols(self.words.hash, opens, self.starts, self.k)
 
-    def hashes(self) -> np.ndarray:
-        return windows(self.words, self.k)[self.starts]
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of each window."""
+        both = (self.words, self.words.again(1))
+        return tuple(windows(words, self.k)[self.starts] for words in both)
+
+    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of windows that occur in an earlier document of another group."""
+        chosen = self.kind == _REPEATED
+        return self.note[chosen].view(np.uint64), self.note_id[chosen].view(np.uint64)
+
+
+def _first_of_each(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each pair of hashes the place of the first equal pair."""
+    _, first, inverse = np.unique(a, return_index=True, return_inverse=True)
+    found = first[inverse]
+    if (b[found] != b).any():  # different windows met in one of the hashes
+        order = np.lexsort((b, a))
+        new = np.ones(len(a), dtype=bool)
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+        found = np.empty(len(a), dtype=np.int64)
+        found[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return found
+
+
+def _among(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
+    """Which pairs (a, b) are among the known ones."""
+    order = np.lexsort((known_b, known_a))
+    known_a, known_b = known_a[order], known_b[order]
+    at, end = np.searchsorted(known_a, a, "left"), np.searchsorted(known_a, a, "right")
+    hit = np.zeros(len(a), dtype=bool)
+    while (some := at < end).any():  # once, but where known pairs share their first hash
+        hit[some] |= known_b[at[some]] == b[some]
+        at = at + 1
+    return hit
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -101,17 +132,16 @@ def _verify(k: int):
     def run(key: tuple, docs: pa.Table, notes: pa.Table) -> pa.Table:
         group = _Group(docs, notes, k)
         names, _ = group.symbols()
-        shared = _within(names, group.values(_SHARED))
-        first_hash = group.hashes()[shared]
-        again = Words(**{**vars(group.words), "hash": mix(group.words.hash ^ _SECOND)})
-        second_hash = windows(again, k)[group.starts[shared]]
-        found, at = np.unique(first_hash, return_index=True)
-        owner = group.ids[group.text[group.starts[shared][at]]] if len(at) else np.zeros(0, np.int64)
+        shared = np.flatnonzero(_within(names, group.values(_SHARED)))
+        first, second = (hashes[shared] for hashes in group.hashes())
+        found = np.unique(_first_of_each(first, second)) if len(shared) else shared
+        owner = group.text[group.starts[shared[found]]] if len(shared) else shared
         return pa.table(
             {
-                "a": pa.array(found.view(np.int64)),
-                "b": pa.array(second_hash[at].view(np.int64)),
-                "id": pa.array(owner.astype(np.int64)),
+                "a": pa.array(first[found].view(np.int64)),
+                "b": pa.array(second[found].view(np.int64)),
+                "id": pa.array(group.ids[owner]),
+                "text": pa.array(group.keys[owner]),
             }
         )
 
@@ -121,10 +151,9 @@ def _verify(k: int):
 def _remove(k: int, columns: list[str], schema: pa.Schema, texts: bool):
     def run(key: tuple, docs: pa.Table, notes: pa.Table) -> pa.Table:
         group = _Group(docs, notes, k)
-        hashes = group.hashes()
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        gone = first[inverse] != np.arange(len(hashes)) if len(hashes) else np.zeros(0, bool)
-        gone |= _within(hashes, group.values(_REPEATED))
+        first, second = group.hashes()
+        gone = _first_of_each(first, second) != np.arange(len(first))
+        gone |= _among(first, second, *group.repeated())
         words = group.words
         change = np.zeros(len(words.hash) + 1, dtype=np.int64)
         starts = group.starts[gone]
@@ -190,10 +219,13 @@ def without_repeats(
         *dict.fromkeys([*columns, "text"]),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"),
         F.xxhash64(text).alias("_text"),
-    ).withColumn("_bucket", F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int"))
+    )
+
+    def bucket(id_: str, text: str):
+        # By the text as well: one id, or none, may be that of very many rows.
+        return F.pmod(F.xxhash64(id_, text), F.lit(groups)).cast("int")
 
-    def bucket(name: str):
-        return F.pmod(F.xxhash64(name), F.lit(groups)).cast("int").alias("bucket")
+    base = base.withColumn("_bucket", bucket("_id", "_text"))
 
     digests = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
@@ -206,35 +238,38 @@ def without_repeats(
     copies = (
         digests.join(firsts, "digest")
         .filter(F.col("id") > F.col("first"))
-        .select(bucket("id"), F.lit(_COPY).alias("kind"), "id", "value")
+        .select(bucket("id", "value").alias("bucket"), F.lit(_COPY).alias("kind"), "id", "value")
     )
     copies = materialize(copies, "copies")
     grouped = base.groupBy("_bucket")
 
-    def notes(kind: int, df: DataFrame, name: str) -> DataFrame:
-        row = df.select(
-            "bucket", F.lit(kind).alias("kind"), F.lit(0).cast("long").alias("id"),
-            F.col(name).alias("value"),
-        )
-        return copies.unionByName(row)
+    def notes(rows: DataFrame) -> DataFrame:
+        return copies.unionByName(rows.select("bucket", "kind", "id", "value"))
 
     revealed = grouped.cogroup(copies.groupBy("bucket")).applyInArrow(
         _reveal(window), "bucket int, name long"
     )
     # A name has at most two rows for each group of documents, whatever it occurs.
     shared = revealed.withColumn("n", F.count("*").over(Window.partitionBy("name")))
-    shared = shared.filter("n > 1").select("bucket", "name").distinct()
-    checked = grouped.cogroup(notes(_SHARED, shared, "name").groupBy("bucket")).applyInArrow(
-        _verify(window), "a long, b long, id long"
+    shared = shared.filter("n > 1").select("bucket", F.col("name").alias("value")).distinct()
+    shared = shared.select("*", F.lit(_SHARED).alias("kind"), F.lit(0).cast("long").alias("id"))
+    checked = grouped.cogroup(notes(shared).groupBy("bucket")).applyInArrow(
+        _verify(window), "a long, b long, id long, text long"
+    )
+    own = F.struct("id", "text")
+    first = F.min(own).over(Window.partitionBy("a", "b"))
+    repeated = checked.withColumn("first", first).filter(own > F.col("first"))
+    # A window goes by its two hashes.
+    repeated = repeated.select(
+        bucket("id", "text").alias("bucket"), F.lit(_REPEATED).alias("kind"),
+        F.col("b").alias("id"), F.col("a").alias("value"),
     )
-    first = F.min("id").over(Window.partitionBy("a", "b"))
-    repeated = checked.withColumn("first", first).filter("id > first").select(bucket("id"), "a")
     result = T.StructType(
         [docs.schema[name] for name in columns]
         + [T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType())]
         + [T.StructField("_kept", T.StringType())]
     )
-    return grouped.cogroup(notes(_REPEATED, repeated, "a").groupBy("bucket")).applyInArrow(
+    return grouped.cogroup(notes(repeated).groupBy("bucket")).applyInArrow(
         _remove(window, list(columns), to_arrow_schema(result), texts), result
     )
 

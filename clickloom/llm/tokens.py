@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
@@ -51,7 +50,11 @@ _UP, _DOWN = _Powers(_BASE), _Powers(_BASE_INVERSE)
 
 
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each pair, equal for equal contents."""
+    """A hash of values[start:end] for each pair, equal for equal contents.
+
+    A polynomial modulo 2**64, so some long sequences of two values meet: it may tell what to
+    look at, but not what is equal.
+    """
     sums = np.empty(len(values) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(values * _UP.upto(len(values)), out=sums[1:])
@@ -59,6 +62,24 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _word_hash(data: np.ndarray, lengths: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each word, whose bytes follow each other in ``data``.
+
+    The sum of a pseudorandom number for each byte at its place in the word. Unlike a
+    polynomial it has no structure that long words of few letters could meet by.
+    """
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = (np.arange(len(data)) - np.repeat(first, lengths)).astype(np.uint64)
+    salt = mix(np.uint64([seed + 1]))
+    value = mix((place * np.uint64(256) + data) * _ODD + salt)
+    return mix(np.add.reduceat(value, first) ^ (lengths.astype(np.uint64) * _ODD + salt))
+
+
 @dataclass
 class Words:
     """Words of some texts: those of text i are first[i] to first[i + 1]."""
@@ -70,6 +91,10 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
 
+    def again(self, seed: int) -> Words:
+        """The same words with hashes independent of those of other seeds."""
+        return replace(self, hash=_hashes(self.data, self.start, self.end, seed))
+
     def text_of(self) -> np.ndarray:
         """For each word, the number of its text."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
@@ -121,10 +146,21 @@ def sliced(
             i = j
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the words from start to end, in runs of about _CHUNK bytes."""
+    out, i = [np.zeros(0, np.uint64)], 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + _CHUNK, side="right")))
+        part = data[start[i] : end[j - 1]]
+        out.append(_word_hash(part[~_BLANK[part]], end[i:j] - start[i:j], seed))
+        i = j
+    return np.concatenate(out)
+
+
 def hashed_words(column: pa.Array | pa.ChunkedArray) -> Words:
     """All words of a string column with their hashes."""
     data, offsets = text_bytes(column)
-    starts, ends, hashes = [], [], []
+    starts, ends = [], []
     for i, j in _slices(offsets):
         low, high = int(offsets[i]), int(offsets[j])
         if low == high:
@@ -137,36 +173,39 @@ def hashed_words(column: pa.Array | pa.ChunkedArray) -> Words:
         after = np.concatenate([blank[1:], [True]]) | edge[1:]
         start = np.flatnonzero(before & ~blank)
         end = np.flatnonzero(after & ~blank) + 1
-        hashes.append(range_hash(_BYTE[part], start, end))
         starts.append(start + low)
         ends.append(end + low)
     start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     end = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-    values = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    return Words(data, offsets, np.searchsorted(start, offsets), start, end, values)
+    return Words(
+        data, offsets, np.searchsorted(start, offsets), start, end, _hashes(data, start, end, 0)
+    )
+
+
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of two sequences one after the other, from theirs."""
+    return mix(mix(left + _ODD) * _ODD + right)
 
 
-_STEP = np.uint64(0xA24BAED4963EE407)
+def _after(values: np.ndarray, n: int) -> np.ndarray:
+    """The value ``n`` places on, or 0."""
+    out = np.zeros_like(values)
+    out[: max(len(values) - n, 0)] = values[n:]
+    return out
 
 
 def windows(words: Words, k: int) -> np.ndarray:
     """Hash of the k words from each word on; only starts that ``starts_of`` gives count."""
-    value, length, factor = words.hash, 1, int(_STEP)
-    out, done = np.zeros(len(value), np.uint64), 0
     # Doubling: k is put together from runs of 1, 2, 4, ... words.
+    value, length, out, done = words.hash, 1, None, 0
     while True:
         if k & length:
-            shifted = np.zeros_like(out)
-            shifted[: max(len(value) - done, 0)] = value[done:]
-            out = out + shifted * np.uint64(pow(int(_STEP), done, 1 << 64))
+            out = value if out is None else _joined(out, _after(value, done))
             done += length
+        if 2 * length > k:
+            return out
+        value = _joined(value, _after(value, length))
         length *= 2
-        if length > k:
-            return mix(out)
-        moved = np.zeros_like(value)
-        moved[: max(len(value) - length // 2, 0)] = value[length // 2 :]
-        value = value + moved * np.uint64(factor)
-        factor = factor * factor % (1 << 64)
 
 
 def starts_of(words: Words, k: int) -> np.ndarray:
