@@ -164,7 +164,8 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     in double precision. Links are counted where they are found and only a spanning forest
     of a pair of blocks is passed on. Vectors that are null, empty or zero, or hold nulls
     or non-finite numbers, have no links; neither have vectors of different lengths. A null
-    vec_id stands before all others. Other columns are ignored.
+    vec_id stands before all others. Rows of one vec_id, or of none, are vectors of their own
+    each. Other columns are ignored.
     """
     reach = float(np.sqrt(2.0 - 2.0 * cosine)) + 1e-9
     v = F.transform("embedding", lambda x: x.cast("double"))
@@ -177,15 +178,18 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                           F.col("vec_id"), v.alias("v"))
     rows = rows.withColumn("sound", sound)
     keyed = rows.withColumn(
-        "class", F.when(F.col("sound"), F.struct(F.xxhash64("v").alias("h"), F.xxhash64("v", F.lit(1)).alias("g")))
+        "class", F.when(F.col("sound"), F.struct(F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")))
     )
     classes = (
         keyed.filter("sound")
         .groupBy("class")
         .agg(F.min("id").alias("id"), F.count("*").alias("size"), F.first("v").alias("v"))
     )
-    classes = materialize(classes, "vector-classes")
-    sample = classes.orderBy(F.xxhash64("id")).limit(SAMPLE_ROWS).select("v").collect()
+    # A class goes by its number, fixed in the written table: several may have one vec_id.
+    classes = materialize(
+        classes.withColumn("number", F.monotonically_increasing_id()), "vector-classes"
+    )
+    sample = classes.orderBy("class").limit(SAMPLE_ROWS).select("v").collect()
     axes = principal_axes([row["v"] for row in sample])
     schema = "class struct<h:long,g:long>, id long, size long, v array<double>, dim int, p array<double>"
 
@@ -202,9 +206,10 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 "p", pa.array(points, pa.list_(pa.float64()))
             )
 
-    projected = classes.select("class", "id", "size", "v").mapInArrow(project, schema)
+    numbered = classes.select("class", F.col("number").alias("id"), "size", "v")
+    projected = numbered.mapInArrow(project, schema)
     cells = [F.floor(F.get("p", F.lit(i)) / reach).alias(f"c{i}") for i in range(DIMENSIONS)]
-    placed = projected.select("*", *cells).orderBy("dim", *[f"c{i}" for i in range(DIMENSIONS)], "id")
+    placed = projected.select("*", *cells).orderBy("dim", *[f"c{i}" for i in range(DIMENSIONS)], "class")
     ordered = materialize(placed.withColumn("_row", F.monotonically_increasing_id()), "grid-order")
     # Blocks end where a partition of the order or a length of vector ends.
     raw = ordered.withColumn("_part", F.shiftright("_row", 33)).withColumn(
@@ -249,16 +254,24 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         .applyInArrow(_join_blocks(cosine), "id long, n long, to long")
     )
     linked = materialize(linked, "vector-links")
-    counts = linked.groupBy("id").agg(F.sum("n").alias("n"))
+    counts = linked.groupBy(F.col("id").alias("number")).agg(F.sum("n").alias("n"))
     groups = components(linked.filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")))
+    groups = groups.withColumnRenamed("id", "number")
+    smallest = (
+        groups.join(classes.select("number", "id"), "number")
+        .groupBy("component")
+        .agg(F.min("id").alias("smallest"))
+    )
+    # Stored, so that a very large component is a join that can be split.
+    smallest = materialize(smallest, "component-ids")
     facts = (
-        classes.select("class", "id", "size")
-        .join(counts, "id", "left")
-        .join(groups, "id", "left")
+        classes.select("class", "number", "id", "size")
+        .join(counts, "number", "left")
+        .join(groups.join(smallest, "component"), "number", "left")
         .select(
             "class",
             (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("smallest", "id").alias("component_id"),
         )
     )
     facts = materialize(facts, "vector-facts")
