@@ -169,13 +169,16 @@ def graded(quality: Column, toxic: Column) -> Column:
 def trained(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """The model of ``ratings`` (doc_id, grade) of ``docs`` (doc_id, text).
 
-    Fitted on at most ``sample_rows`` rated rows; rows without a grade are not used. Without
-    any rated row the model gives every text the highest grade.
+    Fitted on at most ``sample_rows`` rated documents, also where a doc_id is repeated; rows
+    without a grade are not used. Without any rated row the model gives every text the
+    highest grade.
     """
     known = ratings.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull())
     chosen = known.select("doc_id", F.col("grade").cast("int").alias("grade"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    order = F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "grade"
+    text = rated.orderBy(*order).limit(sample_rows).select("grade", "text")
     rows = text.mapInArrow(_features, "grade int, b array<int>, v array<float>").toArrow()
     if rows.num_rows == 0:
         return OrdinalModel(np.zeros(BUCKETS), np.full(GRADES - 1, -30.0))

@@ -197,7 +197,10 @@ def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic")
     known = known.withColumn("toxic", F.col("toxic").cast("int"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # A doc_id may be repeated: the bound holds for the documents as well.
+    order = F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "toxic"
+    text = rated.orderBy(*order).limit(sample_rows).select("toxic", "text")
     text = materialize(text, "toxic-sample")
     totals = dict(text.groupBy("toxic").count().collect())
     bad, good = totals.get(1, 0), totals.get(0, 0)
