@@ -46,15 +46,17 @@ def op7_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed_amounts(_table(spark, sf, "documents"))
 
 
-#: Names of hosts whose pages make the list of blocked URLs.
-LISTED_HOSTS = ("casino-win", "cheap-pills", "free-bets", "ads-track", "spam-farm", "adult-x")
+#: The list of blocked URLs is drawn by this beginning of a canonical URL's MD5.
+LISTED = "0"
 
 
 def op1_url_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """No table holds a list: a sixteenth of the URLs of all hosts, in another spelling, is one."""
     pages = _table(spark, sf, "pages")
-    named = rf"(^|\.)({'|'.join(LISTED_HOSTS)})\."
-    listed = pages.filter(urls.host_of(F.col("url")).rlike(named))
-    return urls.judged(pages, listed)
+    canon = urls.canonical(F.col("url"))
+    tail = F.when(canon.contains("?"), "&utm_source=list#top").otherwise("?ref=list")
+    listed = pages.filter(F.md5(canon).startswith(LISTED))
+    return urls.judged(pages, listed.select(F.concat(F.lit("HTTPS://M."), canon, tail).alias("url")))
 
 
 def op2_line_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +110,7 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE = {
-    "op1_url_verdicts": urls.oracle_sql(LISTED_HOSTS),
+    "op1_url_verdicts": urls.oracle_sql(f"md5(canon) LIKE '{LISTED}%' AND host <> ''"),
     "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_repeated_passages": substrings.ORACLE_SQL,
     "op5_near_copies": shingles.ORACLE_SQL,

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 #: (verdict, host, path); of the rules that fit a URL the longest decides.
 RULES = (
     ("block", "net", "/"),
@@ -120,7 +122,7 @@ def judged(
     blocks = len(table)
     shared = spark.sparkContext.broadcast(table)
     parsed = pages.select(
-        "page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
+        "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
         canonical(F.col("url")).alias("canon"),
     )
     key = F.xxhash64("canon")
@@ -134,17 +136,15 @@ def judged(
             hit = pa.array(possible(at, keys, bloom))
             yield batch.drop_columns(["block", "key"]).append_column("maybe", hit)
 
-    schema = "page_id {}, url string, host string, path string, canon string, maybe boolean".format(
+    schema = "page_id {}, host string, path string, canon string, maybe boolean".format(
         pages.schema["page_id"].dataType.simpleString()
     )
-    probed = parsed.mapInArrow(passed, schema)
-    # What the filter rejects joins under a key of its own that meets nothing; under one
-    # null key these rows, which are most, would share a task.
-    own = F.concat(F.lit("\x00"), F.coalesce(F.col("page_id").cast("string"), F.col("url"), F.lit("")))
-    probe = F.when(F.col("maybe"), F.col("canon")).otherwise(own)
-    hits = probed.withColumn("probe", probe).join(
-        wanted.select(F.col("url").alias("probe"), F.lit(True).alias("found")), "probe", "left"
-    )
+    probed = materialize(parsed.mapInArrow(passed, schema), "probed-urls")
+    # Only possible hits are joined with the list; what the filter rejects is judged already.
+    found = wanted.select(F.col("url").alias("canon"), F.lit(True).alias("found"))
+    hits = probed.filter("maybe").join(found, "canon", "left")
+    rejected = probed.filter("NOT maybe").withColumn("found", F.lit(False))
+    hits = hits.unionByName(rejected)
     rule = _rule(F.col("host"), F.col("path"), rules)
     is_listed = F.coalesce("found", F.lit(False))
     return hits.withColumn("r", rule).select(
@@ -157,8 +157,8 @@ def judged(
     )
 
 
-def oracle_sql(hosts: Sequence[str]) -> str:
-    """``judged`` for RULES and the pages of ``hosts`` as the list, as DuckDB SQL."""
+def oracle_sql(chosen: str) -> str:
+    """``judged`` for RULES and the pages for which ``chosen`` holds as the list, as DuckDB SQL."""
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
     return rf"""
 WITH r(rule_verdict, rule_host, rule_path) AS (VALUES {rules}),
@@ -175,7 +175,7 @@ c AS (SELECT *, regexp_replace(host, '^(?:www|m)\.', '')
         || regexp_replace(path, '(?:\.html?|/+)$', '')
         || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canon
       FROM h),
-l AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(host, '(^|\.)({"|".join(hosts)})\.')),
+l AS (SELECT DISTINCT canon FROM c WHERE {chosen}),
 f AS (SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
         max_by(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
       FROM h JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host))

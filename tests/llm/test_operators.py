@@ -62,6 +62,74 @@ def test_words_are_those_of_the_pattern(texts):
         assert len(set(hashes[starts].tolist())) == len(set(runs))
 
 
+def _thue_morse(bits):
+    """Two words of 2**bits letters a and b whose polynomials agree modulo many powers of 2."""
+    first = "".join("ab"[i.bit_count() & 1] for i in range(2**bits))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_of_few_letters_have_hashes_of_their_own(spark):
+    for bits in (6, 10, 11, 13):
+        words = hashed_words(pa.array(_thue_morse(bits)))
+        for found in (words, words.again(1)):
+            assert found.hash[0] != found.hash[1]
+    assert not set(words.hash.tolist()) & set(words.again(1).hash.tolist())
+    # The same letters in other places, and sequences of two words in that order.
+    texts = ["ab" * 2048, "ba" * 2048, "a" * 4096, "a" * 4095]
+    assert len(set(hashed_words(pa.array(texts)).hash.tolist())) == 4
+    sequences = [" ".join(x) for x in _thue_morse(5)]
+    found = hashed_words(pa.array(sequences))
+    hashes = windows(found, 32)[starts_of(found, 32)]
+    assert len(hashes) == 2 and hashes[0] != hashes[1]
+
+
+def test_documents_that_differ_in_a_long_word_are_kept_apart(spark):
+    tail = [f"w{i}" for i in range(19)]
+    docs = [(i, " ".join([word, *tail])) for i, word in enumerate(_thue_morse(11), start=1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substrings.digests(frame).collect()} == {1: 0, 2: 0}
+    pair = [(i, word) for i, word in enumerate(_thue_morse(12), start=1)]
+    found = shingles.near_copies(spark.createDataFrame(pair, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found} == {1: (1, 0), 2: (2, 0)}
+
+
+def test_pairs_of_hashes_that_share_one_half():
+    rng = np.random.default_rng(4)
+    a, b = (rng.integers(0, 4, 300).astype(np.uint64) for _ in range(2))
+    pairs = list(zip(a.tolist(), b.tolist()))
+    assert substrings._first_of_each(a, b).tolist() == [pairs.index(p) for p in pairs]
+    known = {(1, 1), (1, 3), (1, 2), (3, 0)}
+    known_a, known_b = np.array(sorted(known), dtype=np.uint64).T
+    assert substrings._among(a, b, known_a, known_b).tolist() == [p in known for p in pairs]
+    none = np.zeros(0, np.uint64)
+    assert not substrings._among(a, b, none, none).any() and not len(substrings._first_of_each(none, none))
+
+
+def test_rows_of_one_id_are_spread_and_ordered_by_text(spark, monkeypatch):
+    """A third of the rows has no id, another third one id; groups are small."""
+    monkeypatch.setattr(substrings, "groups_of", lambda docs: 7)
+    rng = random.Random(8)
+    part = [f"p{i}" for i in range(40)]
+    docs = []
+    for i in range(120):
+        a = rng.randrange(18)
+        words = [f"u{i}x{j}" for j in range(rng.randrange(30))] + part[a : a + 22] + [f"v{i}"]
+        docs.append((None if i % 3 == 0 else 5 if i % 3 == 1 else 100 + i, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    ordered = frame.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+    seen, want = set(), Counter()
+    for doc_id, text in ordered:
+        words, gone = text.split(), set()
+        for s in range(len(words) - 19):
+            key = tuple(words[s : s + 20])
+            if key in seen:
+                gone.update(range(s, s + 20))
+            seen.add(key)
+        want[doc_id, " ".join(w for p, w in enumerate(words) if p not in gone)] += 1
+    kept = substrings.without_repeats(frame, texts=True).collect()
+    assert Counter((r.doc_id, " ".join(r._kept.split())) for r in kept) == want
+
+
 def test_slices_hold_all_rows():
     texts = ["x" * n for n in (0, 5, 90, 3, 300, 1, 1)] + [None]
     batch = pa.record_batch({"text": pa.array(texts), "n": pa.array(range(8))})
@@ -285,6 +353,20 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert sum(map(len, links.values())) > 2000
 
 
+def test_vectors_of_one_id_are_vectors_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])]
+    rows += [(None, [-1.0, 0.0]), (None, [0.0, -1.0]), (4, [-1.0, 0.01]), (4, [-1.0, 0.01])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = Counter(tuple(r) for r in embeddings.embedding_links(frame).collect())
+    assert found == Counter(
+        {
+            (1, 1, 1, True): 2, (2, 1, 1, False): 1, (3, 1, 1, False): 1,
+            # A null id is before all others, and stays null as a name.
+            (None, 2, None, True): 1, (None, 0, None, True): 1, (4, 2, None, False): 2,
+        }
+    )
+
+
 # Shards, mix, packing
 
 
@@ -439,6 +521,47 @@ def test_quality_of_held_out_documents(spark):
     assert all(0 <= r._grade <= 2 for r in rows)
 
 
+def test_fits_use_a_bounded_number_of_rows(spark):
+    """Labels of two documents, one of which a third of all rows repeat."""
+    good, bad = "plain words of a text " * 9, "vile nasty trash " * 9
+    docs = [(1 if i % 3 == 0 else i, f"{bad if i % 2 else good} {i}") for i in range(900)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    ratings = labels.selectExpr("doc_id", "quality AS grade")
+    fit = quality.fit
+
+    def watched(rows, *args):
+        seen.append(rows.num_rows)
+        return fit(rows, *args)
+
+    quality.fit = watched
+    try:
+        quality.trained(frame, ratings, sample_rows=50)
+    finally:
+        quality.fit = fit
+    assert seen == [50]
+    materialize = toxicity.materialize
+    toxicity.materialize = lambda df, name: seen.append(df.count()) or materialize(df, name)
+    try:
+        toxicity.learned(frame, labels, sample_rows=50)
+    finally:
+        toxicity.materialize = materialize
+    assert seen == [50, 50]
+
+
+def test_only_possible_hits_are_joined(spark):
+    """The rows that the Bloom filter rejects meet no exchange; few pass it by mistake."""
+    pages = spark.range(30_000).selectExpr("id AS page_id", "concat('http://h', id % 900, '.com/p', id) AS url")
+    listed = pages.filter("page_id % 16 = 0")
+    found = urls.judged(pages.repartition(4), listed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    rejected = plan.split("Union")[1].rsplit("FileScan", 1)[0].split("FileScan")[-1]
+    assert "NOT maybe" in rejected and not any(n in rejected for n in ("Exchange", "Join", "Sort"))
+    rows = {r.page_id: r.verdict for r in found.collect()}
+    assert {i for i, v in rows.items() if v == "block"} == set(range(0, 30_000, 16))
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
     table = urls.bloom_filter(keys)
