@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import word_count, words
 from clickloom.session import materialize
 
-#: A line in more distinct texts of one host than this is removed.
-MAX_TEXTS = 100
+#: A line in more documents of one host than this is removed.
+MAX_DOCS = 100
 #: A document that loses more than this share of its words is rejected.
 MAX_LOST_PERCENT = 50
 _WORD_CLASS = r"[^\x20\x09-\x0D]"
@@ -20,12 +20,21 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _in_pairs(sorted_array: Column, key) -> Column:
+    """The elements of a sorted array whose ``key`` is that of a neighbour."""
+
+    def same(j: Column, x: Column) -> Column:
+        return F.coalesce(key(F.get(sorted_array, j)) == key(x), F.lit(False))
+
+    return F.filter(sorted_array, lambda x, j: same(j - 1, x) | same(j + 1, x))
+
+
 def repeated_words(word_array: Column) -> Column:
     """Words in windows of three words that occur at least twice in the array.
 
-    A window is one long: the high bits are its hash, the low ones its position. Sorted,
-    equal windows are neighbours. With n words, two different windows meet with a
-    probability of about n**3 / 2**63.
+    A window is one long at first: the high bits are its hash, the low ones its position.
+    Sorted, equal windows are neighbours, so all that occur twice are found. What is found is
+    then sorted and compared by the words themselves: the number is exact for any text.
     """
 
     def of(w: Column) -> Column:
@@ -42,19 +51,21 @@ def repeated_words(word_array: Column) -> Column:
                 .bitwiseOR(i.cast("long")),
             )
         )
-        return _bound(packed, lambda s: covered(s, m))
+        return _bound(packed, lambda s: compared(w, s, m))
 
-    def covered(s: Column, m: Column) -> Column:
-        def twice(x: Column, j: Column) -> Column:
-            own = x.bitwiseAND(-m)
-            same_before = F.get(s, j - 1).bitwiseAND(-m) == own
-            same_after = F.get(s, j + 1).bitwiseAND(-m) == own
-            return F.coalesce(same_before, F.lit(False)) | F.coalesce(same_after, F.lit(False))
+    def compared(w: Column, s: Column, m: Column) -> Column:
+        def window(x: Column) -> Column:
+            i = x.bitwiseAND(m - 1).cast("int")
+            words_of = F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c"))
+            return F.struct(words_of.alias("words"), i.alias("at"))
 
-        found = F.transform(F.filter(s, twice), lambda x: x.bitwiseAND(m - 1).cast("int"))
+        found = F.transform(_in_pairs(s, lambda x: x.bitwiseAND(-m)), window)
+        return _bound(F.sort_array(found), covered)
+
+    def covered(windows: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
         return F.aggregate(
-            F.sort_array(found),
+            F.sort_array(_in_pairs(windows, lambda x: x["words"])["at"]),
             start,
             lambda a, p: F.struct(
                 (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last")
@@ -81,27 +92,15 @@ def _without(text: Column, places: Column) -> Column:
     return _bound(F.split(text, "\n"), rest)
 
 
-def without_frequent_lines(
-    docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
-) -> DataFrame:
-    """``docs`` (doc_id, text, source as host) without frequent lines, and ``_verdict``.
-
-    Lines with a word are compared normalised (``_line_key``). Documents of one host with
-    the same text count once, so that copies do not make each other's lines frequent. The
-    lines above the limit are cut out of ``text``, and a document is depleted if they held
-    more than ``max_lost_percent`` of its words. Null texts have no words and fail; a null
-    host is a host; repeated rows are judged each. ``_verdict`` has the statistics of the
-    text as it was, n_lost_words and kept. Other columns stay as they are. Names of
-    ``docs`` that begin with an underscore are not allowed.
-    """
+def _facts(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Each row's number, columns to ``keep``, statistics and lines, written once."""
     text = F.coalesce(F.col("text"), F.lit(""))
     placed = F.transform(
         F.split(text, "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("place"))
     )
     lines = F.filter(placed, lambda x: x["line"].rlike(_WORD_CLASS))
-    w = words(F.col("text"))
     word_facts = _bound(
-        w,
+        words(F.col("text")),
         lambda a: F.struct(
             F.size(a).cast("long").alias("n_words"),
             F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"),
@@ -115,71 +114,84 @@ def without_frequent_lines(
             F.transform(
                 a,
                 lambda x: F.struct(
-                    _line_key(F.col("source"), x["line"]).alias("line"), x["place"].alias("place")
+                    _line_key(F.col("source"), x["line"]).alias("line"),
+                    x["place"].alias("place"),
+                    word_count(x["line"]).alias("n"),
                 ),
             ).alias("lines"),
         ),
     )
     facts = docs.select(
-        *docs.columns,
+        *keep,
         F.monotonically_increasing_id().alias("_row"),
-        F.xxhash64("source", text).alias("_text_key"),
         word_facts.alias("_w"),
         line_facts.alias("_l"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("_n_symbols"),
     )
-    facts = materialize(facts, "line-facts")
-    each = facts.select("_row", "_text_key", F.explode("_l.lines").alias("x"))
-    each = each.select("_row", "_text_key", F.col("x.line").alias("line"), F.col("x.place").alias("place"))
-    frequent = (
-        each.select("line", "_text_key")
-        .distinct()
-        .groupBy("line")
-        .count()
-        .filter(F.col("count") > max_texts)
-        .select("line")
-    )
+    return materialize(facts, "line-facts")
+
+
+def _frequent_in(facts: DataFrame, max_docs: int) -> DataFrame:
+    """(_row, line, place, n) of the lines that over ``max_docs`` documents of a host have.
+
+    A document counts once for each of its lines, and the counts are combined before the
+    shuffle; a line that a third of all documents have is one row of each map task.
+    """
+    counts = facts.select(F.explode(F.array_distinct("_l.lines.line")).alias("line"))
+    frequent = counts.groupBy("line").count().filter(F.col("count") > max_docs).select("line")
     # Stored, so that a line that a third of all documents share is a plain skewed join,
     # which adaptive execution splits.
     frequent = materialize(frequent, "frequent-lines")
-    lost = each.join(frequent, "line").groupBy("_row").agg(F.collect_list("place").alias("_places"))
-    cut = (
-        facts.withColumn("_dups", F.col("_l.n_dup_lines"))
-        .drop("_l", "_text_key")
-        .join(lost, "_row", "left")
-        .withColumn(
-            "text",
-            F.when(F.col("_places").isNull(), F.col("text")).otherwise(
-                _without(F.col("text"), F.col("_places"))
-            ),
-        )
-    )
+    return facts.select("_row", F.inline("_l.lines")).join(frequent, "line")
+
+
+def _verdict(lost: Column, max_lost_percent: int) -> Column:
     n_words = F.col("_w.n_words")
-    lost_words = F.when(F.col("_places").isNull(), F.lit(0).cast("long")).otherwise(
-        n_words - word_count(F.col("text"))
-    )
     base_failed = (n_words < 50) | (100 * F.col("_w.n_repeat_words") > 50 * n_words)
-    kept = ~base_failed & (100 * F.col("_lost") <= max_lost_percent * n_words)
-    return cut.withColumn("_lost", lost_words).select(
-        *docs.columns,
-        F.struct(
-            "_w.n_words",
-            "_w.word_chars",
-            F.col("_n_symbols").alias("n_symbols"),
-            F.col("_dups").alias("n_dup_lines"),
-            "_w.n_repeat_words",
-            base_failed.alias("base_failed"),
-            kept.alias("kept"),
-            F.col("_lost").alias("n_lost_words"),
-        ).alias("_verdict"),
+    return F.struct(
+        "_w.n_words",
+        "_w.word_chars",
+        F.col("_n_symbols").alias("n_symbols"),
+        F.col("_l.n_dup_lines").alias("n_dup_lines"),
+        "_w.n_repeat_words",
+        base_failed.alias("base_failed"),
+        (~base_failed & (100 * lost <= max_lost_percent * n_words)).alias("kept"),
+        lost.alias("n_lost_words"),
+    )
+
+
+def _lost() -> Column:
+    return F.coalesce(F.col("_lost"), F.lit(0)).cast("long")
+
+
+def without_frequent_lines(
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_lost_percent: int = MAX_LOST_PERCENT
+) -> DataFrame:
+    """``docs`` (doc_id, text, source as host) without frequent lines, and ``_verdict``.
+
+    Lines with a word are compared normalised (``_line_key``). Every row is a document, also
+    a copy of another. The lines that more than ``max_docs`` documents of a host have are
+    cut out of ``text``, and a document is depleted if they held more than
+    ``max_lost_percent`` of its words. Null texts have no words and fail; a null host is a
+    host. ``_verdict`` has the statistics of the text as it was, n_lost_words and kept.
+    Other columns stay as they are. Names of ``docs`` that begin with an underscore are not
+    allowed.
+    """
+    facts = _facts(docs, docs.columns)
+    lost = _frequent_in(facts, max_docs).groupBy("_row")
+    lost = lost.agg(F.collect_list("place").alias("_places"), F.sum("n").alias("_lost"))
+    cut = F.when(F.col("_places").isNull(), F.col("text")).otherwise(
+        _without(F.col("text"), F.col("_places"))
     )
+    joined = facts.join(lost, "_row", "left").withColumn("text", cut)
+    return joined.select(*docs.columns, _verdict(_lost(), max_lost_percent).alias("_verdict"))
 
 
 def cleaned(
-    docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_lost_percent: int = MAX_LOST_PERCENT
 ) -> DataFrame:
     """The kept rows of ``docs`` with frequent lines cut out; ``n_chars`` is counted anew."""
-    kept = without_frequent_lines(docs, max_texts, max_lost_percent).filter("_verdict.kept")
+    kept = without_frequent_lines(docs, max_docs, max_lost_percent).filter("_verdict.kept")
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         cut = F.col("_verdict.n_lost_words") > 0
@@ -188,14 +200,18 @@ def cleaned(
 
 
 def quality_verdicts(
-    docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost_percent: int = MAX_LOST_PERCENT
+    docs: DataFrame, max_docs: int = MAX_DOCS, max_lost_percent: int = MAX_LOST_PERCENT
 ) -> DataFrame:
-    """Statistics and verdict of each row of ``docs``, by ``without_frequent_lines``.
+    """doc_id, statistics and verdict of each row of ``docs``, as in ``without_frequent_lines``.
 
-    Columns beside doc_id, text and source are ignored.
+    The words that frequent lines hold are counted line by line, so no text is written or
+    shuffled. Columns beside doc_id, text and source are ignored.
     """
-    docs = docs.select("doc_id", "text", "source")
-    judged = without_frequent_lines(docs, max_texts, max_lost_percent)
+    facts = _facts(docs.select("doc_id", "text", "source"), ["doc_id"])
+    lost = _frequent_in(facts, max_docs).groupBy("_row").agg(F.sum("n").alias("_lost"))
+    judged = facts.join(lost, "_row", "left").select(
+        "doc_id", _verdict(_lost(), max_lost_percent).alias("_verdict")
+    )
     return judged.select("doc_id", "_verdict.*")
 
 
@@ -212,7 +228,7 @@ normal AS (SELECT doc_id, host, text, line,
              len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
            FROM lines),
 frequent AS (SELECT host, key FROM normal GROUP BY host, key
-             HAVING count(DISTINCT text) > {MAX_TEXTS}),
+             HAVING count(DISTINCT doc_id) > {MAX_DOCS}),
 lost AS (SELECT doc_id, sum(n) AS lost FROM normal JOIN frequent USING (host, key) GROUP BY doc_id),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
 tri AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS t
