@@ -59,7 +59,9 @@ def permuted(index: Column, n: Column, key: Column) -> Column:
             image,
             lambda state, _: F.when(state["x"] < n, state).otherwise(network(state)),
         )
-        return F.when(image["x"] < n, image["x"]).otherwise(further["x"])
+        outside = F.raise_error(F.lit("a walk of the permutation did not come back"))
+        came_back = F.when(further["x"] < n, further["x"]).otherwise(outside)
+        return F.when(image["x"] < n, image["x"]).otherwise(came_back)
 
     return F.transform(F.array(network(first)), walked)[0]
 
@@ -115,7 +117,7 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame,
     ``documents`` has ``_row`` (one number per input row), doc_id, source, size and first
     word in the source's stream; ``sources`` has targets and slots; ``pieces`` has for
     each (document, block, epoch) that is taken the words [first, first + n) of the
-    document, the slot's shard and its place there. A null text is empty and takes no
+    document, where they lie in the source's stream (``at``), and the slot and its shard. A null text is empty and takes no
     slot; repeated rows are documents of their own; null sources form one source.
     The order of a source's stream is that of a hash of the rows, so reruns agree however
     the input is split into files and partitions; only rows that are equal in all of
@@ -202,6 +204,7 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame,
         "epoch",
         (begin - F.col("start")).alias("first"),
         (end - begin).alias("n"),
+        begin.alias("at"),
         F.expr(f"slot div {SHARD_BLOCKS}").alias("shard"),
         F.col("slot"),
     )
@@ -209,10 +212,16 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> tuple[DataFrame,
 
 
 def mixed_amounts(docs: DataFrame) -> DataFrame:
-    """What the mix takes of each document (all rows of ``docs``, empty ones too)."""
+    """What the mix takes of each document (all rows of ``docs``, empty ones too).
+
+    ``n_blocks`` counts the blocks that hold words of it, repeats too, and ``first_shard`` is
+    the first output shard that has one; null if none.
+    """
     sized = docs.select("doc_id", "source", *_measures())
     placed, sources, pieces = mix(parted(sized, "mix-rows"))
-    taken = pieces.groupBy("_row").agg(F.sum("n").alias("taken"))
+    taken = pieces.groupBy("_row").agg(
+        F.sum("n").alias("taken"), F.count("*").alias("n_blocks"), F.min("shard").alias("first_shard")
+    )
     known = sources.select(F.col("source").alias("s"), "source_size", "target")
     return (
         placed.join(taken, "_row", "left")
@@ -223,7 +232,52 @@ def mixed_amounts(docs: DataFrame) -> DataFrame:
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"),
+            "first_shard",
+        )
+    )
+
+
+def _cut(text: Column, spans: Column) -> Column:
+    """For each span (first, n) of ``spans`` an array of those words of ``text``."""
+
+    def pieces_of(own: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda s: F.slice(own, (s["first"] + 1).cast("int"), s["n"].cast("int")),
         )
+
+    # The words as a lambda variable: as a column they would be split anew for every span.
+    return F.transform(F.array(words(text)), pieces_of)[0]
+
+
+def mixed_blocks(docs: DataFrame) -> DataFrame:
+    """The mix as it is written: (shard, place, text, doc_ids) of every slot.
+
+    Blocks are joined by index: the slots of a shard are SHARD_BLOCKS consecutive ones, and
+    ``place`` is the slot's in its shard, gapless from 0. ``text`` is the block's words joined
+    by one space, ``doc_ids`` the documents they are from, in the source's order. The last
+    block of a source may be short.
+    """
+    numbered = parted(docs.select("doc_id", "source", "text"), "mix-texts")
+    _, _, pieces = mix(numbered.select("_row", "doc_id", "source", *_measures()))
+    spans = pieces.groupBy("_row").agg(
+        F.collect_list(F.struct("slot", "at", "first", "n")).alias("spans")
+    )
+    cut = numbered.join(spans, "_row").select(
+        "doc_id", F.explode(F.arrays_zip("spans", _cut(F.col("text"), F.col("spans")).alias("words"))).alias("p")
+    )
+    each = cut.select(
+        F.col("p.spans.slot").alias("slot"),
+        F.struct(F.col("p.spans.at").alias("at"), "doc_id", F.col("p.words").alias("words")).alias("piece"),
+    )
+    # A block has at most BLOCK pieces.
+    blocks = each.groupBy("slot").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    return blocks.select(
+        F.expr(f"slot div {SHARD_BLOCKS}").alias("shard"),
+        (F.col("slot") % SHARD_BLOCKS).alias("place"),
+        F.array_join(F.flatten("pieces.words"), " ").alias("text"),
+        F.col("pieces.doc_id").alias("doc_ids"),
     )
 
 
@@ -241,14 +295,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     )
     chosen = numbered.drop("_part").join(spans, "_row")
 
-    def pieces_of(own: Column) -> Column:
-        return F.transform(
-            "_spans",
-            lambda s: F.slice(own, (s["first"] + 1).cast("int"), s["n"].cast("int")),
-        )
-
-    # The words as a lambda variable: as a column they would be split anew for every span.
-    taken = F.transform(F.array(words(F.col("text"))), pieces_of)[0]
+    taken = _cut(F.col("text"), F.col("_spans"))
     text = F.array_join(F.flatten(taken), " ")
     mixed = chosen.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -58,17 +58,19 @@ def packed(
     of piece lengths covers every document and has at most ``max_words`` rows. In a bucket
     of bound b, a batch holds batch_words // b pieces. A document without words, or with
     a null text, has one row with null bucket, batch and place, as there is nothing to
-    pack. Repeated rows are packed each. Pieces are numbered per input partition, so that
+    pack. Repeated rows are packed each: (row, piece) names a piece, where ``row`` is a
+    number of the input row. Pieces are numbered per input partition, so that
     a bucket that holds most pieces is not one task.
     """
     if batch_words < max_words:
         raise ValueError("a batch must hold a piece of max_words words")
-    sized = docs.select("doc_id", word_count(F.col("text")).alias("size"))
+    number = F.monotonically_increasing_id().alias("row")
+    sized = docs.select("doc_id", number, word_count(F.col("text")).alias("size"))
     cut = sized.withColumn(
         "piece", F.explode(F.sequence(F.lit(0), F.expr(f"int((greatest(size, 1) - 1) div {max_words})")))
     )
     length = F.least(F.col("size") - F.col("piece") * max_words, F.lit(max_words))
-    pieces = parted(cut.select("doc_id", "piece", length.cast("int").alias("n_words")), "pieces")
+    pieces = parted(cut.select("doc_id", "row", "piece", length.cast("int").alias("n_words")), "pieces")
     histogram = sorted(
         tuple(row) for row in pieces.filter("n_words > 0").groupBy("n_words").count().collect()
     )
@@ -86,6 +88,7 @@ def packed(
         .withColumn("capacity", capacity)
         .select(
             "doc_id",
+            "row",
             "piece",
             "n_words",
             "bucket",

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -14,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.tokens import sliced
 from clickloom.session import materialize
 
 
@@ -21,6 +24,8 @@ from clickloom.session import materialize
 SAMPLE_ROWS = 8_000
 LEXICON_WORDS = 400
 PHRASES = 400
+#: Log odds that a text loses at least for each e-fold of its words.
+LENGTH_SLOPE = -0.1
 MIN_ROWS = 3
 # Lengths of the beginnings of words that are candidates.
 _SHORTEST, _LONGEST = 4, 8
@@ -122,7 +127,13 @@ class Lexicon:
                     else:
                         found.append((begin, end, weight))
         if covered:
-            found = [f for f in found if not any(a <= f[0] < b for a, b in covered)]
+            covered.sort()
+            begins = [a for a, _ in covered]
+            reach = list(accumulate((b for _, b in covered), max))
+            found = [
+                f for f in found
+                if not (i := bisect_right(begins, f[0])) or reach[i - 1] <= f[0]
+            ]
         return found
 
     def features(self, text: str) -> tuple[float, float]:
@@ -143,11 +154,23 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 40) -> tuple[float, ...]:
-    """Newton's method for a bias and two slopes, lightly regularised."""
+    """A bias, a slope by weight and one by length, which is never above LENGTH_SLOPE.
+
+    Newton's method, lightly regularised; where it would let long texts need no more than
+    short ones, the slope by length is LENGTH_SLOPE and the rest is fitted beside it.
+    """
+    fitted = _newton(x, y, np.zeros(len(x)), steps)
+    if fitted[2] <= LENGTH_SLOPE:
+        return fitted
+    return (*_newton(x[:, :1], y, LENGTH_SLOPE * x[:, 1], steps), LENGTH_SLOPE)
+
+
+def _newton(x: np.ndarray, y: np.ndarray, given: np.ndarray, steps: int) -> tuple[float, ...]:
+    """Bias and slopes of a logistic model whose log odds have ``given`` added."""
     features = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(features.shape[1])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(features @ w + given, -30, 30)))
         gradient = features.T @ (p - y) + 1e-2 * w
         hessian = (features * (p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(len(w))
         w = w - np.linalg.solve(hessian, gradient)
@@ -275,7 +298,7 @@ def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             score = [lexicon.score(t) for t in texts]
             yield batch.drop_columns(["text"]).append_column("score", pa.array(score, pa.float64()))
