@@ -84,7 +84,9 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
         return fs.LocalFileSystem(), path
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    # Spark's names of the object store's connectors.
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    return fs.FileSystem.from_uri(f"{scheme}:{rest}")
 
 
 class Encoder:
