@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,24 +82,32 @@ class BatchLog:
         own = (F.col("batch_slot") == batch_id % SLOTS) & (F.col("batch_id") == batch_id)
         return self._all(spark).filter(own).select(*self.columns)
 
-    def changed(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def changed(
+        self, spark: SparkSession, batch_id: int, listed: dict[str, list] | None = None
+    ) -> DataFrame:
         """The table's rows, as of a batch, for the keys that batch stored."""
-        return self.matching(spark, batch_id, self.written(spark, batch_id), self.keys)
+        written = self.written(spark, batch_id)
+        return self.matching(spark, batch_id, written, self.keys, listed)
 
     def matching(
-        self, spark: SparkSession, upto: int, reference: DataFrame, columns: Sequence[str]
+        self,
+        spark: SparkSession,
+        upto: int,
+        reference: DataFrame,
+        columns: Sequence[str],
+        listed: dict[str, list] | None = None,
     ) -> DataFrame:
         """The table's rows, as of a batch, whose ``columns`` (keys) occur in ``reference``.
 
-        Up to MAX_LISTED dates and lookup values come to the driver as constants: dates prune
-        the folders to read, lookup values the pages of folded partitions. The join is exact
-        in any case.
+        ``listed`` has all values of some columns in ``reference``, as ``listed_values`` gives
+        them, which is asked if it is None: dates prune the folders to read, lookup values the
+        pages of folded partitions. The join is exact in any case.
         """
         wanted = reference.select(*columns).distinct()
-        rows = self.read(spark, upto)
-        for name in [*self.segments, self.lookup]:
-            if name in columns:
-                rows = _listed(rows, wanted, name)
+        pruning = [name for name in (*self.segments, self.lookup) if name in columns]
+        if listed is None:
+            listed = listed_values(reference, pruning)
+        rows = _pruned(self.read(spark, upto), listed, pruning)
         return rows.join(wanted, list(columns), "left_semi").select(*self.columns)
 
     def fold(self, spark: SparkSession, upto: int) -> None:
@@ -112,8 +120,8 @@ class BatchLog:
         rows = self._rows(spark, upto)
         fresh = rows.filter(F.col("batch_slot") != FOLDED)
         if not fresh.isEmpty():
+            rows = _pruned(rows, listed_values(fresh, self.segments), self.segments)
             for name in self.segments:
-                rows = _listed(rows, fresh, name)
                 rows = rows.join(fresh.select(name).distinct(), name, "left_semi")
             merged = (
                 self._merge(rows)
@@ -170,7 +178,29 @@ class BatchLog:
         return rows.filter(is_folded | newer).select(*self._stored.names)
 
 
-def _listed(rows: DataFrame, reference: DataFrame, name: str) -> DataFrame:
-    """``rows`` cut to the values of a column in ``reference``, if they are few."""
-    found = reference.select(name).distinct().limit(MAX_LISTED + 1).collect()
-    return rows.filter(F.col(name).isin(*[r[0] for r in found])) if len(found) <= MAX_LISTED else rows
+def listed_values(rows: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """For each of the columns that has at most MAX_LISTED values in ``rows``, the values.
+
+    One query for all columns; no more than MAX_LISTED + 1 values of a column reach the driver.
+    """
+    if not columns:
+        return {}
+    entry = [
+        F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value"))
+        for name in columns
+    ]
+    place = F.row_number().over(Window.partitionBy("name").orderBy("value"))
+    first = rows.select(F.inline(F.array(*entry))).distinct().withColumn("place", place)
+    found: dict[str, list] = {name: [] for name in columns}
+    for row in first.filter(F.col("place") <= MAX_LISTED + 1).collect():
+        found[row["name"]].append(row["value"])
+    return {name: values for name, values in found.items() if len(values) <= MAX_LISTED}
+
+
+def _pruned(rows: DataFrame, listed: dict[str, list], columns: Sequence[str]) -> DataFrame:
+    """``rows`` cut to the listed values of the columns."""
+    for name in columns:
+        if name in listed:
+            kind = rows.schema[name].dataType
+            rows = rows.filter(F.col(name).isin(*[F.lit(v).cast(kind) for v in listed[name]]))
+    return rows

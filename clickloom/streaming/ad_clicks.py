@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom import schemas
 from clickloom.operators import ads
-from clickloom.sinks.batch_log import SLOTS, BatchLog
+from clickloom.sinks.batch_log import SLOTS, BatchLog, listed_values
 
 # Called after a batch is stored in a table: table name, the rows it changed, batch id.
 Publisher = Callable[[str, DataFrame, int], None]
@@ -145,17 +145,20 @@ def apply_batch(
     kept = ads.without_listed(ads.click_counts(clicks), banned)
     store.batches.write(kept, batch_id)
     counts = store.batches.written(spark, batch_id)
+    # Asked once for all tables.
+    listed = listed_values(counts, ["date", "user_id", "ad_id", "province"])
     by_user = counts.groupBy("date", "user_id", "ad_id").agg(
         F.sum("click_count").alias("click_count")
     )
     _save("ad_user_click_count", store.user_clicks, by_user, batch_id, publish)
-    grown = store.user_clicks.changed(spark, batch_id)
+    grown = store.user_clicks.changed(spark, batch_id, listed)
     crossed = ads.blacklisted_users(grown, settings.threshold)
     _save("ad_blacklist", store.blacklist, crossed, batch_id, publish)
     _save("ad_stat", store.totals, ads.sum_totals(counts), batch_id, publish)
     written = store.totals.written(spark, batch_id)
-    grown = store.totals.matching(spark, batch_id, written, ["date", "province", "ad_id"])
-    before = store.province_top.matching(spark, batch_id - 1, written, ["date", "province"])
+    groups, ads_of_groups = ["date", "province"], ["date", "province", "ad_id"]
+    grown = store.totals.matching(spark, batch_id, written, ads_of_groups, listed)
+    before = store.province_top.matching(spark, batch_id - 1, written, groups, listed)
     top = ads.merged_top_ads(before, grown, settings.top)
     _save("ad_province_top3", store.province_top, top, batch_id, publish)
 
