@@ -41,14 +41,21 @@ def _any_row(condition: Column) -> Column:
     return F.coalesce(F.bool_or(condition), F.lit(False))
 
 
-def session_measures() -> list[Column]:
-    """The aggregates of a session's actions."""
-    keyword = F.nullif(F.col("search_keyword"), F.lit(""))
+def length_measures() -> list[Column]:
+    """The aggregates of a session's actions that are of fixed width."""
     return [
         F.min(F.nullif(F.col("user_id"), F.lit(-1))).alias("user_id"),
         F.min("action_ts").alias("start_ts"),
         F.max("action_ts").alias("end_ts"),
         F.count(F.lit(1)).alias("step_length"),
+    ]
+
+
+def session_measures() -> list[Column]:
+    """The aggregates of a session's actions."""
+    keyword = F.nullif(F.col("search_keyword"), F.lit(""))
+    return [
+        *length_measures(),
         F.array_sort(F.collect_set(keyword)).alias("keywords"),
         F.array_sort(F.collect_set("click_category_id")).alias("categories"),
     ]

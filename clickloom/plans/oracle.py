@@ -431,6 +431,8 @@ _SELECTS["stream_click_trend_sliding"] = _SELECTS["ad_click_trend_sliding"]
 
 _SELECTS["stream_state_totals"] = _SELECTS["ad_running_stat"]
 _SELECTS["sink_roundtrip_zorder"] = _SELECTS["sink_roundtrip_table"]
+_SELECTS["coded_session_rollup"] = _SELECTS["session_rollup"]
+_SELECTS["coded_session_interests"] = _SELECTS["session_filter_interests"]
 _SELECTS["daily_session_ratios"] = _SELECTS["session_visit_step_ratios"]
 _SELECTS["daily_session_interests"] = _SELECTS["session_filter_interests"]
 _SELECTS["daily_hourly_counts"] = _SELECTS["hourly_session_counts"]

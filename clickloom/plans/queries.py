@@ -11,7 +11,17 @@ from clickloom import schemas
 from clickloom.functions import datetime as dt
 from clickloom.functions import text
 from clickloom.functions.sql import register_sql_functions
-from clickloom.operators import ads, categories, counters, daily, pages, products, sampling, sessions
+from clickloom.operators import (
+    ads,
+    categories,
+    coded_sets,
+    counters,
+    daily,
+    pages,
+    products,
+    sampling,
+    sessions,
+)
 from clickloom.params import TaskParams
 from clickloom.plans import reports
 from clickloom.session import materialize, scratch_path
@@ -174,6 +184,19 @@ def session_filter_interests(spark: SparkSession, sf: str) -> DataFrame:
     return _sessions(spark, sf, INTERESTS)
 
 
+def coded_session_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The same sessions by sets of dictionary codes."""
+    return coded_sets.coded_sessions(
+        _actions(spark, sf, ANYONE), standins.users(spark, sf), ANYONE
+    )
+
+
+def coded_session_interests(spark: SparkSession, sf: str) -> DataFrame:
+    return coded_sets.coded_sessions(
+        _actions(spark, sf, INTERESTS), standins.users(spark, sf), INTERESTS
+    )
+
+
 def session_visit_step_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.length_histogram(_sessions(spark, sf))
 
@@ -606,6 +629,8 @@ QUERIES: dict[str, Query] = {
         session_filter,
         session_filter_people,
         session_filter_interests,
+        coded_session_rollup,
+        coded_session_interests,
         session_visit_step_histogram,
         session_visit_step_ratios,
         session_detail,
