@@ -31,9 +31,10 @@ def name_runs(symbols: np.ndarray, opens: np.ndarray) -> Level:
     starts = np.ones(len(symbols), dtype=bool)
     starts[1:] = (symbols[1:] != symbols[:-1]) | opens[1:]
     at = np.flatnonzero(starts)
-    length = np.diff(np.append(at, len(symbols))).astype(np.uint64)
-    kept = symbols[at]
-    named = np.where(length > 1, mix(kept * _RUN + length), kept)
+    length = np.diff(np.append(at, len(symbols)))
+    named = symbols[at]
+    run = np.flatnonzero(length > 1)
+    named[run] = mix(named[run] * _RUN + length[run].astype(np.uint64))
     return named, opens[at], np.cumsum(starts) - 1, at
 
 
@@ -44,10 +45,9 @@ def name_pairs(
     joined = np.zeros(len(symbols), dtype=bool)  # to the symbol before
     joined[1:] = left[:-1] & ~left[1:] & ~opens[1:]
     at = np.flatnonzero(~joined)
-    kept = symbols[at]
-    second = np.append(joined[1:], False)[at]
-    partner = symbols[np.minimum(at + 1, len(symbols) - 1)]
-    named = np.where(second, mix(mix(kept * _PAIR) + partner), kept)
+    named = symbols[at]
+    pair = np.flatnonzero(np.append(joined[1:], False)[at])
+    named[pair] = mix(mix(named[pair] * _PAIR) + symbols[at[pair] + 1])
     return named, opens[at], np.cumsum(~joined) - 1, at
 
 
@@ -66,26 +66,31 @@ def window_symbols(
     """
     symbols, level = hashes, 0
     low, high = starts, starts + k
-    names = range_hash(symbols, low, high)
-    places, first_word = starts.copy(), np.arange(len(hashes))
+    names, places = np.empty(len(starts), dtype=np.uint64), starts.copy()
+    first_word = np.arange(len(hashes))
     alive = np.arange(len(starts))
     while len(alive):
+        # The level above, to name here those windows alone that do not reach it.
         if level % (_PAIR_ROUNDS + 1) == 0:
-            symbols, opens, parent, at = name_runs(symbols, opens)
-            low, high = parent[low] + 1, parent[high - 1]
+            above, above_opens, parent, at = name_runs(symbols, opens)
+            above_low, above_high = parent[low] + 1, parent[high - 1]
+            stays = above_high - above_low >= least
         else:
             left = _is_left(symbols, level)
-            low = low + ~left[low]
-            high = high - left[high - 1]
-            some = low < high
-            alive, low, high = alive[some], low[some], high[some]
-            symbols, opens, parent, at = name_pairs(symbols, opens, left)
-            low, high = parent[low], parent[high - 1] + 1
-        first_word = first_word[at]
-        some = high - low >= least
-        alive, low, high = alive[some], low[some], high[some]
+            above_low, above_high = low + ~left[low], high - left[high - 1]
+            stays = above_low < above_high
+            above, above_opens, parent, at = name_pairs(symbols, opens, left)
+            # What is empty may stand behind the last symbol.
+            above_low = np.append(parent, 0)[above_low]
+            above_high = parent[above_high - 1] + 1
+            stays &= above_high - above_low >= least
+        ends = np.flatnonzero(~stays)
+        if len(ends):
+            name = range_hash(symbols, low[ends], high[ends])
+            names[alive[ends]] = mix(name + np.uint64(level)) if level else name
+            places[alive[ends]] = first_word[low[ends]]
+        on = np.flatnonzero(stays)
+        alive, low, high = alive[on], above_low[on], above_high[on]
+        symbols, opens, first_word = above, above_opens, first_word[at]
         level += 1
-        if len(alive):
-            names[alive] = mix(range_hash(symbols, low, high) + np.uint64(level))
-            places[alive] = first_word[low]
     return names, places

@@ -15,6 +15,7 @@ only the first takes part in the three steps. So a large group of copies costs l
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from clickloom.session import materialize
 
 WINDOW = 20
 _COPY, _SHARED, _REPEATED = 0, 1, 2
+#: Words of the texts whose windows are named at once.
+_WORDS = 1 << 16
 
 
 class _Group:
@@ -63,15 +66,33 @@ class _Group:
         return np.sort(self.note[self.kind == kind].view(np.uint64))
 
     def symbols(self) -> tuple[np.ndarray, np.ndarray]:
-        opens = np.zeros(len(self.words.hash), dtype=bool)
-        first = self.words.first[:-1]
-        opens[first[np.diff(self.words.first) > 0]] = True
-        return window_symbols(self.words.hash, opens, self.starts, self.k)
-
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of each window."""
-        both = (self.words, self.words.again(1))
-        return tuple(windows(words, self.k)[self.starts] for words in both)
+        hashes, first = self.words.hash, self.words.first
+        opens = np.zeros(len(hashes), dtype=bool)
+        opens[first[:-1][np.diff(first) > 0]] = True
+        # Some whole texts at a time, whose numbers stay in a core's cache.
+        names, places, low = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while low < len(hashes):
+            high = int(first[np.searchsorted(first[:-1], low + _WORDS)])
+            starts = self.starts[slice(*np.searchsorted(self.starts, (low, high)))]
+            name, place = window_symbols(hashes[low:high], opens[low:high], starts - low, self.k)
+            names.append(name)
+            places.append(place + low)
+            low = high
+        return np.concatenate(names), np.concatenate(places)
+
+    def hashes(self) -> np.ndarray:
+        """A hash of each window."""
+        return windows(self.words, self.k)[self.starts]
+
+    def second_hashes(self, chosen: np.ndarray) -> np.ndarray:
+        """Another hash of the ``chosen`` windows, independent of the first."""
+        starts = self.starts[chosen]
+        change = np.zeros(len(self.words.hash) + 1, dtype=np.int64)
+        change[starts] += 1
+        change[starts + self.k] -= 1
+        covered = np.cumsum(change[:-1]) > 0
+        hashes = self.words.hashes(1, np.flatnonzero(covered))
+        return windows(replace(self.words, hash=hashes), self.k)[(np.cumsum(covered) - 1)[starts]]
 
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of windows that occur in an earlier document of another group."""
@@ -81,6 +102,22 @@ class _Group:
 
 def _first_of_each(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each pair of hashes the place of the first equal pair."""
+    found, some = np.arange(len(a)), np.flatnonzero(_repeats(a))
+    found[some] = some[_first_of_repeats(a[some], b[some])]
+    return found
+
+
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    order = np.argsort(values)
+    same = np.diff(values[order]) == 0
+    out = np.zeros(len(values), dtype=bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
+def _first_of_repeats(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """As ``_first_of_each``, where most hashes occur more than once."""
     _, first, inverse = np.unique(a, return_index=True, return_inverse=True)
     found = first[inverse]
     if (b[found] != b).any():  # different windows met in one of the hashes
@@ -94,7 +131,7 @@ def _first_of_each(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _among(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarray) -> np.ndarray:
     """Which pairs (a, b) are among the known ones."""
-    order = np.lexsort((known_b, known_a))
+    order = np.argsort(known_a)
     known_a, known_b = known_a[order], known_b[order]
     at, end = np.searchsorted(known_a, a, "left"), np.searchsorted(known_a, a, "right")
     hit = np.zeros(len(a), dtype=bool)
@@ -106,10 +143,18 @@ def _among(a: np.ndarray, b: np.ndarray, known_a: np.ndarray, known_b: np.ndarra
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which values are in the sorted ``known``."""
+    found = np.zeros(len(values), dtype=bool)
     if not len(known):
-        return np.zeros(len(values), dtype=bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[at] == values
+        return found
+    # Most values are not known: their first bits already tell most of these.
+    bits = min(max(16 * len(known), 1 << 10).bit_length(), 22)
+    shift = np.uint64(64 - bits)
+    some = np.zeros(1 << bits, dtype=bool)
+    some[(known >> shift).view(np.int64)] = True
+    maybe = np.flatnonzero(some[(values >> shift).view(np.int64)])
+    at = np.minimum(np.searchsorted(known, values[maybe]), len(known) - 1)
+    found[maybe] = known[at] == values[maybe]
+    return found
 
 
 def _reveal(k: int):
@@ -133,7 +178,7 @@ def _verify(k: int):
         group = _Group(docs, notes, k)
         names, _ = group.symbols()
         shared = np.flatnonzero(_within(names, group.values(_SHARED)))
-        first, second = (hashes[shared] for hashes in group.hashes())
+        first, second = group.hashes()[shared], group.second_hashes(shared)
         found = np.unique(_first_of_each(first, second)) if len(shared) else shared
         owner = group.text[group.starts[shared[found]]] if len(shared) else shared
         return pa.table(
@@ -151,9 +196,13 @@ def _verify(k: int):
 def _remove(k: int, columns: list[str], schema: pa.Schema, texts: bool):
     def run(key: tuple, docs: pa.Table, notes: pa.Table) -> pa.Table:
         group = _Group(docs, notes, k)
-        first, second = group.hashes()
-        gone = _first_of_each(first, second) != np.arange(len(first))
-        gone |= _among(first, second, *group.repeated())
+        first = group.hashes()
+        known_first, known_second = group.repeated()
+        # The second hash decides between windows that agree in the first.
+        some = np.flatnonzero(_repeats(first) | _within(first, np.sort(known_first)))
+        first, second = first[some], group.second_hashes(some)
+        again = _first_of_repeats(first, second) != np.arange(len(first))
+        gone = some[again | _among(first, second, known_first, known_second)]
         words = group.words
         change = np.zeros(len(words.hash) + 1, dtype=np.int64)
         starts = group.starts[gone]

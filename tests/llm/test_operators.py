@@ -26,6 +26,7 @@ from clickloom.llm import (
     sharding,
     shingles,
     substrings,
+    tokens,
     toxicity,
     urls,
 )
@@ -105,6 +106,78 @@ def test_pairs_of_hashes_that_share_one_half():
     assert not substrings._among(a, b, none, none).any() and not len(substrings._first_of_each(none, none))
 
 
+def _counted(monkeypatch, module, name, amount):
+    """Calls of a function of a module, as a list of what ``amount`` makes of their arguments."""
+    calls, plain = [], getattr(module, name)
+
+    def counting(*args):
+        calls.append(amount(*args))
+        return plain(*args)
+
+    monkeypatch.setattr(module, name, counting)
+    return calls
+
+
+def test_word_hashes_are_sums_over_places():
+    """Short and long words, all or some of them, in any cut of the bytes."""
+    rng = random.Random(3)
+    flat = ["".join(rng.choices("aéz9", k=n)) for n in [*range(1, 70), 400, *range(1, 40)]]
+    found = hashed_words(pa.array([" ".join(flat[:50]), None, "\t".join(flat[50:])]))
+    for seed in (0, 1):
+        salt = tokens.mix(np.uint64([seed + 1]))
+        want = []
+        for data in (np.frombuffer(word.encode(), np.uint8) for word in flat):
+            spots = np.arange(len(data)).astype(np.uint64) * np.uint64(256) + data
+            total = tokens.mix(spots * tokens._ODD + salt).sum(dtype=np.uint64)
+            want += tokens.mix(total ^ (np.uint64([len(data)]) * tokens._ODD + salt)).tolist()
+        assert found.again(seed).hash.tolist() == found.hashes(seed).tolist() == want
+        some = np.array([0, 3, 4, 60, 69, 80])
+        assert found.hashes(seed, some).tolist() == [want[i] for i in some]
+
+
+def test_blocks_change_no_hash_and_no_symbol(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abc", k=rng.randrange(70))) for _ in range(40)] + [None, " "]
+    docs = pa.table({"text": texts, "_id": range(42), "_text": range(42)})
+    notes = pa.table({name: pa.array([], pa.int64()) for name in ("kind", "id", "value")})
+    whole = substrings._Group(docs, notes, 20)
+    names, places = whole.symbols()
+    monkeypatch.setattr(substrings, "_WORDS", 30)
+    monkeypatch.setattr(tokens, "_CACHED", 25)
+    parts = substrings._Group(docs, notes, 20)
+    assert parts.words.hash.tolist() == whole.words.hash.tolist()
+    assert [x.tolist() for x in parts.symbols()] == [names.tolist(), places.tolist()]
+    assert parts.hashes().tolist() == whole.hashes().tolist()
+    chosen = np.flatnonzero(np.arange(len(whole.starts)) % 9 < 2)
+    second = windows(whole.words.again(1), 20)[whole.starts]
+    assert whole.second_hashes(chosen).tolist() == parts.second_hashes(chosen).tolist()
+    assert whole.second_hashes(chosen).tolist() == second[chosen].tolist()
+
+
+def test_windows_are_named_once_and_hashed_again_only_where_needed(monkeypatch):
+    """Each window is named at one level; without a repeat no word is hashed twice."""
+    own = [" ".join(f"d{i}w{j}" for j in range(100)) for i in range(20)]
+    docs = pa.table({"doc_id": range(20), "text": own, "_id": range(20), "_text": range(20)})
+    notes = pa.table({name: pa.array([], pa.int64()) for name in ("kind", "id", "value")})
+    named = _counted(monkeypatch, recompression, "range_hash", lambda values, starts, ends: len(starts))
+    group = substrings._Group(docs, notes, 20)
+    group.symbols()
+    assert sum(named) == len(group.starts) == 20 * 81
+    hashed = _counted(monkeypatch, tokens, "_word_hash", lambda *args: len(args[-2]))
+    schema = pa.schema(
+        {"doc_id": pa.int64(), "_n_words": pa.int64(), "_n_removed": pa.int64(), "_kept": pa.string()}
+    )
+    remove = substrings._remove(20, ["doc_id"], schema, texts=False)
+    assert set(remove((), docs, notes).column("_n_removed").to_pylist()) == {0}
+    assert sum(hashed) == 20 * 100
+    # With a passage of 25 words twice, only its words are hashed again.
+    passage = " ".join(own[3].split()[40:65])
+    twice = docs.set_column(1, "text", pa.array([*own[:-1], f"{own[-1]} {passage}"]))
+    hashed.clear()
+    assert remove((), twice, notes).column("_n_removed").to_pylist() == [0] * 19 + [25]
+    assert sum(hashed) == 20 * 100 + 25 + 2 * 25
+
+
 def test_rows_of_one_id_are_spread_and_ordered_by_text(spark, monkeypatch):
     """A third of the rows has no id, another third one id; groups are small."""
     monkeypatch.setattr(substrings, "groups_of", lambda docs: 7)
