@@ -33,6 +33,22 @@ def spanning_forest(mask: np.ndarray, square: bool) -> list[tuple[int, int]]:
     return list(zip(ends.tolist(), label[ends].tolist()))
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (end, smallest node of its component) that connect what the links (a, b) connect."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = np.arange(len(nodes))
+    x, y = places[: len(a)], places[len(a) :]
+    while len(x):
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        open_ = low != high
+        x, y = x[open_], y[open_]
+        np.minimum.at(label, high[open_], low[open_])
+        while (label != label[label]).any():
+            label = label[label]
+    ends = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[ends], nodes[label[ends]]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for the ends of ``links`` (a, b): the smallest id that is reachable.
 

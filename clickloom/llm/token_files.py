@@ -24,13 +24,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickloom.llm.common import groups_of
+from clickloom.llm.common import file_system, groups_of
 from clickloom.llm.tokens import sliced
 from clickloom.session import materialize, scratch_path
 
@@ -77,18 +76,6 @@ def joined_planes(planes: list[bytes | None], n: int) -> np.ndarray:
 PLANES = {"byte": byte_planes, "bit": bit_planes}
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder as Spark names it, and the path in it."""
-    scheme, colon, rest = path.partition(":")
-    if not colon:
-        return fs.LocalFileSystem(), path
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    # Spark's names of the object store's connectors.
-    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-    return fs.FileSystem.from_uri(f"{scheme}:{rest}")
-
-
 class Encoder:
     """Ids of whole texts by a tokenizer that never joins text over white space.
 
@@ -286,7 +273,7 @@ class PlaneReader:
 
 def _written(folder: str, tokenizer: str, planes: str, block: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, path = _filesystem(folder)
+        system, path = file_system(folder)
         writer = out = None
         number = TaskContext.get().partitionId()
         # Every attempt writes its own file; the manifest lists those of attempts that ended.
@@ -391,7 +378,7 @@ def _read(folder: str):
             yield whole.slice(i, 10_000)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, path = _filesystem(folder)
+        system, path = file_system(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with system.open_input_file(f"{path}/{row['file']}") as source:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
+import os
 import random
 import re
+import threading
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -443,6 +446,19 @@ def test_components(spark, shape):
     assert found == _reachable(ids, near)
 
 
+@pytest.mark.parametrize("nodes", [1, 10, 200])
+@pytest.mark.parametrize("count", [0, 1, 60, 400])
+def test_forest_connects_what_the_links_do(nodes, count):
+    a, b = np.random.default_rng(nodes + count).integers(-nodes, nodes, size=(2, count)) * 10**12
+    near = defaultdict(set)
+    for x, y in zip(a.tolist(), b.tolist()):
+        near[x].add(y)
+        near[y].add(x)
+    ends, smallest = components.forest(a, b)
+    assert len(set(ends.tolist())) == len(ends)
+    assert {i: i for i in near} | dict(zip(ends.tolist(), smallest.tolist())) == _reachable(set(near), near)
+
+
 def test_embedding_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK", 16)
     monkeypatch.setattr(embeddings, "PARTNERS", 2)
@@ -477,6 +493,73 @@ def test_vectors_of_one_id_are_vectors_of_their_own(spark):
     )
 
 
+def _files(tops):
+    """Sizes of the files in some folders."""
+    sizes = {}
+    for top in tops:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                with contextlib.suppress(OSError):  # Spark deletes files meanwhile
+                    sizes[f"{folder}/{name}"] = os.stat(f"{folder}/{name}").st_size
+    return sizes
+
+
+def test_vectors_are_not_written_once_for_each_block_they_are_compared_with(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 64)
+    x = np.random.default_rng(4).normal(size=(2_000, 256)).astype(np.float32)
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    tops = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+    tops.append(spark.conf.get("spark.checkpoint.dir"))
+    before, most, over = set(_files(tops)), [], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            most.append(sum(size for file, size in _files(tops).items() if file not in before))
+
+    # As at size: a broadcast would put the copies of a vector side by side, where they are compressed.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        found = embeddings.embedding_links(frame).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        over.set()
+        watcher.join()
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert {r.vec_id: r.n_links for r in found} == dict(enumerate(links.tolist()))
+    assert max(most) < 6 * x.nbytes
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.35, 0.6])
+@pytest.mark.parametrize("strip", [7, 16, 64])
+def test_blocks_join_as_brute_force(monkeypatch, spread, strip):
+    monkeypatch.setattr(embeddings, "STRIP", strip)
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(3, 12))
+    x = np.concatenate([(centers[i % 3] + spread * rng.normal(size=(1, 12))) for i in range(90)]).astype(np.float32)
+    x[41] = 0  # has no direction
+    sizes = rng.integers(1, 4, size=len(x))
+    axes = embeddings.principal_axes(pa.array(x[:40].tolist(), pa.list_(pa.float32())))[12][:, :8]
+    wide = x.astype(np.float64)
+    with np.errstate(all="ignore"):
+        wide /= np.linalg.norm(wide, axis=1, keepdims=True)
+        close = (wide @ wide.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+        blocks = [embeddings._Block(x[s], sizes[s], s.start, axes) for s in (slice(0, 50), slice(50, 90))]
+    ends = []
+    for a, b in ((0, 0), (0, 1), (1, 1)):
+        ends += embeddings._join_pair(blocks[a], blocks[b], 0.9, float(np.sqrt(0.2)) + 1e-9)
+    counts = np.concatenate([block.counts for block in blocks])
+    assert counts.tolist() == (close @ sizes).tolist()
+    a, b = map(np.concatenate, zip(*ends))
+    near = {i: set(np.flatnonzero(row).tolist()) for i, row in enumerate(close)}
+    nodes, smallest = components.forest(a, b)
+    found = {i: i for i in range(len(x))} | dict(zip(nodes.tolist(), smallest.tolist()))
+    assert found == _reachable(near, near)
+
+
 # Shards, mix, packing
 
 
